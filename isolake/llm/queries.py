@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isolake.llm import leakage, pairs, terms
+from isolake.llm import leakage, mixing, pairs, reading, terms
+from isolake.session import materialise
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -65,7 +66,34 @@ def p7_leaked_items(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_incremental, p5_found, p5_genes, p5_text_terms, p7_found, p7_passages, p7_leaked_items)}
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The shares reached, by source."""
+    documents, targets = table(spark, sf, "documents"), table(spark, sf, "mix_targets")
+    return mixing.report(materialise(mixing.mix(documents, targets), "mixing"), targets)
+
+
+def p8_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the mix holds each document."""
+    return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets")).select("doc_id", "source", "tokens", F.round("rate", 6).alias("rate"), "repeats")
+
+
+def _levels(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.levels(table(spark, sf, "documents"), table(spark, sf, "reading_anchors"), table(spark, sf, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf).where("level >= 4").select("doc_id")
+
+
+def p9_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return _levels(spark, sf).select("doc_id", "level", F.round("posterior", 6).alias("posterior"))
+
+
+def p9_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.profile(table(spark, sf, "documents"), _levels(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_incremental, p5_found, p5_genes, p5_text_terms, p7_found, p7_passages, p7_leaked_items, p8_mix, p8_repeats, p9_found, p9_levels, p9_profile)}
 
 _B = r"e' \t\r\n'"
 _PAIRS = """

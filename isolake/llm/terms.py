@@ -132,8 +132,7 @@ def gene_rows(presence: DataFrame) -> DataFrame:
 def gene_marks(presence: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
     """(gene, occurrences, records, mark) of every gene name; an empty table gives none."""
     counts = ngram_counts(gene_rows(presence), 1, rows_per_task).withColumnRenamed("t1", "gene")
-    total = presence.agg(F.countDistinct("sample_id").alias("total"))
-    return marked(counts.crossJoin(F.broadcast(total)), F.col("total")).drop("total")
+    return marked(counts, presence.agg(F.countDistinct("sample_id")).scalar())
 
 
 def words(text: Column) -> Column:
@@ -148,6 +147,5 @@ def text_terms(documents: DataFrame, length: int, rows_per_task: int = 2_000_000
     """
     names = [f"t{k}" for k in range(1, length + 1)]
     counts = ngram_counts(suffixes(documents.select(F.col("doc_id").alias("record"), words(F.col("text")).alias("terms")), length), length, rows_per_task)
-    total = documents.agg(F.countDistinct("doc_id").alias("total"))
-    out = marked(counts.crossJoin(F.broadcast(total)), F.col("total"))
+    out = marked(counts, documents.agg(F.countDistinct("doc_id")).scalar())
     return out.select(F.concat_ws(" ", *names).alias("ngram"), F.size(F.array_compact(F.array(*names))).alias("terms"), "occurrences", "records", "mark")
