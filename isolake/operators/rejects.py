@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 AMR_COLUMNS = (
@@ -187,13 +188,16 @@ def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     con.close()
 
 
-def read_records(records: DataFrame) -> DataFrame:
+def read_records(records: DataFrame, lines_per_chunk: int = 8192) -> DataFrame:
     """Every record that is not a comment, header or blank one: typed columns where valid, else reason and raw text.
 
     `records` has line_id, file_name, line_no and raw; other columns are ignored. A null raw is blank; null file names
     form one file. Whole-row copies are read once. An empty table gives an empty result.
     """
-    r = records.select("line_id", "file_name", "line_no", "raw").dropDuplicates()
+    r = records.select("line_id", "file_name", "line_no", "raw")
+    # a chunk of a file's lines meets in one task: copies go without another shuffle, and a batch holds few files
+    r = r.withColumn("chunk", F.floor(F.coalesce("line_no", F.lit(0)) / lines_per_chunk))
+    r = r.repartition("file_name", "chunk").dropDuplicates().sortWithinPartitions("file_name", "line_no").drop("chunk")
     return r.mapInArrow(_check_batches, SCHEMA)
 
 
@@ -203,8 +207,6 @@ def valid_rows(checked: DataFrame) -> DataFrame:
 
 def failed_rows(checked: DataFrame) -> DataFrame:
     """One row for each line_id that fails; of contradicting records under one line_id the least reason is kept."""
-    from pyspark.sql import functions as F
-
     rank = F.array_position(F.array(*[F.lit(x) for x in REASONS]), F.col("reason"))
     bad = checked.where("reason IS NOT NULL").groupBy("line_id").agg(F.min(rank).alias("rank"))
     return bad.select("line_id", F.element_at(F.array(*[F.lit(x) for x in REASONS]), F.col("rank").cast("int")).alias("reason"))
