@@ -1,8 +1,7 @@
 """Load delimited records, setting aside those that cannot be read together with the reason.
 
 Workers hand the records of each file to DuckDB's CSV reader with its reject tables on. The reader sees an anonymous
-in-memory file (no disk, no shared folder), one per source file and Arrow batch, so memory is bounded by the batch
-and no file, however large, has to fit in one task. Accepted rows come back as columns; reject-table errors are joined
+in-memory file (no disk, no shared folder) per source file and Arrow batch, so memory is bounded by the batch and no file, however large, has to fit in one task. Accepted rows come back as columns; reject-table errors are joined
 to the raw records by a row number carried as the first column.
 
 Two provisions keep one broken record from damaging its neighbours. Characters the reader treats specially inside a
@@ -91,32 +90,33 @@ def _stand_ins(text: str, wanted: str) -> dict[str, str]:
     return {c: next(x for x in free if x not in used) for c in wanted}
 
 
-def _read_file(con, records: list[tuple[int, str]]) -> tuple[list[tuple], dict[int, set[str]]]:
-    """DuckDB's verdict on the records of one file: accepted rows (number, values...) and error types by number."""
-    joined = "".join(raw for _, raw in records)
-    swap = _stand_ins(joined, " \r\n\x00\x01")
+def _read_files(con, files: list[list[tuple[int, str]]]) -> tuple[list[tuple[int, list[str]]], dict[int, set[str]]]:
+    """DuckDB's verdict on the records of some files, read in one scan: accepted rows (number, values) and error types by number."""
+    swap = _stand_ins("".join(raw for records in files for _, raw in records), " \r\n\x00\x01")
     there = str.maketrans(swap)
     back = str.maketrans({v: k for k, v in swap.items()})
     guard = '\x01"' + f"\t{_END}" * (len(AMR_COLUMNS) + 1) + "\n"
-    lines, longest = [], 0
-    for k, raw in records:
-        line = f"{k}\t{raw.translate(there)}\t{_END}\n"
-        longest = max(longest, 4 * len(line))
-        lines.append(line)
-        if _OPENS.search(raw):
-            lines.append(guard)
-    fd = os.memfd_create("records")
+    fds, longest = [], 0
     try:
-        with os.fdopen(os.dup(fd), "wb") as f:
-            f.write("".join(lines).encode())
+        for records in files:
+            lines = []
+            for k, raw in records:
+                line = f"{k}\t{raw.translate(there)}\t{_END}\n"
+                longest = max(longest, 4 * len(line))
+                lines.append(line)
+                if _OPENS.search(raw):
+                    lines.append(guard)
+            fds.append(os.memfd_create("records"))
+            with os.fdopen(os.dup(fds[-1]), "wb") as f:
+                f.write("".join(lines).encode())
+        paths = ", ".join(f"'/proc/{os.getpid()}/fd/{fd}'" for fd in fds)
         columns = ", ".join(f"'c{i}': 'VARCHAR'" for i in range(len(AMR_COLUMNS) + 2))
         size = max(2 << 20, longest + 1024)
-        rel = con.execute(
-            f"""SELECT * FROM read_csv('/proc/{os.getpid()}/fd/{fd}', columns={{{columns}}}, auto_detect=false, header=false,
+        rows = con.execute(
+            f"""SELECT * FROM read_csv([{paths}], columns={{{columns}}}, auto_detect=false, header=false,
             delim='\t', quote='"', escape='"', comment='', strict_mode=true, null_padding=false, store_rejects=true,
             rejects_limit=0, parallel=false, max_line_size={size}, buffer_size={16 * size if size < 8 << 20 else 2 * size})"""
-        )
-        rows = rel.fetchall()
+        ).fetchall()
         errors: dict[int, set[str]] = {}
         for line, kind in con.execute("SELECT csv_line, error_type FROM reject_errors").fetchall():
             number = line.partition("\t")[0]
@@ -124,29 +124,26 @@ def _read_file(con, records: list[tuple[int, str]]) -> tuple[list[tuple], dict[i
                 errors.setdefault(int(number), set()).add("UNQUOTED VALUE" if "\x01" in line else kind)
         con.execute("DROP TABLE IF EXISTS reject_errors; DROP TABLE IF EXISTS reject_scans")
     finally:
-        os.close(fd)
-    good = [(int(r[0]), ["" if x is None else x.translate(back) for x in r[1:-1]]) for r in rows if r[-1] == _END and r[0] and r[0].isdigit()]
-    return good, errors
+        for fd in fds:
+            os.close(fd)
+    return [(int(r[0]), ["" if x is None else x.translate(back) for x in r[1:-1]]) for r in rows if r[-1] == _END and r[0] and r[0].isdigit()], errors
 
 
-def check_records(con, records: list[tuple[int, str]]) -> dict[int, tuple[str | None, list[str | None] | None]]:
-    """For each numbered record of one file: (reason or None, cleaned values or None)."""
-    good, errors = _read_file(con, records)
+def check_records(con, files: list[list[tuple[int, str]]]) -> dict[int, tuple[str | None, list[str | None] | None]]:
+    """For each numbered record of some files: (reason or None, cleaned values or None)."""
+    good, _ = _read_files(con, files)
     out: dict[int, tuple[str | None, list[str | None] | None]] = {}
     for k, values in good:
-        cleaned = [clean(v) for v in values]
-        fault = value_fault(cleaned)
-        out[k] = (fault, None if fault else cleaned)
-    by_number = dict(records)
+        out[k] = _typed(values)
+    by_number = {k: raw for records in files for k, raw in records}
     for k in by_number.keys() - out.keys():
-        # The reader stops at the first error of a record; the raw record tells which reason comes first.
+        # the reader stops at the first error of a record; the raw record tells which reason comes first
         values = split_values(by_number[k])
-        kinds = errors.get(k, set())
-        if values is None or (kinds == {"UNQUOTED VALUE"} and len(values) == len(AMR_COLUMNS)):
-            out[k] = ("quoting", None) if values is None else _typed(values)
+        if values is None:
+            out[k] = ("quoting", None)
         elif len(values) != len(AMR_COLUMNS):
             out[k] = ("column_count", None)
-        else:
+        else:  # refused for another reason, such as a bound of the reader
             out[k] = _typed(values)
     return out
 
@@ -177,13 +174,12 @@ def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if not skipped(raw):
                 by_file.setdefault(files[k], []).append((k, raw))
         out: list[dict] = []
-        for records in by_file.values():
-            for k, (reason, values) in check_records(con, records).items():
-                row = dict(zip(AMR_COLUMNS, values)) if values else {}
-                for c in ("identity_pct", "coverage_pct"):
-                    if row.get(c) is not None:
-                        row[c] = float(row[c])
-                out.append({"line_id": ids[k], "file_name": files[k], "line_no": nos[k], "reason": reason, "raw": raws[k] if reason else None, **row})
+        for k, (reason, values) in (check_records(con, list(by_file.values())) if by_file else {}).items():
+            row = dict(zip(AMR_COLUMNS, values)) if values else {}
+            for c in ("identity_pct", "coverage_pct"):
+                if row.get(c) is not None:
+                    row[c] = float(row[c])
+            out.append({"line_id": ids[k], "file_name": files[k], "line_no": nos[k], "reason": reason, "raw": raws[k] if reason else None, **row})
         yield pa.RecordBatch.from_pylist(out, schema=schema)
     con.close()
 
