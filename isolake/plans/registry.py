@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from isolake.plans import problems
+from isolake.plans import analysis, io, problems, relational
 
-MODULES = (problems,)
+MODULES = (problems, relational, analysis, io)
 FLAGSHIP = "p6_found"
 
 
