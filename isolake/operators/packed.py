@@ -88,8 +88,13 @@ def _lying(v: Column) -> Column:
     return DELIMITER_BITS * delimiters + QUOTE_BITS * quotes + MARK_BITS * marks
 
 
+def text_id(text: Column) -> Column:
+    """A digest that stands for a text, so that long texts are not carried along with their values."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def candidates(texts: DataFrame) -> DataFrame:
-    """(field, text) with each dialect that could apply: `dialect` (number) and `values`. Equal parses keep the preferred dialect."""
+    """(field, tid) with each dialect that could apply to the text: `dialect` (number) and `values`. Equal parses keep the preferred dialect."""
     table = F.array(*[F.struct(F.lit(i).alias("dialect"), F.lit(k).alias("kind"), F.lit(d).alias("delimiters"), F.lit(q).alias("quote")) for i, k, d, q in dialects()])
     t = F.col("text")
     held = F.concat(*[F.when(t.rlike("[" + d.replace("|", "\\|") + "]"), F.lit(d)).otherwise(F.lit("")) for d in DELIMITERS])
@@ -101,25 +106,26 @@ def candidates(texts: DataFrame) -> DataFrame:
     )
     x = texts.withColumn("held", held).withColumn("d", F.explode(fits)).drop("held")
     values = F.when(F.col("d.kind") == "json", split_json(_trim(t))).otherwise(split_delimited(t, F.col("d.delimiters"), F.col("d.quote")))
-    x = x.select("field", "text", F.col("d.dialect").alias("dialect"), F.length("d.delimiters").alias("n_delimiters"), values.alias("values")).where("values IS NOT NULL")
-    return x.groupBy("field", "text", "values").agg(F.min("dialect").alias("dialect"), F.min_by("n_delimiters", "dialect").alias("n_delimiters"))
+    x = x.select("field", text_id(t).alias("tid"), F.col("d.dialect").alias("dialect"), F.length("d.delimiters").alias("n_delimiters"), values.alias("values")).where("values IS NOT NULL")
+    return x.groupBy("field", "tid", "values").agg(F.min("dialect").alias("dialect"), F.min_by("n_delimiters", "dialect").alias("n_delimiters"))
 
 
 def choose(texts: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
-    """(field, text, dialect, values): the cheapest parse of each distinct text."""
+    """(field, tid, dialect, values): the cheapest parse of each distinct text (field, text)."""
     cand = materialise(candidates(texts), "packed")
-    values = cand.select("field", "text", "dialect", F.explode("values").alias("value"))
-    book = values.select("field", "text", "value").distinct().groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = cand.select("field", "text").distinct().groupBy("field").agg(F.count(F.lit(1)).alias("total"))
-    priced = salted_join(values, book, ["field", "value"], "inner", rows_per_task).join(F.broadcast(total), "field")
+    values = cand.select("field", "tid", "dialect", F.explode("values").alias("value"))
+    book = values.select("field", "tid", "value").distinct().groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = cand.select("field", "tid").distinct().groupBy("field").agg(F.count(F.lit(1)).alias("total"))
+    priced = salted_join(values, book, ["field", "value"], "inner", rows_per_task).join(F.broadcast(total), "field")  # one row a field
     spelled = CHAR_BITS * F.length("value")
     code = F.least(spelled, spelled / F.col("n") + F.log2((F.col("total") + 1) / F.col("n"))) + _lying(F.col("value"))
-    bits = priced.groupBy("field", "text", "dialect").agg(F.sum(code + END_BITS).alias("bits"))
+    bits = priced.groupBy("field", "tid", "dialect").agg(F.sum(code + END_BITS).alias("bits"))
+    order = F.struct(F.round(F.coalesce("bits", F.lit(0.0)) + F.col("n_delimiters") * 0.25, 3), "dialect")
     return (
-        cand.join(bits, ["field", "text", "dialect"], "left")
-        .groupBy("field", "text")
-        .agg(F.min_by(F.struct("dialect", "values"), F.struct(F.round(F.coalesce("bits", F.lit(0.0)) + F.col("n_delimiters") * 0.25, 3), "dialect")).alias("best"))
-        .select("field", "text", "best.dialect", F.col("best.values").alias("values"))
+        cand.join(bits, ["field", "tid", "dialect"], "left")
+        .groupBy("field", "tid")
+        .agg(F.min_by(F.struct("dialect", "values"), order).alias("best"))
+        .select("field", "tid", "best.dialect", F.col("best.values").alias("values"))
     )
 
 
@@ -137,14 +143,19 @@ def packed_fields(sources: Sequence[tuple[str, DataFrame, str, Sequence[str]]])
 
 
 def parsed(sources: Sequence[tuple[str, DataFrame, str, Sequence[str]]], rows_per_task: int = 2_000_000) -> DataFrame:
-    """(table_name, row_key, field, text, dialect, chosen, values): `chosen` by description length, `values` after the exact check."""
+    """(table_name, row_key, field, text, dialect, chosen, values): `chosen` by description length, `values` after the exact check.
+
+    The check replaces a choice that the field rule contradicts; `p4_dialects` counts how often.
+    """
     rows = packed_fields(sources)
     contested = F.col("text").rlike("[,;|\r\n\"\\[]")
     plain = rows.where(~contested).withColumn("dialect", F.lit(None).cast("int")).withColumn("chosen", F.array(_trim(F.col("text")))).withColumn("values", F.col("chosen"))
     hard = rows.where(contested)
     best = choose(hard.select("field", "text").distinct(), rows_per_task).withColumnRenamed("values", "chosen")
-    best = best.withColumn("rule", split_by_rule(F.col("text"))).withColumn("values", F.when(F.col("chosen") == F.col("rule"), F.col("chosen")).otherwise(F.col("rule"))).drop("rule")
-    return salted_join(hard, best, ["field", "text"], "inner", rows_per_task).select(*plain.columns).unionByName(plain)
+    found = salted_join(hard.withColumn("tid", text_id(F.col("text"))), best, ["field", "tid"], "inner", rows_per_task, F.xxhash64("row_key", "table_name"))
+    found = found.withColumn("rule", split_by_rule(F.col("text")))
+    found = found.withColumn("values", F.when(F.col("chosen") == F.col("rule"), F.col("chosen")).otherwise(F.col("rule")))
+    return found.select(*plain.columns).unionByName(plain)
 
 
 def exploded(parsed_fields: DataFrame) -> DataFrame:

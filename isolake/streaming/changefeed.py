@@ -28,6 +28,7 @@ from isolake.session import is_file, new_dir, remove_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+_USUAL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 _EXTENDED = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?([Zz]|[+-]\d{2}(:?\d{2})?)?$"
 _BASIC = r"^(\d{4})(\d{2})(\d{2})[Tt](\d{2})(\d{2})(?:(\d{2})(?:[.,](\d+))?)?([Zz]|[+-]\d{2}(?::?\d{2})?)?$"
 
@@ -40,8 +41,11 @@ def parse_instant(t: Column) -> Column:
     t = F.trim(t)
     basic = F.regexp_replace(t, _BASIC, "$1-$2-$3T$4:$5:$6.$7$8")
     basic = F.regexp_replace(F.regexp_replace(basic, r":\.", ":00."), r"\.(?=[Zz+\-]|$)", "")
-    text = F.when(t.rlike(_EXTENDED), F.translate(t, "tz,", "TZ.")).when(t.rlike(_BASIC), F.translate(basic, "tz,", "TZ."))
-    return F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
+    text = F.translate(F.when(t.rlike(_EXTENDED), t).when(t.rlike(_BASIC), basic), "tz,", "TZ.")
+    text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?!:)", "$1:00")
+    text = F.regexp_replace(F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"([+-]\d{2})$", "$1:00")
+    text = F.when(text.rlike(r"(Z|[+-]\d{2}:\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(t.rlike(_USUAL), t).otherwise(text).try_cast("timestamp")
 
 
 def registers(changes: DataFrame, keys: Sequence[str], payload: Sequence[str], op: str, version: Sequence[str]) -> DataFrame:
