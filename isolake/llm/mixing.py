@@ -34,7 +34,7 @@ TOKENIZER = os.environ.get("ISOLAKE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.ti
 #: Fixed value: the word pattern that belongs to the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The classifier is fitted on at most so many labelled documents, those of the least document hashes.
-MAX_LABELLED = 20_000
+MAX_LABELLED = 10_000
 FEATURES = 1 << 14
 _TERM = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n")
 _encodings: dict[str, object] = {}
@@ -178,10 +178,12 @@ def members(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER
 def fit_rates(docs: DataFrame, goal: list[tuple[str, float, int]], total_tokens: float | None = None, tolerance: float = 1e-6, max_steps: int = 60, keep: int = 8) -> tuple[DataFrame, float]:
     """`docs` with `rate`, and the wanted total of tokens.
 
-    Without `total_tokens` the total is the largest at which no domain with documents needs more than all its repeats.
+    Without targets all rates are 0. Without `total_tokens` the total is the largest at which no domain with documents needs more than all its repeats.
     Every `keep` steps the rates are written to the shared folder, so a step replays at most `keep` steps.
     """
     k = len(goal)
+    if not k:
+        return docs.withColumn("rate", F.lit(0.0)), 0.0
     sums = [F.sum(F.get("p", F.lit(i)) * F.col("tokens")).alias(f"m{i}") for i in range(k)] + [F.sum(F.get("p", F.lit(i)) * F.col("tokens") * F.col("cap")).alias(f"c{i}") for i in range(k)]
     row = docs.agg(*sums).first()
     mass = np.array([row[f"m{i}"] or 0.0 for i in range(k)])
