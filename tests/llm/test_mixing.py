@@ -56,7 +56,7 @@ def test_soft_labels(spark):
     r = docs.where("source = 'abstract'").first()
     assert 0.5 < r.p[[g[0] for g in goal].index("abstract")] <= 1.0
     rates, _ = M.fit_rates(docs, goal)
-    sums = [rates.agg(F.sum(F.col("rate") * F.col("tokens") * F.get("p", F.lit(i)))).first()[0] for i in range(3)]
+    sums = [rates.agg(F.sum(F.col("rate") * F.col("tokens") * F.get("p", F.lit(i)))).first()[0] for i in range(4)]
     assert sums[0] / sum(sums) == pytest.approx(0.5, abs=0.03)
 
 
