@@ -59,6 +59,6 @@ def enforce(df: DataFrame, contract: Contract, name: str = "table") -> DataFrame
 
 
 def distinct_siblings(spark, path: str, least: int) -> DataFrame:
-    """One row: files under a path, distinct contents (by SHA-256), and whether there are at least `least` of those."""
+    """One row: files under a path, distinct contents (by SHA-256), and whether there are at least `least` of those. Empty files are not counted."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return f.select(F.sha2("content", 256).alias("h")).agg(F.count(F.lit(1)).alias("files"), F.countDistinct("h").alias("contents")).withColumn("ok", F.col("contents") >= least)

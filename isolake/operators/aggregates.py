@@ -57,10 +57,10 @@ def combinations(sets: DataFrame, key: str, name: str, max_names: int = 16) -> D
     """(combination, samples) for every non-empty subset of each sample's names. Refused beyond `max_names` distinct names."""
     if (n := sets.select(name).distinct().count()) > max_names:
         raise ContractError(f"{n} names have too many combinations (limit {max_names})")
-    s = sets.where(F.col(name).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(name)).alias("s"))
-    masks = F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("s")) - 1))
-    picked = s.withColumn("m", masks).select(F.filter("s", lambda x, i: F.call_function("getbit", F.col("m").cast("long"), i) == 1).alias("p"))
-    return picked.groupBy(F.array_join("p", "+").alias("combination")).agg(F.count(F.lit(1)).alias("samples"))
+    s = sets.where(F.col(name).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(name)).alias("__s"))
+    masks = F.explode(F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("__s")) - 1))
+    picked = s.withColumn("__m", masks).select(F.filter("__s", lambda x, i: F.call_function("getbit", F.col("__m").cast("long"), i) == 1).alias("__p"))
+    return picked.groupBy(F.array_join("__p", "+").alias("combination")).agg(F.count(F.lit(1)).alias("samples"))
 
 
 def distribution_map(df: DataFrame, key: Sequence[str], value: str, name: str, unknown: str = "unknown") -> DataFrame:

@@ -37,11 +37,24 @@ def write_fasta(df: DataFrame, path: str, header: str = "header", seq: str = "se
 
 def file_integrity(spark: SparkSession, path: str, min_bytes: int = 1) -> DataFrame:
     """(file, bytes, verdict) of every file under a path; the first failing rule wins: zero_byte_file, gzip, not_fasta, undersized, ok."""
-    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    magic = F.hex(F.substring("content", 1, 2))
-    start = F.hex(F.substring("content", 1, 1))
-    verdict = F.when(F.col("length") == 0, "zero_byte_file").when(magic == "1F8B", "gzip").when(start != "3E", "not_fasta").when(F.col("length") < min_bytes, "undersized").otherwise("ok")
-    return f.select(F.col("path").alias("file"), F.col("length").alias("bytes"), verdict.alias("verdict"))
+    listed = spark.createDataFrame(list_files(spark, path), "file string, bytes long")
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file"), F.hex(F.substring("content", 1, 2)).alias("magic"))
+    j = listed.join(f, "file", "left")
+    verdict = F.when(F.col("bytes") == 0, "zero_byte_file").when(F.col("magic") == "1F8B", "gzip").when(~F.coalesce(F.col("magic").startswith("3E"), F.lit(False)), "not_fasta").when(F.col("bytes") < min_bytes, "undersized").otherwise("ok")
+    return j.select("file", "bytes", verdict.alias("verdict"))
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(file, bytes) below a path, empty files included (a scan leaves those out). Names beginning with a dot or underscore are skipped."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    it = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while it.hasNext():
+        s = it.next()
+        if not s.getPath().getName().startswith((".", "_")):
+            out.append((s.getPath().toString(), s.getLen()))
+    return out
 
 
 def discover(spark: SparkSession, path: str, pattern: str = r"(GC[A-Z]_[0-9]+\.[0-9]+)") -> DataFrame:
