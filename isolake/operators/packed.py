@@ -12,6 +12,7 @@ Only texts that hold a delimiter, a quote or an opening bracket are scored: all
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -66,8 +67,8 @@ def split_delimited(text: Column, delimiters: Column, quote: Column) -> Column:
     pieces = F.filter(F.transform(F.split(F.call_function("array_join", outside, quote), _CUT), _trim), lambda p: p != "")
 
     def unquote(p: Column) -> Column:
-        d = F.when(p.rlike(r'(?s)^"(?:[^"]++|"")*+"$'), F.replace(F.substr(p, F.lit(2), F.length(p) - 2), F.lit('""'), F.lit('"')))
-        a = F.when(p.rlike(r"(?s)^'(?:[^']++|'')*+'$"), F.replace(F.substr(p, F.lit(2), F.length(p) - 2), F.lit("''"), F.lit("'")))
+        d = F.when(p.startswith('"') & p.rlike(r'(?s)^"(?:[^"]++|"")*+"$'), F.replace(F.substr(p, F.lit(2), F.length(p) - 2), F.lit('""'), F.lit('"')))
+        a = F.when(p.startswith("'") & p.rlike(r"(?s)^'(?:[^']++|'')*+'$"), F.replace(F.substr(p, F.lit(2), F.length(p) - 2), F.lit("''"), F.lit("'")))
         inner = F.when(quote == '"', d).when(quote == "'", a)
         return F.translate(F.coalesce(inner, p), _KEPT, _CUT)
 
@@ -93,40 +94,70 @@ def text_id(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+_DIALECT = "struct<dialect:int,kind:string,delimiters:string,quote:string>"
+
+
+def _literal(value: object, schema: str) -> Column:
+    """A nested constant, as one literal in the plan."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
+def _by_signs() -> Column:
+    """For each combination of signs a text may hold, the dialects that could apply to it."""
+    every, out = dialects(), []
+    for signs in range(1 << (len(DELIMITERS) + 3)):
+        held = {d for i, d in enumerate(DELIMITERS) if signs >> i & 1}
+        quotes = {"", *(q for i, q in enumerate(('"', "'")) if signs >> (len(DELIMITERS) + i) & 1)}
+        brackets = signs >> (len(DELIMITERS) + 2) & 1
+        fits = [x for x in every if (brackets if x[1] == "json" else x[3] in quotes and all(d not in x[2] or d in held for d in DELIMITERS))]
+        out.append([dict(zip(("dialect", "kind", "delimiters", "quote"), x)) for x in fits])
+    return _literal(out, f"array<array<{_DIALECT}>>")
+
+
+def _signs(text: Column) -> Column:
+    tests = [text.rlike("[" + d.replace("|", "\\|") + "]") if len(d) > 1 else F.contains(text, F.lit(d)) for d in DELIMITERS]
+    tests += [F.contains(text, F.lit('"')), F.contains(text, F.lit("'")), _trim(text).startswith("[")]
+    out = F.lit(0)
+    for i, t in enumerate(tests):
+        out = out + F.when(t, 1 << i).otherwise(0)
+    return out
+
+
+def _parse(text: Column, d: Column) -> Column:
+    return F.when(d["kind"] == "json", split_json(_trim(text))).otherwise(split_delimited(text, d["delimiters"], d["quote"]))
+
+
 def candidates(texts: DataFrame) -> DataFrame:
-    """(field, tid) with each dialect that could apply to the text: `dialect` (number) and `values`. Equal parses keep the preferred dialect."""
-    table = F.array(*[F.struct(F.lit(i).alias("dialect"), F.lit(k).alias("kind"), F.lit(d).alias("delimiters"), F.lit(q).alias("quote")) for i, k, d, q in dialects()])
+    """(cid, field, tid, cands) of each distinct text: its parses by the dialects that could apply, equal parses by the preferred dialect only.
+
+    `cands` are (dialect, n_delimiters, values, ok), ok where the field rule gives the same values. `cid` is a short number for the row;
+    it is only meaningful once the frame has been written.
+    """
     t = F.col("text")
-    held = F.concat(*[F.when(t.rlike("[" + d.replace("|", "\\|") + "]"), F.lit(d)).otherwise(F.lit("")) for d in DELIMITERS])
-    fits = F.filter(
-        table,
-        lambda d: F.when(d["kind"] == "json", _trim(t).startswith("[")).otherwise(
-            (_translate(d["delimiters"], F.col("held"), F.lit("")) == "") & ((d["quote"] == "") | F.contains(t, d["quote"]))
-        ),
-    )
-    x = texts.withColumn("held", held).withColumn("d", F.explode(fits)).drop("held")
-    values = F.when(F.col("d.kind") == "json", split_json(_trim(t))).otherwise(split_delimited(t, F.col("d.delimiters"), F.col("d.quote")))
-    x = x.select("field", text_id(t).alias("tid"), F.col("d.dialect").alias("dialect"), F.length("d.delimiters").alias("n_delimiters"), values.alias("values")).where("values IS NOT NULL")
-    return x.groupBy("field", "tid", "values").agg(F.min("dialect").alias("dialect"), F.min_by("n_delimiters", "dialect").alias("n_delimiters"))
+    made = F.transform(F.get(_by_signs(), _signs(t)), lambda d: F.struct(d["dialect"].alias("dialect"), F.length(d["delimiters"]).alias("n_delimiters"), _parse(t, d).alias("values")))
+    x = texts.select("field", text_id(t).alias("tid"), split_by_rule(t).alias("rule"), F.filter(made, lambda c: c["values"].isNotNull()).alias("c"))
+    first = F.filter("c", lambda c, i: ~F.exists(F.slice("c", 1, i), lambda o: o["values"] == c["values"]))
+    cands = F.transform(first, lambda c: F.struct(c["dialect"].alias("dialect"), c["n_delimiters"].alias("n_delimiters"), c["values"].alias("values"), (c["values"] == F.col("rule")).alias("ok")))
+    return x.select(F.monotonically_increasing_id().alias("cid"), "field", "tid", cands.alias("cands"))
 
 
 def choose(texts: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
-    """(field, tid, dialect, values): the cheapest parse of each distinct text (field, text)."""
+    """(field, tid, dialect, ok): the dialect of the cheapest parse of each distinct text (field, text)."""
     cand = materialise(candidates(texts), "packed")
-    values = cand.select("field", "tid", "dialect", F.explode("values").alias("value"))
-    book = values.select("field", "tid", "value").distinct().groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = cand.select("field", "tid").distinct().groupBy("field").agg(F.count(F.lit(1)).alias("total"))
-    priced = salted_join(values, book, ["field", "value"], "inner", rows_per_task).join(F.broadcast(total), "field")  # one row a field
+    seen = cand.select("field", F.explode(F.array_distinct(F.flatten(F.transform("cands", lambda c: c["values"])))).alias("value"))
+    book = seen.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = cand.groupBy("field").agg(F.count(F.lit(1)).alias("total"))
+    several = cand.where(F.size("cands") > 1)
+    values = several.select("cid", "field", F.explode("cands").alias("c")).select("cid", "field", "c.dialect", F.explode("c.values").alias("value"))
+    priced = salted_join(values, book, ["field", "value"], "inner", rows_per_task, F.xxhash64("cid")).join(F.broadcast(total), "field")  # one row a field
     spelled = CHAR_BITS * F.length("value")
     code = F.least(spelled, spelled / F.col("n") + F.log2((F.col("total") + 1) / F.col("n"))) + _lying(F.col("value"))
-    bits = priced.groupBy("field", "tid", "dialect").agg(F.sum(code + END_BITS).alias("bits"))
-    order = F.struct(F.round(F.coalesce("bits", F.lit(0.0)) + F.col("n_delimiters") * 0.25, 3), "dialect")
-    return (
-        cand.join(bits, ["field", "tid", "dialect"], "left")
-        .groupBy("field", "tid")
-        .agg(F.min_by(F.struct("dialect", "values"), order).alias("best"))
-        .select("field", "tid", "best.dialect", F.col("best.values").alias("values"))
-    )
+    bits = priced.groupBy("cid", "dialect").agg(F.sum(code + END_BITS).alias("bits"))
+    costs = bits.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("dialect", "bits"))).alias("bits"))  # at most one entry a dialect
+    narrow = cand.select("cid", "field", "tid", F.transform("cands", lambda c: F.struct(c["dialect"].alias("dialect"), c["n_delimiters"].alias("n_delimiters"), c["ok"].alias("ok"))).alias("cs"))
+    cost = lambda c: F.round(F.coalesce(F.try_element_at("bits", c["dialect"]), F.lit(0.0)) + c["n_delimiters"] * 0.25, 3)
+    best = F.array_min(F.transform("cs", lambda c: F.struct(cost(c).alias("cost"), c["dialect"].alias("dialect"), c["ok"].alias("ok"))))
+    return narrow.join(costs, "cid", "left").select("field", "tid", best.alias("b")).select("field", "tid", "b.dialect", "b.ok")
 
 
 def packed_fields(sources: Sequence[tuple[str, DataFrame, str, Sequence[str]]]) -> DataFrame:
@@ -143,19 +174,20 @@ def packed_fields(sources: Sequence[tuple[str, DataFrame, str, Sequence[str]]])
 
 
 def parsed(sources: Sequence[tuple[str, DataFrame, str, Sequence[str]]], rows_per_task: int = 2_000_000) -> DataFrame:
-    """(table_name, row_key, field, text, dialect, chosen, values): `chosen` by description length, `values` after the exact check.
+    """(table_name, row_key, field, text, dialect, corrected, values): each field parsed by its dialect of least description length.
 
-    The check replaces a choice that the field rule contradicts; `p4_dialects` counts how often.
+    The exact check compares that parse with the field rule; where they differ the rule's values stand and `corrected` is true. Texts
+    without any sign that a dialect could use are one value and have no dialect.
     """
     rows = packed_fields(sources)
     contested = F.col("text").rlike("[,;|\r\n\"\\[]")
-    plain = rows.where(~contested).withColumn("dialect", F.lit(None).cast("int")).withColumn("chosen", F.array(_trim(F.col("text")))).withColumn("values", F.col("chosen"))
+    plain = rows.where(~contested).withColumn("dialect", F.lit(None).cast("int")).withColumn("corrected", F.lit(False)).withColumn("values", F.array(_trim(F.col("text"))))
     hard = rows.where(contested)
-    best = choose(hard.select("field", "text").distinct(), rows_per_task).withColumnRenamed("values", "chosen")
+    best = choose(hard.select("field", "text").distinct(), rows_per_task)
     found = salted_join(hard.withColumn("tid", text_id(F.col("text"))), best, ["field", "tid"], "inner", rows_per_task, F.xxhash64("row_key", "table_name"))
-    found = found.withColumn("rule", split_by_rule(F.col("text")))
-    found = found.withColumn("values", F.when(F.col("chosen") == F.col("rule"), F.col("chosen")).otherwise(F.col("rule")))
-    return found.select(*plain.columns).unionByName(plain)
+    table = _literal([dict(zip(("dialect", "kind", "delimiters", "quote"), d)) for d in dialects()], f"array<{_DIALECT}>")
+    values = F.when(F.col("ok"), _parse(F.col("text"), F.get(table, F.col("dialect")))).otherwise(split_by_rule(F.col("text")))
+    return found.withColumn("corrected", ~F.col("ok")).withColumn("values", values).select(*plain.columns).unionByName(plain)
 
 
 def exploded(parsed_fields: DataFrame) -> DataFrame:

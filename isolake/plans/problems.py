@@ -43,7 +43,7 @@ def p4_dialects(spark: SparkSession, sf: str) -> DataFrame:
     names = F.array(*[F.lit(" ".join([kind, *(["quote " + q] if q else []), *["U+%04X" % ord(c) for c in d]])) for _, kind, d, q in packed.dialects()])
     p = _packed(spark, sf)
     dialect = F.when(F.col("dialect").isNull(), "single value").otherwise(F.element_at(names, F.col("dialect") + 1))
-    return p.groupBy("field", dialect.alias("dialect")).agg(F.count(F.lit(1)).alias("fields"), F.sum((F.col("chosen") != F.col("values")).cast("long")).alias("corrected"))
+    return p.groupBy("field", dialect.alias("dialect")).agg(F.count(F.lit(1)).alias("fields"), F.sum(F.col("corrected").cast("long")).alias("corrected"))
 
 
 def reference_graph(spark: SparkSession, sf: str) -> tuple[dict[str, orphans.Node], list[orphans.Edge]]:
