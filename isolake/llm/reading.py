@@ -38,6 +38,7 @@ _MARK = re.compile(r"^[ \t]*(?:(?:[-*•>+#]+|\(?\d{1,3}[.)])[ \t]+)+", re.M)
 _INNER_MARK = re.compile(r"(?<=[.!?])[ \t]+(?:\(?\d{1,3}\)[ \t]+|[-•][ \t]+)(?=[A-Z\"“])")
 _GENES = re.compile(r"\bGenes?:\s*[^\s,]+(?:,\s+[^\s,]+)*")
 _ABBREVIATION = re.compile(r"\b(?:i\.e|e\.g|cf|vs|pp|ref|fig|etc|al)\.", re.I)
+_STOPS = tuple(f"{a}." for a in ("i.e", "e.g", "cf", "vs", "pp", "ref", "fig", "etc", "al"))
 _WRAP = re.compile(r"(?<!\n)\n(?!\n)")
 _SENTENCE = re.compile(r"[.!?]+(?=[\s\"”')\]*_]|$)|\n\s*\n")
 _TOKEN = re.compile(r"[^\s.,;:!?\"“”()\[\]{}*_`<>|/=+]+")
@@ -58,14 +59,20 @@ def plain(text: str, cuts: Iterable[tuple[int, int]] = ()) -> str:
     text = _GENES.sub(_BREAK, text)
     text = _CLOCK.sub(_BREAK, text)
     text = _INNER_MARK.sub(_BREAK, _MARK.sub(_BREAK, text))
-    text = _ABBREVIATION.sub(" ", _NOTE.sub(" ", text))
+    text = _NOTE.sub(" ", text)
+    low = text.lower()
+    if any(a in low for a in _STOPS):
+        text = _ABBREVIATION.sub(" ", text)
     return _WRAP.sub(" ", text)
 
 
 def sentences(text: str) -> list[list[str]]:
+    """Lower-case words of each sentence; words with a digit are names or numbers and left out."""
     out = []
-    for s in _SENTENCE.split(text):
-        w = [x for x in (t.strip("'’-–").lower() for t in _TOKEN.findall(s) if not _NAME.search(t)) if x]
+    for s in _SENTENCE.split(text.lower()):
+        w = [t if t.isalpha() else t.strip("'’-–") for t in _TOKEN.findall(s) if t.isalpha() or not _NAME.search(t)]
+        if w and not all(w):
+            w = [t for t in w if t]
         if w:
             out.append(w)
     return out
