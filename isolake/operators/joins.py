@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isolake.errors import ContractError, MismatchError
+from isolake.errors import ContractError, LimitError, MismatchError
 from isolake.operators.guards import require_unique
 
 
@@ -120,12 +120,19 @@ def locus_coverage(spans: DataFrame, loci: DataFrame, group: Sequence[str], locu
     )
 
 
+def product(left: DataFrame, right: DataFrame, max_cells: int, max_right: int = 10_000) -> DataFrame:
+    """Every combination of the rows of two small dimensions. The product is the result, so its size is checked first, and so is the right side, which goes to every task."""
+    m = right.count()
+    n = left.count() * m
+    if n > max_cells or m > max_right:
+        raise LimitError(f"a product of {n} rows is above {max_cells}, or its right side of {m} above {max_right}")
+    rows = right.agg(F.collect_list(F.struct(*right.columns))).scalar()
+    return left.withColumn("__right", F.explode(rows)).select(*left.columns, "__right.*")
+
+
 def grid(left: DataFrame, right: DataFrame, values: DataFrame, keys: Sequence[str], max_cells: int = 100_000_000) -> DataFrame:
-    """Every combination of two dimensions with its value or null. The grid is the result; its size is checked first."""
-    n = left.count() * right.count()
-    if n > max_cells:
-        raise ContractError(f"a grid of {n} cells is above {max_cells}")
-    return left.crossJoin(right).join(values, list(keys), "left")
+    """Every combination of two dimensions with its value or null."""
+    return product(left, right, max_cells).join(values, list(keys), "left")
 
 
 def mixed_annotation(df: DataFrame, keys: Sequence[str], value: str, name: str, none: str = "not_assessed") -> DataFrame:

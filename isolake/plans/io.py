@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from isolake import contracts
 from isolake.functions import scalars as fn
+from isolake.operators.guards import require_same_keys
 from isolake.plans.relational import _SEQS, _sequences
 from isolake.plans.views import Catalogue, calls, presence, samples, table
 from isolake.session import new_dir
@@ -74,14 +75,15 @@ def s009_vcf(spark, sf):
     return variants.parse_vcf(spark.read.text(path)).drop("MQ0F")
 
 
-@q("SELECT sample_id, count(*) AS n_calls FROM calls WHERE sample_id IN (SELECT sample_id FROM (SELECT sample_id FROM calls WHERE sample_id IS NOT NULL GROUP BY 1) ) GROUP BY 1")
-def s010_per_sample_files(spark, sf):
-    path = new_dir(spark, "per_sample")
-    c = calls(spark, sf).where("sample_id IS NOT NULL").select("sample_id", F.concat_ws("\t", "sample_id", "determinant").alias("value"))
-    ids = c.select("sample_id").distinct()
-    c.repartition("sample_id").write.partitionBy("sample_id").text(path)
-    lines = spark.read.text(path).select(F.regexp_extract("value", "^([^\t]+)", 1).alias("sample_id"))
-    return lines.join(ids, "sample_id", "left_semi").groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_calls"))
+@q("SELECT antibiotic AS sample_id, count(*) AS n_calls FROM calls WHERE antibiotic IS NOT NULL GROUP BY 1")
+def s010_per_group_files(spark, sf):
+    """One folder a group, each group of the manifest must have one."""
+    path = new_dir(spark, "per_group")
+    c = calls(spark, sf).where("antibiotic IS NOT NULL").select("antibiotic", F.concat_ws("\t", "antibiotic", "determinant").alias("value"))
+    c.repartition("antibiotic").write.partitionBy("antibiotic").text(path)
+    lines = spark.read.text(path)
+    require_same_keys(lines.select("antibiotic").distinct(), c.select("antibiotic").distinct(), "antibiotic", ("files", "manifest"))
+    return lines.groupBy(F.col("antibiotic").alias("sample_id")).agg(F.count(F.lit(1)).alias("n_calls"))
 
 
 @q("SELECT call_id, gene FROM calls WHERE determinant_type = 'point'")
@@ -130,12 +132,12 @@ def s018_block_scan(spark, sf):
     return variants.parse_table(lines, (("r_start", "long"), ("identity", "double"), ("name", "string")))
 
 
-@q("SELECT gene, sample_id FROM presence WHERE sample_id IN (SELECT sample_id FROM samples WHERE lineage IN ('L09', 'L10', 'L11'))")
+@q("SELECT DISTINCT gene, lineage AS sample_id FROM presence JOIN samples USING (sample_id) WHERE lineage IS NOT NULL")
 def s022_wide_presence(spark, sf):
-    keep = samples(spark, sf).where("lineage IN ('L09', 'L10', 'L11')").select("sample_id").distinct()
-    p = presence(spark, sf).join(keep, "sample_id", "left_semi")
-    names = [r[0] for r in p.select("sample_id").distinct().orderBy("sample_id").limit(5000).collect()]
-    wide = p.withColumn("cell", F.lit("x")).groupBy("gene").pivot("sample_id", names).agg(F.max("cell"))
+    """Genes x lineages as a wide table, read back as a long one."""
+    p = presence(spark, sf).join(samples(spark, sf).where("lineage IS NOT NULL").select("sample_id", "lineage").distinct(), "sample_id")
+    names = [r[0] for r in p.select("lineage").distinct().orderBy("lineage").limit(1000).collect()]
+    wide = p.withColumn("cell", F.lit("x")).groupBy("gene").pivot("lineage", names).agg(F.max("cell"))
     path = new_dir(spark, "wide")
     wide.write.option("header", "true").csv(path)
     return reports.wide_presence(spark.read.option("header", "true").csv(path), "gene", names)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from isolake.plans import analysis, io, problems, relational
+from isolake.plans import analysis, io, more, problems, relational
 
-MODULES = (problems, relational, analysis, io)
-FLAGSHIP = "p6_found"
+MODULES = (problems, relational, analysis, io, more)
+FLAGSHIP = "s158_fisher_scan"
 
 
 def queries() -> dict:
