@@ -22,7 +22,6 @@ from isolake.session import materialise
 RUN = 12
 _WORD = re.compile(r"[a-z0-9]+")
 _GAP = re.compile(r"[^a-z0-9]+")
-_automata: dict[int, object] = {}
 
 
 def normalise(text: str) -> str:
@@ -95,15 +94,6 @@ def passages(automaton, text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _automaton(broadcast, run: int):
-    """The worker's automaton of a broadcast, built once a process."""
-    key = broadcast._jbroadcast_id if hasattr(broadcast, "_jbroadcast_id") else id(broadcast.value)
-    if key not in _automata:
-        _automata.clear()
-        _automata[key] = build(broadcast.value, run)
-    return _automata[key]
-
-
 def item_blocks(items: DataFrame, max_chars: int = 20_000_000) -> Iterator[list[tuple[int, str]]]:
     """The items (item_id, text) in blocks of about `max_chars` characters, brought to the driver one block at a time."""
     items = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates()
@@ -126,7 +116,7 @@ def find_passages(documents: DataFrame, items: DataFrame, run: int = RUN, max_ch
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            a = _automaton(shared, run)
+            a = build(shared.value, run)  # once a task
             for b in batches:
                 rows = [(d, *p) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) if t for p in passages(a, t)]
                 cols = list(zip(*rows)) or [[], [], [], []]

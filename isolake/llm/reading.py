@@ -152,9 +152,6 @@ def fit_anchors(anchors: DataFrame, **options) -> LevelModel:
     return fit(((r.level, *features(r.text)) for r in rows if r.text.strip()), **options)
 
 
-_built: dict[str, object] = {}
-
-
 def levels(documents: DataFrame, anchors: DataFrame, items: DataFrame, lang: str = "en", max_chars: int = 20_000_000, **options) -> DataFrame:
     """(doc_id, level, posterior) of the documents in `lang` whose text is not blank.
 
