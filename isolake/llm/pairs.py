@@ -135,6 +135,8 @@ class PairTable:
         now = (F.col("now") == 1) & F.col("admitted")
         was = (F.col("was") == 1) & F.col("was_admitted")
         rows = rows.select("basket", "item", (now.cast("int") - was.cast("int")).alias("st")).where(now | was)
+        rows.write.mode("overwrite").parquet(f"{work}/rows")
+        rows = self.spark.read.parquet(f"{work}/rows")
         deltas = self._pair_deltas(rows).withColumn("bucket", self._bucket("a", "b"))
         deltas.write.mode("overwrite").parquet(f"{work}/pairs")
         deltas = self.spark.read.parquet(f"{work}/pairs")
