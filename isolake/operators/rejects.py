@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -90,11 +91,11 @@ def _stand_ins(text: str, wanted: str) -> dict[str, str]:
     return {c: next(x for x in free if x not in used) for c in wanted}
 
 
-def _read_files(con, files: list[list[tuple[int, str]]]) -> tuple[list[tuple[int, list[str]]], dict[int, set[str]]]:
-    """DuckDB's verdict on the records of some files, read in one scan: accepted rows (number, values) and error types by number."""
+@contextmanager
+def _as_files(con, files: list[list[tuple[int, str]]]) -> Iterator[tuple[str, str, str]]:
+    """(table function over the records, one line each, and the stand-ins in it with their originals)."""
     swap = _stand_ins("".join(raw for records in files for _, raw in records), " \r\n\x00\x01")
     there = str.maketrans(swap)
-    back = str.maketrans({v: k for k, v in swap.items()})
     guard = '\x01"' + f"\t{_END}" * (len(AMR_COLUMNS) + 1) + "\n"
     fds, longest = [], 0
     try:
@@ -112,40 +113,62 @@ def _read_files(con, files: list[list[tuple[int, str]]]) -> tuple[list[tuple[int
         paths = ", ".join(f"'/proc/{os.getpid()}/fd/{fd}'" for fd in fds)
         columns = ", ".join(f"'c{i}': 'VARCHAR'" for i in range(len(AMR_COLUMNS) + 2))
         size = max(2 << 20, longest + 1024)
-        rows = con.execute(
-            f"""SELECT * FROM read_csv([{paths}], columns={{{columns}}}, auto_detect=false, header=false,
-            delim='\t', quote='"', escape='"', comment='', strict_mode=true, null_padding=false, store_rejects=true,
-            rejects_limit=0, parallel=false, max_line_size={size}, buffer_size={16 * size if size < 8 << 20 else 2 * size})"""
-        ).fetchall()
-        errors: dict[int, set[str]] = {}
-        for line, kind in con.execute("SELECT csv_line, error_type FROM reject_errors").fetchall():
-            number = line.partition("\t")[0]
-            if number.isdigit():
-                errors.setdefault(int(number), set()).add("UNQUOTED VALUE" if "\x01" in line else kind)
+        yield (
+            f"""read_csv([{paths}], columns={{{columns}}}, auto_detect=false, header=false, delim='\t', quote='"', escape='"',
+            comment='', strict_mode=true, null_padding=false, store_rejects=true, rejects_limit=0, parallel=false,
+            max_line_size={size}, buffer_size={16 * size if size < 8 << 20 else 2 * size})""",
+            "".join(swap.values()),
+            "".join(swap),
+        )
         con.execute("DROP TABLE IF EXISTS reject_errors; DROP TABLE IF EXISTS reject_scans")
     finally:
         for fd in fds:
             os.close(fd)
-    return [(int(r[0]), ["" if x is None else x.translate(back) for x in r[1:-1]]) for r in rows if r[-1] == _END and r[0] and r[0].isdigit()], errors
 
 
-def check_records(con, files: list[list[tuple[int, str]]]) -> dict[int, tuple[str | None, list[str | None] | None]]:
-    """For each numbered record of some files: (reason or None, cleaned values or None)."""
-    good, _ = _read_files(con, files)
-    out: dict[int, tuple[str | None, list[str | None] | None]] = {}
-    for k, values in good:
-        out[k] = _typed(values)
+def accepted_values(con, files: list[list[tuple[int, str]]]) -> dict[int, list[str]]:
+    """What the reader alone accepts: number -> values as they stand, of numbered records in some files."""
+    with _as_files(con, files) as (source, stand_ins, originals):
+        back = str.maketrans(dict(zip(stand_ins, originals)))
+        rows = con.execute(f"SELECT * FROM {source}").fetchall()
+    return {int(r[0]): ["" if x is None else x.translate(back) for x in r[1:-1]] for r in rows if r[-1] == _END and r[0] and r[0].isdigit()}
+
+
+def check_records(con, files: list[list[tuple[int, str]]]) -> tuple[pa.Table, dict[int, tuple[str | None, list[str | None] | None]], dict[int, set[str]]]:
+    """(accepted, rejected, errors) of the numbered records of some files, read in one scan.
+
+    `accepted` has the number, the first value fault or null, and typed columns; `rejected` maps each other record's number to its
+    reason and cleaned values; `errors` are the reader's own error types of those, joined by number.
+    """
+    names = [f"c{i}" for i in range(1, len(AMR_COLUMNS) + 1)]
+    with _as_files(con, files) as (source, stand_ins, originals):
+        cleaned = ", ".join(f"nullif(nullif(trim(translate({c}, $from, $to), $blanks), ''), '.') AS {n}" for c, n in zip(names, AMR_COLUMNS))
+        good = con.sql(
+            f"""WITH r AS (SELECT c0, {cleaned} FROM {source} WHERE c{len(AMR_COLUMNS) + 1} = $last AND regexp_full_match(c0, '[0-9]+')),
+            f AS (SELECT *, CASE WHEN determinant IS NULL THEN 'determinant'
+                WHEN NOT regexp_full_match(coalesce(identity_pct, '0'), $pct) THEN 'identity_pct'
+                WHEN NOT regexp_full_match(coalesce(coverage_pct, '0'), $pct) THEN 'coverage_pct' END AS reason FROM r)
+            SELECT CAST(c0 AS BIGINT) AS k, reason, {", ".join(AMR_COLUMNS[:-2])},
+                CASE WHEN reason IS NULL THEN CAST(identity_pct AS DOUBLE) END AS identity_pct, CASE WHEN reason IS NULL THEN CAST(coverage_pct AS DOUBLE) END AS coverage_pct FROM f""",
+            params={"from": stand_ins, "to": originals, "blanks": BLANKS, "last": _END, "pct": _PERCENT.pattern},
+        ).to_arrow_table()
+        errors: dict[int, set[str]] = {}
+        for line, kind in con.execute("SELECT csv_line, error_type FROM reject_errors").fetchall():
+            number = line.partition("\t")[0]
+            if number.isdigit():
+                errors.setdefault(int(number), set()).add("UNQUOTED VALUE" if "\x01" in line else kind)
     by_number = {k: raw for records in files for k, raw in records}
-    for k in by_number.keys() - out.keys():
+    rejected: dict[int, tuple[str | None, list[str | None] | None]] = {}
+    for k in by_number.keys() - set(good.column("k").to_pylist()):
         # the reader stops at the first error of a record; the raw record tells which reason comes first
         values = split_values(by_number[k])
         if values is None:
-            out[k] = ("quoting", None)
+            rejected[k] = ("quoting", None)
         elif len(values) != len(AMR_COLUMNS):
-            out[k] = ("column_count", None)
+            rejected[k] = ("column_count", None)
         else:  # refused for another reason, such as a bound of the reader
-            out[k] = _typed(values)
-    return out
+            rejected[k] = _typed(values)
+    return good, rejected, errors
 
 
 def _typed(values: list[str]) -> tuple[str | None, list[str | None] | None]:
@@ -162,25 +185,33 @@ SCHEMA = T.StructType(
 
 def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import duckdb
-
-    con = duckdb.connect(":memory:", config={"threads": 1})
+    import pyarrow.compute as pc
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    con = duckdb.connect(":memory:", config={"threads": 1})
     schema = to_arrow_schema(SCHEMA)
     for batch in batches:
-        ids, files, nos, raws = (batch.column(c).to_pylist() for c in ("line_id", "file_name", "line_no", "raw"))
+        files, raws = batch.column("file_name").to_pylist(), batch.column("raw").to_pylist()
         by_file: dict[str | None, list[tuple[int, str]]] = {}
         for k, raw in enumerate(raws):
             if not skipped(raw):
                 by_file.setdefault(files[k], []).append((k, raw))
-        out: list[dict] = []
-        for k, (reason, values) in (check_records(con, list(by_file.values())) if by_file else {}).items():
+        if not by_file:
+            continue
+        good, rejected, _ = check_records(con, list(by_file.values()))
+        rest = []
+        for k, (reason, values) in rejected.items():
             row = dict(zip(AMR_COLUMNS, values)) if values else {}
-            for c in ("identity_pct", "coverage_pct"):
-                if row.get(c) is not None:
-                    row[c] = float(row[c])
-            out.append({"line_id": ids[k], "file_name": files[k], "line_no": nos[k], "reason": reason, "raw": raws[k] if reason else None, **row})
-        yield pa.RecordBatch.from_pylist(out, schema=schema)
+            rest.append({"k": k, "reason": reason, **{c: float(v) if c.endswith("_pct") and v is not None else v for c, v in row.items()}})
+        types = pa.schema([("k", pa.int64()), ("reason", pa.string()), *[(f.name, f.type) for f in schema if f.name in AMR_COLUMNS]])
+        out = pa.concat_tables([good.cast(types), pa.Table.from_pylist(rest, types)]).combine_chunks()
+        k, failed = out.column("k").combine_chunks(), pc.is_valid(out.column("reason").combine_chunks())
+        none = pa.scalar(None, pa.string())
+        columns = {c: batch.column(c).take(k) for c in ("line_id", "file_name", "line_no")}
+        columns |= {"reason": out.column("reason").combine_chunks(), "raw": pc.if_else(failed, batch.column("raw").take(k), none)}
+        for c in AMR_COLUMNS:
+            columns[c] = pc.if_else(failed, pa.scalar(None, types.field(c).type), out.column(c).combine_chunks())
+        yield pa.RecordBatch.from_arrays([pa.array(columns[f.name]) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in schema], schema=schema)
     con.close()
 
 

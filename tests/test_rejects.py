@@ -90,5 +90,4 @@ def test_the_reader_alone_agrees_with_the_rule():
     for _ in range(15):
         recs = [(k, "".join(rnd.choice('ab\t\t\t"" \n\r.,') for _ in range(rnd.randrange(40)))) for k in range(150)]
         recs = [x for x in recs if not R.skipped(x[1])]
-        good, _ = R._read_files(con, [recs[:70], recs[70:]])
-        assert dict(good) == {k: v for k, raw in recs if (v := R.split_values(raw)) is not None and len(v) == 14}
+        assert R.accepted_values(con, [recs[:70], recs[70:]]) == {k: v for k, raw in recs if (v := R.split_values(raw)) is not None and len(v) == 14}
