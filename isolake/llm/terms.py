@@ -98,14 +98,15 @@ def _stack_count(length: int):
     return count
 
 
-def ngram_counts(rows: DataFrame, length: int, rows_per_task: int = 2_000_000) -> DataFrame:
+def ngram_counts(rows: DataFrame, length: int, rows_per_task: int = 2_000_000, counted: DataFrame | None = None) -> DataFrame:
     """(t1..tn, occurrences, records) of every n-gram of up to `length` terms, from rows as `suffixes` gives them.
 
     `n` counts occurrences, only rows with `holds` put their record into the record set. For length 1, rows must be
-    distinct by (t1, record). A null record holds nothing; unused positions are null.
+    distinct by (t1, record). A null record holds nothing; unused positions are null. Hot first terms are found by counting `counted`
+    (a cheaper frame with at least as many rows of each t1), or `rows` itself.
     """
     names = [f"t{k}" for k in range(1, length + 1)]
-    hot = F.broadcast(hot_keys(rows, ["t1"], rows_per_task))  # at most one row per rows_per_task rows
+    hot = F.broadcast(hot_keys(rows if counted is None else counted, ["t1"], rows_per_task))  # at most one row per rows_per_task rows
     salted = rows.join(hot, "t1", "left").withColumn("salt", F.pmod(F.xxhash64("record"), F.coalesce("__salts", F.lit(1))).cast("int"))
     routed = salted.withColumn("holds", F.col("holds") & F.col("record").isNotNull()).repartition("t1", "salt")
     ordered = routed.sortWithinPartitions("t1", "salt", *[F.col(c).desc_nulls_last() for c in names[1:]]).select(*names, "record", "n", "holds")
@@ -131,7 +132,8 @@ def gene_rows(presence: DataFrame) -> DataFrame:
 
 def gene_marks(presence: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
     """(gene, occurrences, records, mark) of every gene name; an empty table gives none."""
-    counts = ngram_counts(gene_rows(presence), 1, rows_per_task).withColumnRenamed("t1", "gene")
+    names = presence.select(F.btrim("gene", F.lit(" \t\r\n")).alias("t1"))
+    counts = ngram_counts(gene_rows(presence), 1, rows_per_task, names).withColumnRenamed("t1", "gene")
     return marked(counts, presence.agg(F.countDistinct("sample_id")).scalar())
 
 
