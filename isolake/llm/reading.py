@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ _NAME = re.compile(r"[0-9]")
 
 
 def plain(text: str, cuts: Iterable[tuple[int, int]] = ()) -> str:
-    """The text without what does not change its level; what was taken out between sentences leaves a break."""
+    """The text in lower case, without what does not change its level; what was taken out between sentences leaves a break."""
     cuts = sorted(cuts)
     if cuts:
         kept, at = [], 0
@@ -55,21 +56,27 @@ def plain(text: str, cuts: Iterable[tuple[int, int]] = ()) -> str:
                 kept.append(text[at:s])
             at = max(at, e)
         text = _BREAK.join([*kept, text[at:]])
-    text = _INLINE.sub(" ", _TAG.sub(_BREAK, text))
-    text = _GENES.sub(_BREAK, text)
-    text = _CLOCK.sub(_BREAK, text)
-    text = _INNER_MARK.sub(_BREAK, _MARK.sub(_BREAK, text))
-    text = _NOTE.sub(" ", text)
-    low = text.lower()
-    if any(a in low for a in _STOPS):
+    if "<" in text or "&" in text:
+        text = _INLINE.sub(" ", _TAG.sub(_BREAK, text))
+    if "Gene" in text:
+        text = _GENES.sub(_BREAK, text)
+    if ":" in text:
+        text = _CLOCK.sub(_BREAK, text)
+    text = _MARK.sub(_BREAK, text)
+    if ")" in text or "-" in text or "•" in text:
+        text = _INNER_MARK.sub(_BREAK, text)
+    if "(" in text or "[" in text:
+        text = _NOTE.sub(" ", text)
+    text = text.lower()
+    if any(a in text for a in _STOPS):
         text = _ABBREVIATION.sub(" ", text)
-    return _WRAP.sub(" ", text)
+    return _WRAP.sub(" ", text) if "\n" in text else text
 
 
 def sentences(text: str) -> list[list[str]]:
-    """Lower-case words of each sentence; words with a digit are names or numbers and left out."""
+    """The words of each sentence of a plain text; words with a digit are names or numbers and left out."""
     out = []
-    for s in _SENTENCE.split(text.lower()):
+    for s in _SENTENCE.split(text):
         w = [t if t.isalpha() else t.strip("'’-–") for t in _TOKEN.findall(s) if t.isalpha() or not _NAME.search(t)]
         if w and not all(w):
             w = [t for t in w if t]
@@ -81,30 +88,42 @@ def sentences(text: str) -> list[list[str]]:
 def features(text: str, cuts: Iterable[tuple[int, int]] = ()) -> tuple[Counter, float]:
     """Token counts and the mean sentence length of a text."""
     found = sentences(plain(text, cuts))
-    c: Counter = Counter()
+    c = Counter([w for s in found for w in s])
     for s in found:
-        c.update(s)
-        c[f"<{min(12, int(2 * math.log2(len(s))))}>"] += LENGTH_TOKENS
+        c[_length_token(len(s))] += LENGTH_TOKENS
     return c, sum(map(len, found)) / len(found) if found else 0.0
 
 
+@lru_cache(maxsize=4096)
+def _length_token(words: int) -> str:
+    return f"<{min(12, int(2 * math.log2(words)))}>"
+
+
 @dataclass
 class LevelModel:
     vocabulary: dict[str, int]
     log_p: np.ndarray  # component x token
     log_prior: np.ndarray  # component
     level: np.ndarray  # component
+    _rows: np.ndarray | None = None
 
     def posteriors(self, counts: Counter) -> dict[int, float]:
         """Posterior of each level. A text without known tokens gets the priors."""
-        known = [(self.vocabulary[w], k) for w, k in counts.items() if w in self.vocabulary]
-        s = self.log_prior.copy()
-        if known:
-            ids, k = zip(*known)
-            s = s + self.log_p[:, ids] @ np.array(k, float)
+        at = self.vocabulary.get
+        ids = [at(w, -1) for w in counts]
+        k = np.fromiter(counts.values(), float, len(ids))
+        ids = np.array(ids, dtype=np.intp)
+        seen = ids >= 0
+        s = self.log_prior + k[seen] @ self._by_token()[ids[seen]]
         p = np.exp(s - s.max())
         return {int(v): float(p[self.level == v].sum() / p.sum()) for v in np.unique(self.level)}
 
+    def _by_token(self) -> np.ndarray:
+        """Log probabilities with one contiguous row a token."""
+        if self._rows is None:
+            self._rows = np.ascontiguousarray(self.log_p.T)
+        return self._rows
+
     def best(self, counts: Counter) -> tuple[int, float]:
         """The most probable level (the lowest of equals) and its posterior."""
         p = self.posteriors(counts)
