@@ -406,7 +406,7 @@ s AS (SELECT feature, a::DOUBLE AS a, b::DOUBLE AS b, (n1 - a)::DOUBLE AS c, (n
 s3 AS (SELECT feature, ln((a + z) * (d + z) / ((b + z) * (c + z))) AS l, 1 / (1 / (a + z) + 1 / (b + z) + 1 / (c + z) + 1 / (d + z)) AS w FROM s2)"""
 
 
-@q(f", {_META} SELECT feature, count(*) AS strata, round(sum(w * l) / sum(w), 6) AS log_or, round(sqrt(1 / sum(w)), 6) AS se, round(greatest(0, sum(w * l * l) - sum(w * l) ** 2 / sum(w)), 5) AS q FROM s3 GROUP BY 1 HAVING count(*) >= 2")
+@q(f", {_META} SELECT feature, count(*) AS strata, round(sum(w * l) / sum(w), 6) + 0.0 AS log_or, round(sqrt(1 / sum(w)), 6) AS se, round(greatest(0, sum(w * l * l) - sum(w * l) ** 2 / sum(w)), 5) + 0.0 AS q FROM s3 GROUP BY 1 HAVING count(*) >= 2")
 def s179_meta_analysis(spark, sf):
     l = samples(spark, sf).where("lineage IS NOT NULL").select("sample_id", "lineage").distinct()
     o = phenotypes(spark, sf).select("sample_id", fn.binarise(F.col("phenotype"), ["R"], ["S"]).alias("y")).where("y IS NOT NULL").join(l, "sample_id")
@@ -414,7 +414,7 @@ def s179_meta_analysis(spark, sf):
     f = presence(spark, sf).join(o, "sample_id").groupBy(F.col("gene").alias("feature"), "lineage").agg(F.sum("y").alias("a"), (F.count(F.lit(1)) - F.sum("y")).alias("b"))
     strata = f.join(st, "lineage").select("feature", "a", "b", (F.col("n1") - F.col("a")).alias("c"), (F.col("n") - F.col("n1") - F.col("b")).alias("d"))
     m = stats.meta_analysis(strata)
-    return m.select("feature", "strata", F.round("log_or", 6).alias("log_or"), F.round("se", 6).alias("se"), F.round("q", 5).alias("q"))
+    return m.select("feature", "strata", (F.round("log_or", 6) + 0.0).alias("log_or"), F.round("se", 6).alias("se"), (F.round("q", 5) + 0.0).alias("q"))
 
 
 @q(""", g AS (SELECT gene, count(DISTINCT lineage) AS lineages, count(DISTINCT c.sample_id) AS carriers FROM calls c LEFT JOIN (SELECT DISTINCT sample_id, lineage FROM samples) s USING (sample_id) WHERE gene IS NOT NULL GROUP BY 1) SELECT gene, CASE WHEN carriers >= 20 AND lineages >= 5 THEN 'A' WHEN carriers >= 20 THEN 'B' WHEN carriers >= 5 THEN 'C' ELSE 'D' END AS tier FROM g""")

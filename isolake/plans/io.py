@@ -171,18 +171,27 @@ def s031_genotypes(spark, sf):
     return reports.genotypes(m, "Pilot_ID", "AMR_genotypes", ("COMPLETE", "PARTIAL", "POINT", "HMM", "MISTRANSLATION"))
 
 
-@q("SELECT sample_id, registered_at, coalesce(withdrawn_at IS NOT NULL, false) AS withdrawn FROM samples")
+q.oracle["s031_genotypes"] = r"""
+WITH m AS (SELECT DISTINCT Pilot_ID, AMR_genotypes AS t FROM pilot100_manifest WHERE AMR_genotypes IS NOT NULL AND trim(AMR_genotypes, e' \t\r\n') NOT IN ('', '.', 'NA', 'MISSING') AND NOT starts_with(trim(AMR_genotypes, e' \t\r\n'), '[')),
+p AS (SELECT Pilot_ID, unnest(list_transform(list_filter(list_transform(string_split(array_to_string(list_transform(string_split(t, '"'), lambda s, i: CASE WHEN i % 2 = 1 THEN translate(s, e',;|\r\n', repeat(chr(1), 5)) ELSE s END), '"'), chr(1)),
+    lambda x: trim(x, e' \t\r\n')), lambda x: x <> ''), lambda x: CASE WHEN regexp_full_match(x, '"(?:[^"]|"")*"', 's') THEN replace(x[2:-2], '""', '"') ELSE x END)) AS p FROM m),
+s AS (SELECT Pilot_ID, trim(split_part(p, '=', 1)) AS symbol, CASE WHEN contains(p, '=') THEN trim(split_part(p, '=', -1)) END AS state FROM p)
+SELECT Pilot_ID, CASE WHEN regexp_matches(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$') THEN regexp_extract(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$', 1) ELSE symbol END AS gene, nullif(regexp_extract(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$', 2), '') AS variant,
+    state, state IS NULL OR state IN ('COMPLETE', 'PARTIAL', 'POINT', 'HMM', 'MISTRANSLATION') AS known FROM s"""
+
+
+@q("SELECT sample_id, epoch_us(registered_at) AS registered_us, withdrawn_at IS NOT NULL AS withdrawn FROM samples")
 def s032_index_load(spark, sf):
     from isolake.operators.guards import require_unique
 
     s = samples(spark, sf)
-    return require_unique(s, ["sample_id"], "samples").select("sample_id", "registered_at", F.col("withdrawn_at").isNotNull().alias("withdrawn"))
+    return require_unique(s, ["sample_id"], "samples").select("sample_id", F.unix_micros("registered_at").alias("registered_us"), F.col("withdrawn_at").isNotNull().alias("withdrawn"))
 
 
-@q("SELECT id, list_sort(map_keys(m)) AS keys, m['k'] AS k FROM (SELECT event_id AS id, from_json(props, '\"MAP(VARCHAR,VARCHAR)\"') AS m FROM events)")
+@q("SELECT id, array_to_string(list_sort(map_keys(m)), ',') AS keys, m['k'] AS k FROM (SELECT event_id AS id, from_json(props, '\"MAP(VARCHAR,VARCHAR)\"') AS m FROM events)")
 def s035_json_sidecar(spark, sf):
     m = F.from_json("props", "map<string,string>")
-    return table(spark, sf, "events").select(F.col("event_id").alias("id"), F.array_sort(F.map_keys(m)).alias("keys"), F.try_element_at(m, F.lit("k")).alias("k"))
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys"), F.try_element_at(m, F.lit("k")).alias("k"))
 
 
 @q("SELECT subject, count(*) AS n FROM (SELECT DISTINCT * FROM execution) WHERE stage = 'amr' GROUP BY 1")
@@ -275,9 +284,10 @@ def s200_since_cursor(spark, sf):
     return ev.since(e, 100).select("seq", "event_type", F.col("gap").cast("long").alias("gap"))
 
 
-@q("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+@q("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def s202_windowed_counts(spark, sf):
-    return ev.windowed_counts(table(spark, sf, "events"), "ts", "1 day", "1 day", "event_type")
+    w = ev.windowed_counts(table(spark, sf, "events"), "ts", "1 day", "1 day", "event_type")
+    return w.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 @q(r"SELECT stage, arg_max(state, id) AS state, max(id) AS id FROM (SELECT DISTINCT regexp_extract(log_path, '^[^.]+\.([a-z_]+)\.log$', 1) AS stage, state, id FROM attempt_log WHERE log_path IS NOT NULL) WHERE stage <> '' GROUP BY 1")

@@ -223,10 +223,11 @@ def s078_homopolymer(spark, sf):
     return _sequences(spark, sf).select("doc_id", F.array_max(F.transform(runs, lambda r: F.length(r))).cast("long").alias("run"))
 
 
-@q("SELECT event_id, [try_cast(event_id % 7 AS DOUBLE), value] AS v FROM events", )
+@q("SELECT event_id, event_id % 7 + 0.0::DOUBLE AS first, value AS second, 2 AS n FROM events WHERE value IS NOT NULL")
 def s079_distance_vector(spark, sf):
     packed = F.concat_ws(" ; ", (F.col("event_id") % 7).cast("string"), F.col("value").cast("string"))
-    return table(spark, sf, "events").select("event_id", fn.parse_distances(packed).alias("v"))
+    v = table(spark, sf, "events").where("value IS NOT NULL").select("event_id", fn.parse_distances(packed).alias("v"))
+    return v.select("event_id", F.get("v", F.lit(0)).alias("first"), F.get("v", F.lit(1)).alias("second"), F.size("v").alias("n"))
 
 
 @q("""SELECT call_id, confidence, row_number() OVER (ORDER BY confidence IS NULL, try_cast(confidence AS DOUBLE) IS NULL, try_cast(confidence AS DOUBLE), confidence, call_id) AS rn FROM (SELECT * FROM calls ORDER BY confidence IS NULL, try_cast(confidence AS DOUBLE) IS NULL, try_cast(confidence AS DOUBLE), confidence, call_id LIMIT 50)""")
@@ -435,10 +436,10 @@ def s107_round_robin(spark, sf):
     return sets.round_robin(samples(spark, sf).select("sample_id", "lineage").distinct(), "lineage", "sample_id", 40)
 
 
-@q(r"SELECT DISTINCT Assembly FROM pilot100_manifest WHERE Assembly IS NOT NULL ORDER BY regexp_extract(Assembly, '_([0-9]+)', 1)::BIGINT LIMIT 25")
+@q(r"SELECT DISTINCT Assembly FROM pilot100_manifest WHERE Assembly IS NOT NULL ORDER BY regexp_extract(Assembly, '_([0-9]+)', 1)::BIGINT LIMIT 15")
 def s108_head_natural(spark, sf):
     m = table(spark, sf, "pilot100_manifest").where("Assembly IS NOT NULL").select("Assembly").distinct()
-    return sets.head_natural(m, [fn.accession_key(F.col("Assembly"))], 25)
+    return sets.head_natural(m, [fn.accession_key(F.col("Assembly"))], 15)
 
 
 @q("SELECT position, sample_id, lineage FROM (SELECT row_number() OVER (ORDER BY sample_id DESC) AS position, sample_id FROM (SELECT DISTINCT sample_id FROM calls WHERE sample_id IS NOT NULL)) JOIN (SELECT DISTINCT sample_id, lineage FROM samples) USING (sample_id)")
