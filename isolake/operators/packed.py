@@ -147,12 +147,15 @@ def choose(texts: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
     seen = cand.select("field", F.explode(F.array_distinct(F.flatten(F.transform("cands", lambda c: c["values"])))).alias("value"))
     book = seen.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
     total = cand.groupBy("field").agg(F.count(F.lit(1)).alias("total"))
+    spelled = CHAR_BITS * F.length("value")
+    code = F.least(spelled, spelled / F.col("n") + F.log2((F.col("total") + 1) / F.col("n"))) + _lying(F.col("value")) + END_BITS
+    prices = book.join(F.broadcast(total), "field").select("field", "value", code.alias("code"))  # one row a field
     several = cand.where(F.size("cands") > 1)
     values = several.select("cid", "field", F.explode("cands").alias("c")).select("cid", "field", "c.dialect", F.explode("c.values").alias("value"))
-    priced = salted_join(values, book, ["field", "value"], "inner", rows_per_task, F.xxhash64("cid")).join(F.broadcast(total), "field")  # one row a field
-    spelled = CHAR_BITS * F.length("value")
-    code = F.least(spelled, spelled / F.col("n") + F.log2((F.col("total") + 1) / F.col("n"))) + _lying(F.col("value"))
-    bits = priced.groupBy("cid", "dialect").agg(F.sum(code + END_BITS).alias("bits"))
+    # a value stands in at most one parse a dialect, repeats within a text aside
+    counts = book.select("field", "value", (F.col("n") * len(dialects())).alias("n"))
+    priced = salted_join(values, prices, ["field", "value"], "inner", rows_per_task, F.xxhash64("cid"), counts)
+    bits = priced.groupBy("cid", "dialect").agg(F.sum("code").alias("bits"))
     costs = bits.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("dialect", "bits"))).alias("bits"))  # at most one entry a dialect
     narrow = cand.select("cid", "field", "tid", F.transform("cands", lambda c: F.struct(c["dialect"].alias("dialect"), c["n_delimiters"].alias("n_delimiters"), c["ok"].alias("ok"))).alias("cs"))
     cost = lambda c: F.round(F.coalesce(F.try_element_at("bits", c["dialect"]), F.lit(0.0)) + c["n_delimiters"] * 0.25, 3)
