@@ -38,11 +38,14 @@ def g2(n_both: Column, n_a: Column, n_b: Column, n: Column) -> Column:
 
 
 class PairTable:
-    """The persistent pair table below `path`; a fresh path is an empty table."""
+    """The persistent pair table below `path`; a fresh path is an empty table.
 
-    def __init__(self, spark: SparkSession, path: str, min_both: int = 1, min_lift: int = 0, buckets: int = 64, block: int = 512, rows_per_task: int = 2_000_000):
+    The number of hash buckets is fixed by the first change: `buckets`, or one for each `rows_per_bucket` memberships.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, min_both: int = 1, min_lift: int = 0, buckets: int | None = None, block: int = 512, rows_per_task: int = 2_000_000, rows_per_bucket: int = 1_000_000):
         self.spark, self.path, self.min_both, self.min_lift = spark, path, min_both, min_lift
-        self.buckets, self.block, self.rows_per_task = buckets, block, rows_per_task
+        self.buckets, self.block, self.rows_per_task, self.rows_per_bucket = buckets, block, rows_per_task, rows_per_bucket
         self.version, self.n, self.at = 0, 0, {"memberships": {}, "pairs": {}}
         self._load()
 
@@ -54,10 +57,10 @@ class PairTable:
                 raise
             return
         last = max((json.loads(r[0]) for r in rows), key=lambda m: m["version"])
-        self.version, self.n, self.at = last["version"], last["n"], last["at"]
+        self.version, self.n, self.at, self.buckets = last["version"], last["n"], last["at"], last["buckets"]
 
     def _commit(self) -> None:
-        line = json.dumps({"version": self.version, "n": self.n, "at": self.at})
+        line = json.dumps({"version": self.version, "n": self.n, "at": self.at, "buckets": self.buckets})
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/manifest")
 
     def _read(self, table: str, schema: str, buckets: list[str] | None = None) -> DataFrame:
@@ -116,8 +119,11 @@ class PairTable:
         else:
             delta = new.withColumn("now", F.lit(1)).withColumn("was", F.lit(0))
         work = f"{self.path}/work/v={version}"
-        delta.withColumn("bucket", self._bucket("basket")).write.mode("overwrite").parquet(f"{work}/delta")
+        delta.write.mode("overwrite").parquet(f"{work}/delta")
         delta = self.spark.read.parquet(f"{work}/delta")
+        if self.buckets is None:
+            self.buckets = max(8, -(-delta.count() // self.rows_per_bucket))
+        delta = delta.withColumn("bucket", self._bucket("basket"))
 
         held = delta.groupBy("basket").agg(F.max("now").alias("now"), F.max("was").alias("was")).agg(F.sum("now"), F.sum("was")).first()
         n = self.n + (held[0] or 0) - (held[1] or 0)
