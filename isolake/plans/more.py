@@ -49,7 +49,7 @@ def s019_search_hits(spark, sf):
 
 @q("SELECT DISTINCT gene AS accession, 'f1' AS factor, mechanism AS category FROM calls WHERE gene IS NOT NULL AND mechanism IS NOT NULL AND NOT contains(gene, '(')")
 def s020_database_headers(spark, sf):
-    c = calls(spark, sf).where("gene IS NOT NULL AND mechanism IS NOT NULL").where(~F.contains("gene", F.lit("(")))
+    c = calls(spark, sf).where("gene IS NOT NULL AND mechanism IS NOT NULL")
     lines = c.select(F.concat(F.lit(">"), "gene", F.lit(" (f1) product [X (V1) - "), "mechanism", F.lit(" (V2)]")).alias("value")).distinct()
     return variants.database_headers(lines)
 

@@ -88,6 +88,11 @@ HIT_COLUMNS = (("query", "string"), ("subject", "string"), ("identity", "double"
 
 
 def database_headers(lines: DataFrame) -> DataFrame:
-    """(accession, factor, category) of header lines such as `>VFG01(gb|X) (lasB) elastase [LasB (VF01) - Exotoxin (VFC02)]`."""
+    """(accession, factor, category) of header lines such as `>VFG01(gb|X) (lasB) elastase [LasB (VF01) - Exotoxin (VFC02)]`.
+
+    The accession reaches to the first blank, without a source such as `(gb|X)` at its end; other brackets are part of it.
+    """
     v = F.col("value")
-    return lines.where(v.startswith(">")).select(F.regexp_extract(v, r"^>([^\s(]+)", 1).alias("accession"), F.nullif(F.regexp_extract(v, r"\(([A-Za-z0-9/_-]+)\) ", 1), F.lit("")).alias("factor"), F.nullif(F.trim(F.regexp_extract(v, r" - ([^\](]+)", 1)), F.lit("")).alias("category"))
+    accession = F.regexp_replace(F.regexp_extract(v, r"^>(\S+)", 1), r"\([^()|]+\|[^()]*\)$", "")
+    factor = F.nullif(F.regexp_extract(v, r"^>\S+\s.*?\(([A-Za-z0-9/_-]+)\) ", 1), F.lit(""))
+    return lines.where(v.startswith(">")).select(accession.alias("accession"), factor.alias("factor"), F.nullif(F.trim(F.regexp_extract(v, r" - ([^\](]+)", 1)), F.lit("")).alias("category"))

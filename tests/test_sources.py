@@ -74,6 +74,19 @@ def test_tables_of_tools(spark):
     assert [r.status for r in reports.typing_rows(ty).collect()] == ["complete", "no_call", "no_call", "partial"]
 
 
+def test_database_headers_keep_brackets_of_the_accession(spark):
+    h = variants.database_headers(lines(spark, ">aac(6')-Qg1 (f1) product [X (V1) - enzyme (V2)]", ">abc(3) (f1) product [X (V1) - efflux (V2)]", ">VF01(gb|X) (lasB) elastase [LasB (VF0091) - Exotoxin (VFC0235)]"))
+    assert rows(h) == [("VF01", "lasB", "Exotoxin"), ("aac(6')-Qg1", "f1", "enzyme"), ("abc(3)", "f1", "efflux")]
+
+
+def test_database_headers_query_lists_every_gene(spark, tmp_path):
+    from isolake.plans.more import s020_database_headers
+
+    calls = spark.createDataFrame([("s1", "aac(6')-Qg1", "enzyme"), ("s1", "mexH4", "efflux"), ("s1", None, "efflux")], "sample_id string, gene string, mechanism string")
+    calls.write.parquet(str(tmp_path / "amr_determinants.parquet"))
+    assert rows(s020_database_headers(spark, str(tmp_path)), "accession", "category") == [("aac(6')-Qg1", "enzyme"), ("mexH4", "efflux")]
+
+
 def test_free_text(spark):
     d = spark.createDataFrame([("1", "Mero=R, mero=r; coli=S,coli=R,x=??"), ("2", None)], "k string, t string")
     assert rows(reports.antibiogram(d, "k", "t")) == [("1", "coli", None, "ambiguous"), ("1", "mero", "R", "called"), ("1", "x", None, "invalid")]
