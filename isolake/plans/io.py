@@ -167,7 +167,7 @@ q.oracle["s030_antibiogram"] = "SELECT DISTINCT Pilot_ID, lower(Antibiotic) AS d
 
 @q()
 def s031_genotypes(spark, sf):
-    m = table(spark, sf, "pilot100_manifest").select("Pilot_ID", "AMR_genotypes").distinct().where(~F.coalesce(fn.trim_blanks("AMR_genotypes"), F.lit("")).isin("", ".", "NA", "MISSING") & ~fn.trim_blanks("AMR_genotypes").startswith("["))
+    m = table(spark, sf, "pilot100_manifest").select("Pilot_ID", "AMR_genotypes").distinct().where(~F.coalesce(fn.trim_blanks("AMR_genotypes"), F.lit("")).isin("", ".", "NA", "MISSING"))
     return reports.genotypes(m, "Pilot_ID", "AMR_genotypes", ("COMPLETE", "PARTIAL", "POINT", "HMM", "MISTRANSLATION"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isolake.errors import ContractError
 from isolake.functions.scalars import null_if_in
-from isolake.operators.packed import split_delimited
+from isolake.operators.packed import split_by_rule, split_delimited
 
 #: Words a typing table uses for no type.
 TYPE_NULLS = ("", ".", "NA", "N/A", "none", "None", "-", "0")
@@ -55,8 +55,11 @@ def antibiogram(fields: DataFrame, key: str, text: str, vocabulary: Sequence[str
 
 
 def genotypes(fields: DataFrame, key: str, text: str, states: Sequence[str]) -> DataFrame:
-    """(key, gene, variant, state, known) of `gene=STATE,...`: a residue change after an underscore or colon is the variant; words outside `states` are not known."""
-    pieces = F.explode(split_delimited(F.col(text), F.lit(",;|\r\n"), F.lit('"')))
+    """(key, gene, variant, state, known) of `gene=STATE,...`: a residue change after an underscore or colon is the variant; words outside `states` are not known.
+
+    The text may also be a JSON array of such entries.
+    """
+    pieces = F.explode(split_by_rule(F.col(text)))
     p = fields.where(F.col(text).isNotNull()).select(key, pieces.alias("p"))
     symbol = F.trim(F.substring_index("p", "=", 1))
     state = F.when(F.instr("p", "=") > 0, F.trim(F.substring_index("p", "=", -1)))

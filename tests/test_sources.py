@@ -105,6 +105,14 @@ def test_newick(spark):
     assert len(reports.parse_newick(deep)) == 5001
 
 
+def test_genotypes_of_json_arrays(spark, tmp_path):
+    from isolake.plans.io import s031_genotypes
+
+    m = spark.createDataFrame([("1", '["gyrA_T83I=POINT", "aac(4\')-Kc1; frag|ment=PARTIAL", null, "plain"]'), ("2", "mexR:W33*=HMM,x"), ("3", " . ")], "Pilot_ID string, AMR_genotypes string")
+    m.write.parquet(str(tmp_path / "pilot100_manifest.parquet"))
+    assert rows(s031_genotypes(spark, str(tmp_path)), "Pilot_ID", "gene", "variant", "state") == [("1", "aac(4')-Kc1; frag|ment", None, "PARTIAL"), ("1", "gyrA", "T83I", "POINT"), ("1", "plain", None, None), ("2", "mexR", "W33*", "HMM"), ("2", "x", None, None)]
+
+
 def test_wide_presence(spark):
     w = spark.createDataFrame([("g", "1", "0", " ", None)], "gene string, a string, b string, c string, d string")
     assert rows(reports.wide_presence(w, "gene", ["a", "b", "c", "d"])) == [("g", "a")]
