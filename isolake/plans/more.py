@@ -20,8 +20,7 @@ def s006_gene_intervals(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("p_partkey")
     p = table(spark, sf, "part").where("p_type = 'PROMO'")
     lines = p.select(F.concat_ws("\t", "p_brand", F.lit("s"), F.lit("gene"), (k * 10 + 1).cast("string"), (k * 10 + F.col("p_size")).cast("string"), F.lit("."), F.lit("+"), F.lit("."), F.concat(F.lit("ID=x;locus_tag=g"), k)).alias("value"))
-    tags = [r[0] for r in p.select(F.concat(F.lit("g"), k)).limit(100_000).collect()]
-    return variants.gene_intervals(lines, tags)
+    return variants.gene_intervals(lines, p.select(F.concat(F.lit("g"), k).alias("locus_tag")))
 
 
 @q("SELECT call_id::VARCHAR AS call_id, gene, determinant_type AS kind FROM calls")

@@ -36,12 +36,17 @@ def parse_gff(lines: DataFrame, kinds: Sequence[str] = GFF_KINDS) -> DataFrame:
     return a.where(F.col("kind").isin(*kinds)).select("contig", "kind", "start", "end", "strand", name.alias("name"), "attributes")
 
 
-def gene_intervals(lines: DataFrame, locus_tags: Sequence[str]) -> DataFrame:
-    """(locus_tag, contig, start, end, strand) of wanted genes; a tag that is not there is refused."""
-    g = parse_gff(lines, ("gene",)).withColumn("locus_tag", F.try_element_at("attributes", F.lit("locus_tag"))).where(F.col("locus_tag").isin(*locus_tags))
-    found = {r[0] for r in g.select("locus_tag").distinct().collect()}
-    if lost := sorted(set(locus_tags) - found):
-        raise ContractError(f"locus tags not found: {lost}")
+def gene_intervals(lines: DataFrame, locus_tags: Sequence[str] | DataFrame) -> DataFrame:
+    """(locus_tag, contig, start, end, strand) of wanted genes; a tag that is not there is refused.
+
+    The tags are a list or, where there may be many, a frame with the column locus_tag.
+    """
+    tags = locus_tags if isinstance(locus_tags, DataFrame) else lines.sparkSession.createDataFrame([(t,) for t in locus_tags], "locus_tag string")
+    tags = tags.select("locus_tag").distinct()
+    g = parse_gff(lines, ("gene",)).withColumn("locus_tag", F.try_element_at("attributes", F.lit("locus_tag"))).join(tags, "locus_tag", "left_semi")
+    lost = tags.join(g, "locus_tag", "left_anti").orderBy("locus_tag").limit(10).collect()
+    if lost:
+        raise ContractError(f"locus tags not found: {[r[0] for r in lost]}")
     return g.select("locus_tag", "contig", "start", "end", "strand")
 
 

@@ -61,6 +61,19 @@ def test_gff_and_vcf(spark):
         variants.parse_vcf(lines(spark, "c\tx\t.\tA\tT\t9\tPASS\t.\tGT\t1")).collect()
 
 
+def test_gene_intervals_of_many_tags(spark, tmp_path):
+    from isolake.plans.more import s006_gene_intervals
+
+    n = 100_050
+    spark.range(n).select(F.col("id").alias("p_partkey"), F.lit("PROMO").alias("p_type"), F.lit("b").alias("p_brand"), F.lit(3).alias("p_size")).write.parquet(str(tmp_path / "part.parquet"))
+    assert s006_gene_intervals(spark, str(tmp_path)).select("locus_tag").distinct().count() == n
+    gene = lines(spark, "c1\tx\tgene\t5\t9\t.\t-\t.\tID=a;locus_tag=T1")
+    tags = spark.createDataFrame([("T1",), ("T2",)], "locus_tag string")
+    assert rows(variants.gene_intervals(gene, tags.where("locus_tag = 'T1'"))) == [("T1", "c1", 5, 9, "-")]
+    with pytest.raises(errors.ContractError, match="T2"):
+        variants.gene_intervals(gene, tags)
+
+
 def test_tables_of_tools(spark):
     t = lines(spark, "q\ts\t99.5\t10\t80\t1\t9\textra", "q\ts\tbad\t10\t80\t1\t9", "q\ts", "")
     assert variants.parse_table(t, variants.HIT_COLUMNS).count() == 1
