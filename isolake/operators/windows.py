@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isolake.session import materialise
+
 
 def benjamini_hochberg(df: DataFrame, p: str = "p_value", by: Sequence[str] = (), name: str = "adjusted_p_value", buckets: int = 64) -> DataFrame:
     """`df` with the adjusted p value: the least of p*n/rank over the p values at least as great, capped at 1; ties share it.
@@ -78,6 +80,20 @@ def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "rn", ranges: int | None = None) -> DataFrame:
+    """`df` with the number of each row, from 1, in an order over all rows.
+
+    Rows are cut into ranges of the order and numbered within each; the sizes of the ranges before are added, over one row a range, so no
+    task orders all rows. Rows that tie in all of `order` are numbered arbitrarily.
+    """
+    cut = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    cut = materialise(cut.withColumn("__range", F.spark_partition_id()), "numbered")
+    sizes = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = sizes.select("__range", (F.sum("__size").over(Window.orderBy("__range")) - F.col("__size")).alias("__before"))
+    local = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return cut.withColumn(name, local.cast("long")).join(F.broadcast(before), "__range").withColumn(name, F.col(name) + F.col("__before")).drop("__range", "__before")
+
+
 def threshold_sweep(df: DataFrame, value: str, floors: Sequence[float], group: Sequence[str]) -> DataFrame:
     """(group..., floor, passed, total): how many rows reach each floor; one pass, no row repeated in a shuffle."""
     counts = [F.sum((F.col(value) >= f).cast("long")).alias(f"f{i}") for i, f in enumerate(floors)]

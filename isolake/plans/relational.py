@@ -232,10 +232,7 @@ def s079_distance_vector(spark, sf):
 
 @q("""SELECT call_id, confidence, row_number() OVER (ORDER BY confidence IS NULL, try_cast(confidence AS DOUBLE) IS NULL, try_cast(confidence AS DOUBLE), confidence, call_id) AS rn FROM (SELECT * FROM calls ORDER BY confidence IS NULL, try_cast(confidence AS DOUBLE) IS NULL, try_cast(confidence AS DOUBLE), confidence, call_id LIMIT 50)""")
 def s080_mixed_sort(spark, sf):
-    from pyspark.sql import Window
-
-    top = calls(spark, sf).select("call_id", "confidence").orderBy(*fn.mixed_sort_key(F.col("confidence")), "call_id").limit(50)
-    return top.withColumn("rn", F.row_number().over(Window.orderBy(*fn.mixed_sort_key(F.col("confidence")), "call_id")).cast("long"))
+    return windows.numbered(calls(spark, sf).select("call_id", "confidence"), [*fn.mixed_sort_key(F.col("confidence")), "call_id"])
 
 
 # 2.4 joins

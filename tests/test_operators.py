@@ -252,3 +252,25 @@ def test_query_layer(spark):
     for bad in (dict(sort="zz"), dict(columns=("zz",)), dict(clauses=(query.Clause("zz", "eq", "1"),)), dict(clauses=(query.Clause("id", "like", "1"),))):
         with pytest.raises(errors.UnknownNameError):
             page(**bad)
+
+
+def test_mixed_sort_numbers_all_rows(spark, tmp_path):
+    from isolake.functions.scalars import mixed_sort_key
+    from isolake.plans.relational import s080_mixed_sort
+
+    words = [None, "low", "high", "10", "9.5", "-1", "007"]
+    d = [(i, words[i * 5 % 7]) for i in range(300)]
+
+    def key(r):
+        try:
+            number = float(r[1])
+        except (TypeError, ValueError):
+            number = None
+        return (r[1] is None, number is None, number or 0.0, r[1] or "", r[0])
+
+    want = [(i, c, n) for n, (i, c) in enumerate(sorted(d, key=key), 1)]
+    f = spark.createDataFrame(d, "call_id long, confidence string")
+    cut = windows.numbered(f, [*mixed_sort_key(F.col("confidence")), "call_id"], ranges=5)
+    assert sorted(map(tuple, cut.collect()), key=lambda r: r[2]) == want
+    f.selectExpr("*", "'s' AS sample_id", "'g' AS gene").write.parquet(str(tmp_path / "amr_determinants.parquet"))
+    assert sorted(map(tuple, s080_mixed_sort(spark, str(tmp_path)).collect()), key=lambda r: r[2]) == want
