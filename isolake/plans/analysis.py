@@ -11,6 +11,7 @@ from isolake.operators import features as feat
 from isolake.operators import stats, windows
 from isolake.plans.relational import _SEQS, _sequences
 from isolake.plans.views import Catalogue, calls, phenotypes, presence, samples, table
+from isolake.session import materialise
 
 q = Catalogue()
 
@@ -320,23 +321,22 @@ def s163_identity_by_state(spark, sf):
 
 @q(""", v AS (SELECT DISTINCT lineage AS s, gene AS f FROM calls JOIN samples USING (sample_id) WHERE lineage IS NOT NULL AND gene IS NOT NULL) SELECT x.s AS a, y.s AS b, round(count(*)::DOUBLE / (SELECT count(DISTINCT f) FROM v), 6) AS value FROM v x JOIN v y ON x.f = y.f AND x.s <= y.s GROUP BY ALL""")
 def s164_feature_kinship(spark, sf):
-    v = calls(spark, sf).join(samples(spark, sf), "sample_id").where("lineage IS NOT NULL AND gene IS NOT NULL").select(F.col("lineage").alias("sample_id"), F.col("gene").alias("feature")).distinct().withColumn("value", F.lit(1.0))
+    v = calls(spark, sf).join(samples(spark, sf), "sample_id", "left_semi").where("gene IS NOT NULL").select("sample_id", F.col("gene").alias("feature")).distinct().withColumn("value", F.lit(1.0))
     return stats.feature_kinship(v).withColumn("value", F.round("value", 6))
 
 
 @q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 'n%')
 SELECT x.below AS a, y.below AS b, any_value(da.depth) + any_value(db.depth) - 2 * max(dl.depth) AS d FROM t x JOIN t y ON x.above = y.above AND x.below <= y.below JOIN depth dl ON dl.node = x.above JOIN depth da ON da.node = x.below JOIN depth db ON db.node = y.below GROUP BY ALL""")
 def s165_patristic(spark, sf):
-    e = _tree(spark, sf).where("node NOT LIKE 's%'")
-    return stats.patristic(e, e.where("node LIKE 'n%'").select("node"))
+    e = _tree(spark, sf)
+    return stats.patristic(e, e.where("node LIKE 's%'").select("node"))
 
 
 @q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 'n%'),
 d AS (SELECT x.below AS a, y.below AS b, (any_value(da.depth) + any_value(db.depth) - 2 * max(dl.depth)) ** 2 AS d2 FROM t x JOIN t y ON x.above = y.above JOIN depth dl ON dl.node = x.above JOIN depth da ON da.node = x.below JOIN depth db ON db.node = y.below GROUP BY ALL)
 SELECT a, b, round(-0.5 * (d2 - avg(d2) OVER (PARTITION BY a) - avg(d2) OVER (PARTITION BY b) + avg(d2) OVER ()), 4) AS value FROM d""")
 def s166_gower(spark, sf):
-    e = _tree(spark, sf).where("node NOT LIKE 's%'")
-    d = stats.patristic(e, e.where("node LIKE 'n%'").select("node"))
+    d = materialise(s165_patristic(spark, sf), "patristic")
     full = d.unionByName(d.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
     return stats.gower_center(full).withColumn("value", F.round("value", 4))
 

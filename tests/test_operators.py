@@ -274,3 +274,24 @@ def test_mixed_sort_numbers_all_rows(spark, tmp_path):
     assert sorted(map(tuple, cut.collect()), key=lambda r: r[2]) == want
     f.selectExpr("*", "'s' AS sample_id", "'g' AS gene").write.parquet(str(tmp_path / "amr_determinants.parquet"))
     assert sorted(map(tuple, s080_mixed_sort(spark, str(tmp_path)).collect()), key=lambda r: r[2]) == want
+
+
+def test_squares_cover_tips_and_samples_and_refuse(spark, tmp_path):
+    from isolake.plans.analysis import s164_feature_kinship, s165_patristic, s166_gower
+
+    put = lambda name, sql: spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("region", "SELECT 0 AS r_regionkey")
+    put("nation", "SELECT * FROM VALUES (0, 0), (1, 0) AS t(n_nationkey, n_regionkey)")
+    put("supplier", "SELECT * FROM VALUES (1, 0), (2, 0), (3, 1) AS t(s_suppkey, s_nationkey)")
+    put("sample_metadata", "SELECT sample_id, 'L1' AS lineage, 'clinical' AS data_class, 0 AS registered_at, 0 AS withdrawn_at FROM VALUES ('p'), ('q') AS t(sample_id)")
+    put("amr_determinants", "SELECT * FROM VALUES ('p', 'x'), ('q', 'x'), ('q', 'y') AS t(sample_id, gene)")
+    sf = str(tmp_path)
+    d = s165_patristic(spark, sf)
+    assert {(r.a, r.b): r.d for r in d.where("a < b").collect()} == {("s1", "s2"): 3.0, ("s1", "s3"): 7.0, ("s2", "s3"): 8.0}
+    assert s166_gower(spark, sf).count() == 9
+    assert rows(s164_feature_kinship(spark, sf), "a", "b", "value") == [("p", "p", 0.5), ("p", "q", 0.5), ("q", "q", 1.0)]
+    e = spark.createDataFrame([("r", None, None), ("a", "r", 1.0), ("b", "r", 1.0)], "node string, parent string, length double")
+    with pytest.raises(errors.LimitError):
+        stats.patristic(e, e.where("node <> 'r'").select("node"), max_tips=1)
+    with pytest.raises(errors.LimitError):
+        stats.gower_center(d, max_points=2)
