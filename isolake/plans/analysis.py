@@ -379,7 +379,8 @@ def s174_conditional_scan(spark, sf):
     """Likelihood-ratio and Wald tests by logistic fits, false-discovery adjusted."""
     f = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id").distinct()
     d = _design(spark, sf)
-    wide = f.join(d.select("sample_id"), "sample_id", "left_semi").groupBy("feature").count().where("count >= 5").select("feature")
+    n = d.count()
+    wide = f.join(d.select("sample_id"), "sample_id", "left_semi").groupBy("feature").count().where((F.col("count") >= 2) & (F.col("count") <= 0.95 * n)).select("feature")
     return windows.benjamini_hochberg(stats.conditional_scan(f.join(wide, "feature", "left_semi"), d, ["l01", "clinical"]), "lrt_p")
 
 

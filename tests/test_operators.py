@@ -295,3 +295,15 @@ def test_squares_cover_tips_and_samples_and_refuse(spark, tmp_path):
         stats.patristic(e, e.where("node <> 'r'").select("node"), max_tips=1)
     with pytest.raises(errors.LimitError):
         stats.gower_center(d, max_points=2)
+
+
+def test_conditional_scan_query_tests_every_testable_gene(spark, tmp_path):
+    from isolake.plans.analysis import s174_conditional_scan
+
+    ids = [f"s{i:02d}" for i in range(20)]
+    put = lambda name, d, schema: spark.createDataFrame(d, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("sample_metadata", [(s, "L01" if i % 3 else "L02", "clinical" if i % 2 else "reference", i, None) for i, s in enumerate(ids)], "sample_id string, lineage string, data_class string, registered_at int, withdrawn_at int")
+    put("pilot100_manifest", [(s, "meropenem", "R" if i % 4 < 2 else "S") for i, s in enumerate(ids)], "Isolate string, Antibiotic string, AST_phenotype string")
+    carriers = {"one": ids[:1], "two": ids[:2], "many": ids[:9], "all": ids}
+    put("amr_determinants", [(s, g) for g, xs in carriers.items() for s in xs], "sample_id string, gene string")
+    assert rows(s174_conditional_scan(spark, str(tmp_path)), "feature") == [("many",), ("two",)]
