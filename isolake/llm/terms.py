@@ -37,14 +37,17 @@ def _stack_count(length: int):
         out: list[tuple] = []
 
         def close(depth: int) -> None:
-            """Emit the prefixes longer than `depth`, the longest first."""
+            """Emit the prefixes longer than `depth`, the longest first; their records flow into the prefix one term shorter."""
             while len(stack) > depth:
                 ngram = [s[0] for s in stack]
                 _, n, held = stack.pop()
-                out.append((*ngram, *[None] * (length - len(ngram)), n, held if isinstance(held, int) else len(held)))
+                out.append((*ngram, *[None] * (length - len(ngram)), n, len(held)))
                 if stack:
-                    stack[-1][1] += n
-                    stack[-1][2] |= held
+                    above = stack[-1]
+                    above[1] += n
+                    if len(held) > len(above[2]):  # the smaller set is poured into the larger one
+                        above[2], held = held, above[2]
+                    above[2] |= held
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*out)) if out else [[] for _ in schema]
@@ -56,40 +59,31 @@ def _stack_count(length: int):
             if not b.num_rows:
                 continue
             terms = [b.column(c) for c in names]
-            # positions where a run of equal suffixes begins, and where its record set ends
+            # positions where a run of equal suffixes begins, and where its records end
             new = np.zeros(b.num_rows, bool)
             new[0] = True
             for c in terms:
                 codes = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
                 new[1:] |= codes[1:] != codes[:-1]
             starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], b.num_rows)
             n = np.add.reduceat(b.column("n").to_numpy(zero_copy_only=False), starts)
-            heads = list(zip(*[c.take(pa.array(starts)).to_pylist() for c in terms]))
             holds = b.column("holds").to_numpy(zero_copy_only=False).astype(bool)
-            if length == 1:
-                # one prefix only, and (term, record) rows are distinct: sizes of the record sets are enough
-                sizes = np.add.reduceat(holds.astype(np.int64), starts)
-                for (term,), k, size in zip(heads, n.tolist(), sizes.tolist()):
-                    if stack and stack[-1][0] == term:
-                        stack[-1][1] += k
-                        stack[-1][2] += size
-                    else:
-                        close(0)
-                        stack.append([term, k, size])
-            else:
-                record = b.column("record").to_pylist()
-                for s, e, suffix, k in zip(starts.tolist(), ends.tolist(), heads, n.tolist()):
-                    depth = 0
-                    while depth < len(stack) and suffix[depth] is not None and stack[depth][0] == suffix[depth]:
-                        depth += 1
-                    close(depth)
-                    for t in suffix[depth:]:
-                        if t is None:
-                            break
-                        stack.append([t, 0, set()])
-                    stack[-1][1] += k
-                    stack[-1][2].update(record[i] for i in range(s, e) if holds[i])
+            before = np.concatenate([[0], np.cumsum(holds)])
+            held_from, held_to = before[starts].tolist(), before[np.append(starts[1:], b.num_rows)].tolist()
+            record = b.column("record").filter(pa.array(holds)).to_pylist()
+            heads = zip(*[c.take(pa.array(starts)).to_pylist() for c in terms])
+            for suffix, k, s, e in zip(heads, n.tolist(), held_from, held_to):
+                depth = 0
+                while depth < len(stack) and suffix[depth] is not None and stack[depth][0] == suffix[depth]:
+                    depth += 1
+                close(depth)
+                for t in suffix[depth:]:
+                    if t is None:
+                        break
+                    stack.append([t, 0, set()])
+                stack[-1][1] += k
+                if e > s:
+                    stack[-1][2].update(record[s:e])
             if len(out) >= 20_000:
                 yield flush()
         close(0)
@@ -98,12 +92,12 @@ def _stack_count(length: int):
     return count
 
 
-def ngram_counts(rows: DataFrame, length: int, rows_per_task: int = 2_000_000, counted: DataFrame | None = None) -> DataFrame:
+def ngram_counts(rows: DataFrame, length: int, rows_per_task: int = 500_000, counted: DataFrame | None = None) -> DataFrame:
     """(t1..tn, occurrences, records) of every n-gram of up to `length` terms, from rows as `suffixes` gives them.
 
-    `n` counts occurrences, only rows with `holds` put their record into the record set. For length 1, rows must be
-    distinct by (t1, record). A null record holds nothing; unused positions are null. Hot first terms are found by counting `counted`
-    (a cheaper frame with at least as many rows of each t1), or `rows` itself.
+    `n` counts occurrences, only rows with `holds` put their record into the record set; a record may come in several rows. A null record
+    holds nothing; unused positions are null. Hot first terms, with more than `rows_per_task` rows, are found by counting `counted`
+    (a cheaper frame with at least as many rows of each t1), or `rows` itself; so an open record set holds about `rows_per_task` records at most.
     """
     names = [f"t{k}" for k in range(1, length + 1)]
     hot = F.broadcast(hot_keys(rows if counted is None else counted, ["t1"], rows_per_task))  # at most one row per rows_per_task rows
@@ -122,15 +116,13 @@ def marked(counts: DataFrame, total: Column, rare_below: int = 4, common_percent
 
 
 def gene_rows(presence: DataFrame) -> DataFrame:
-    """One row a (gene, sample): its rows, and whether any says the sample has the gene. Null genes are left out."""
+    """The suffixes of gene n-grams of length one: a row a row of the table, which holds its sample if it says present. Null genes are left out."""
     gene = F.btrim("gene", F.lit(" \t\r\n"))
-    return (
-        presence.select(gene.alias("t1"), F.col("sample_id").alias("record"), "present").where("t1 IS NOT NULL")
-        .groupBy("t1", "record").agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.col("present") == 1, F.lit(False))).alias("holds"))
-    )
+    holds = F.coalesce(F.col("present") == 1, F.lit(False))
+    return presence.select(gene.alias("t1"), F.col("sample_id").alias("record"), F.lit(1).cast("long").alias("n"), holds.alias("holds")).where("t1 IS NOT NULL")
 
 
-def gene_marks(presence: DataFrame, rows_per_task: int = 2_000_000) -> DataFrame:
+def gene_marks(presence: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
     """(gene, occurrences, records, mark) of every gene name; an empty table gives none."""
     names = presence.select(F.btrim("gene", F.lit(" \t\r\n")).alias("t1"))
     counts = ngram_counts(gene_rows(presence), 1, rows_per_task, names).withColumnRenamed("t1", "gene")
@@ -142,7 +134,7 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*"), 0), F.array().cast("array<string>"))
 
 
-def text_terms(documents: DataFrame, length: int, rows_per_task: int = 2_000_000) -> DataFrame:
+def text_terms(documents: DataFrame, length: int, rows_per_task: int = 500_000) -> DataFrame:
     """(ngram, terms, occurrences, records, mark) of all word n-grams of the documents' texts.
 
     Marks are taken against all documents. Null and empty texts hold nothing.

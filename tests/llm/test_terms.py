@@ -30,11 +30,22 @@ def test_ngrams_equal_brute_force(spark, length, rows_per_task):
     records = [(f"r{k % 37}", [rnd.choice("aaaabcd") for _ in range(rnd.randrange(12))]) for k in range(50)]
     df = spark.createDataFrame(records, "record string, terms array<string>")
     s = T.suffixes(df, length)
-    if length == 1:
-        s = s.groupBy("t1", "record").agg(F.sum("n").alias("n"), F.max("holds").alias("holds"))
     assert counted(T.ngram_counts(s, length, rows_per_task), length) == brute(records, length)
 
 
+def test_a_record_set_spans_batches_and_rows_may_be_grouped_before(spark):
+    rows_ = [(("x",), f"r{k % 50}", 1, k % 3 > 0) for k in range(400)] + [(("y",), None, 2, True)]
+    df = spark.createDataFrame([(t[0], r, n, h) for t, r, n, h in rows_], "t1 string, record string, n long, holds boolean")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = counted(T.ngram_counts(df, 1), 1)
+        grouped = df.groupBy("t1", "record").agg(F.sum("n").alias("n"), F.max("holds").alias("holds"))
+        assert got == counted(T.ngram_counts(grouped, 1), 1) == {("x",): (400, 50), ("y",): (2, 0)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_gene_marks(spark):
     data = [("common", f"s{k}", 1) for k in range(19)] + [("rare", f"s{k}", 1) for k in range(3)] + [("useful", f"s{k}", 1) for k in range(4)]
     data += [(" rare ", "s0", 1), ("absent", "s19", 0), ("absent", None, 1), ("useful", "s19", None), (None, "s19", 1), ("Rare", "s1", 1), ("none", None, None)]
