@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,25 +78,24 @@ def direct_orphans(nodes: Mapping[str, Node], edge: Edge, rows_per_task: int = 2
     )
 
 
-def cascade(nodes: Mapping[str, Node], edges: Sequence[Edge], max_rounds: int = 50, rows_per_task: int = 2_000_000) -> DataFrame:
+def cascade(nodes: Mapping[str, Node], edges: Sequence[Edge], rows_per_task: int = 2_000_000, keep: int = 8) -> DataFrame:
     """(table_name, period, row_id, kind, reason): every direct and inherited orphan of the graph.
 
-    `kind` is ``direct`` (with its reason; the first of missing, late, deleted if several edges of a record break) or
-    ``inherited`` (with the table of the orphaned parent as reason). A record that is both is direct.
+    `kind` is ``direct`` (a row for each reason and period, if several references of a record break differently) or
+    ``inherited`` (with the least table of an orphaned parent as reason). A record that is both is direct.
+
+    Rounds go on until one adds nothing, however deep the graph: each adds at least one record, and no record is added twice. Every
+    `keep` rounds what was found so far is written as one table, so plans stay small.
     """
     direct = None
     for e in edges:
         d = direct_orphans(nodes, e, rows_per_task).withColumn("row_id", F.col("row_id").cast("string"))
         direct = d if direct is None else direct.unionByName(d)
-    rank = F.array_position(F.array(*[F.lit(x) for x in ("missing", "late", "deleted")]), F.col("reason"))
-    direct = (
-        direct.groupBy("table_name", "row_id")
-        .agg(F.min_by("period", rank).alias("period"), F.min_by("reason", rank).alias("reason"))
-        .select("table_name", "period", "row_id", F.lit("direct").alias("kind"), "reason")
-    )
-    known = materialise(direct, "orphans")
-    fresh, parts = known, [known]
-    for _ in range(max_rounds):
+    direct = direct.select("table_name", "period", "row_id", F.lit("direct").alias("kind"), "reason").distinct()
+    fresh = materialise(direct, "orphans")
+    parts = [fresh]
+    children = {e.parent for e in edges}
+    while True:
         found = None
         for e in edges:
             child = nodes[e.child]
@@ -106,17 +106,14 @@ def cascade(nodes: Mapping[str, Node], edges: Sequence[Edge], max_rounds: int =
                 F.lit(e.child).alias("table_name"), F.date_format("made_at", "yyyy-MM").alias("period"), "row_id", F.lit("inherited").alias("kind"), F.lit(e.parent).alias("reason")
             )
             found = hit if found is None else found.unionByName(hit)
-        found = found.groupBy("table_name", "row_id", "kind").agg(F.min("period").alias("period"), F.min("reason").alias("reason")).select(*known.columns)
-        seen = parts[0]
-        for p in parts[1:]:
-            seen = seen.unionByName(p)
-        fresh = materialise(found.join(seen.select("table_name", "row_id"), ["table_name", "row_id"], "left_anti").select(*known.columns), "orphans")
-        if fresh.isEmpty():
-            break
+        found = found.groupBy("table_name", "row_id", "kind").agg(F.min("period").alias("period"), F.min("reason").alias("reason")).select(*direct.columns)
+        seen = reduce(DataFrame.unionByName, parts).select("table_name", "row_id")
+        fresh = materialise(found.join(seen, ["table_name", "row_id"], "left_anti").select(*direct.columns), "orphans")
+        tables = {r[0] for r in fresh.select("table_name").distinct().collect()}  # at most as many as nodes
+        if not tables:
+            return reduce(DataFrame.unionByName, parts)
         parts.append(fresh)
-    else:
-        raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if not tables & children:  # nothing refers to what was found
+            return reduce(DataFrame.unionByName, parts)
+        if len(parts) > keep:
+            parts = [materialise(reduce(DataFrame.unionByName, parts), "orphans")]

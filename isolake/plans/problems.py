@@ -63,9 +63,9 @@ def reference_graph(spark: SparkSession, sf: str) -> tuple[dict[str, orphans.Nod
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    """The direct orphans of the two reporting tables (round 0 of the cascade)."""
-    nodes, edges = reference_graph(spark, sf)
-    return orphans.direct_orphans(nodes, edges[0]).unionByName(orphans.direct_orphans(nodes, edges[1]))
+    """What the cascade finds to be direct orphans, in the two reporting tables; inherited ones are in `p6_cascade`."""
+    found = orphans.cascade(*reference_graph(spark, sf)).where("kind = 'direct' AND table_name <> 'execution'")
+    return found.select("table_name", "period", F.col("row_id").cast("long").alias("row_id"), "reason")
 
 
 def p6_cascade(spark: SparkSession, sf: str) -> DataFrame:

@@ -43,6 +43,26 @@ def test_cascade_ends_on_cycles(spark):
     assert got == [("1", "direct"), ("2", "inherited"), ("3", "inherited")]
 
 
+def test_a_deep_graph_is_followed_to_its_end(spark):
+    """Six tables in a row, and a table that refers to itself over more rounds than are kept apart."""
+    chain = {f"t{k}": O.Node(spark.createDataFrame([(k * 10 + j, str((k - 1) * 10 + j) if k else ("gone" if j == 1 else None)) for j in (1, 2)], "id long, up string"), "id") for k in range(6)}
+    edges = [O.Edge(f"t{k}", "up", f"t{k - 1}" if k else "root") for k in range(6)]
+    chain["root"] = O.Node(spark.createDataFrame([], "id string"), "id")
+    got = rows(O.cascade(chain, edges, keep=2), "table_name", "row_id", "kind", "reason")
+    assert got == [("t0", "1", "direct", "missing")] + [(f"t{k}", f"{k}1", "inherited", f"t{k - 1}") for k in range(1, 6)]
+
+
+def test_a_chain_longer_than_fifty_records(spark):
+    t = spark.createDataFrame([(k, k - 1) for k in range(1, 55)], "id long, up long").coalesce(1)
+    got = O.cascade({"t": O.Node(t, "id")}, [O.Edge("t", "up", "t")])
+    assert got.groupBy("kind").count().orderBy("kind").collect() == [("direct", 1), ("inherited", 53)]
+
+
+def test_different_faults_of_one_record_are_all_reported(spark):
+    nodes, edges = graph(spark, [("A", DAY(5), None, "")], [(1, "A", DAY(1), "", True), (1, "Z", DAY(40), "", True)])
+    assert rows(O.cascade(nodes, edges)) == [("c", "2026-01", "1", "direct", "late"), ("c", "2026-02", "1", "direct", "missing")]
+
+
 def test_empty_tables(spark):
     nodes, edges = graph(spark, [], [], [])
     assert O.direct_orphans(nodes, edges[0]).count() == 0
