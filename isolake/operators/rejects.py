@@ -2,7 +2,9 @@
 
 Workers hand the records of each file to DuckDB's CSV reader with its reject tables on. The reader sees an anonymous
 in-memory file (no disk, no shared folder) per source file and Arrow batch, so memory is bounded by the batch and no file, however large, has to fit in one task. Accepted rows come back as columns; reject-table errors are joined
-to the raw records by a row number carried as the first column.
+to the raw records by a row number carried as the first column, and their types give the reason: an unquoted value (or a guard, see below,
+that was swallowed) is broken quoting, and else too many or missing columns are a wrong count. The reader lists every error of a record, so
+the reason that comes first is known. Only a record refused for another reason, such as a bound of the reader, is split by hand; `decided_by` tells.
 
 Two provisions keep one broken record from damaging its neighbours. Characters the reader treats specially inside a
 record (blanks, line breaks, NUL) are exchanged for code points that do not occur in the batch and restored
@@ -41,7 +43,7 @@ def skipped(raw: str | None) -> bool:
 
 
 def split_values(raw: str) -> list[str] | None:
-    """The values of one record, or None if its quoting is broken: the exact rule, applied to rejected records."""
+    """The values of one record, or None if its quoting is broken: the record rule by hand."""
     out, i, n = [], 0, len(raw)
     while True:
         if i < n and raw[i] == '"':
@@ -134,11 +136,29 @@ def accepted_values(con, files: list[list[tuple[int, str]]]) -> dict[int, list[s
     return {int(r[0]): ["" if x is None else x.translate(back) for x in r[1:-1]] for r in rows if r[-1] == _END and r[0] and r[0].isdigit()}
 
 
-def check_records(con, files: list[list[tuple[int, str]]]) -> tuple[pa.Table, dict[int, tuple[str | None, list[str | None] | None]], dict[int, set[str]]]:
-    """(accepted, rejected, errors) of the numbered records of some files, read in one scan.
+def reason_of(errors: set[str]) -> str | None:
+    """The reason that comes first of the reader's error types of one record; None if they do not tell."""
+    if "UNQUOTED VALUE" in errors:
+        return "quoting"
+    return "column_count" if errors and errors <= {"TOO MANY COLUMNS", "MISSING COLUMNS"} else None
+
+
+def reject_errors(con) -> dict[int, set[str]]:
+    """Record number -> error types of the last scan, from its reject table. A line that holds the guard's mark did not close its quote."""
+    out: dict[int, set[str]] = {}
+    for number, kind in con.execute(
+        """SELECT TRY_CAST(split_part(csv_line, chr(9), 1) AS BIGINT) AS k, CASE WHEN contains(csv_line, chr(1)) THEN 'UNQUOTED VALUE' ELSE error_type::VARCHAR END
+        FROM reject_errors WHERE k IS NOT NULL"""
+    ).fetchall():
+        out.setdefault(number, set()).add(kind)
+    return out
+
+
+def check_records(con, files: list[list[tuple[int, str]]]) -> tuple[pa.Table, dict[int, tuple[str | None, list[str | None] | None, str]]]:
+    """(accepted, rejected) of the numbered records of some files, read in one scan.
 
     `accepted` has the number, the first value fault or null, and typed columns; `rejected` maps each other record's number to its
-    reason and cleaned values; `errors` are the reader's own error types of those, joined by number.
+    reason, its cleaned values if it has no fault, and what decided.
     """
     names = [f"c{i}" for i in range(1, len(AMR_COLUMNS) + 1)]
     with _as_files(con, files) as (source, stand_ins, originals):
@@ -152,23 +172,20 @@ def check_records(con, files: list[list[tuple[int, str]]]) -> tuple[pa.Table, di
                 CASE WHEN reason IS NULL THEN CAST(identity_pct AS DOUBLE) END AS identity_pct, CASE WHEN reason IS NULL THEN CAST(coverage_pct AS DOUBLE) END AS coverage_pct FROM f""",
             params={"from": stand_ins, "to": originals, "blanks": BLANKS, "last": _END, "pct": _PERCENT.pattern},
         ).to_arrow_table()
-        errors: dict[int, set[str]] = {}
-        for line, kind in con.execute("SELECT csv_line, error_type FROM reject_errors").fetchall():
-            number = line.partition("\t")[0]
-            if number.isdigit():
-                errors.setdefault(int(number), set()).add("UNQUOTED VALUE" if "\x01" in line else kind)
+        errors = reject_errors(con)
     by_number = {k: raw for records in files for k, raw in records}
-    rejected: dict[int, tuple[str | None, list[str | None] | None]] = {}
+    rejected: dict[int, tuple[str | None, list[str | None] | None, str]] = {}
     for k in by_number.keys() - set(good.column("k").to_pylist()):
-        # the reader stops at the first error of a record; the raw record tells which reason comes first
-        values = split_values(by_number[k])
-        if values is None:
-            rejected[k] = ("quoting", None)
-        elif len(values) != len(AMR_COLUMNS):
-            rejected[k] = ("column_count", None)
-        else:  # refused for another reason, such as a bound of the reader
-            rejected[k] = _typed(values)
-    return good, rejected, errors
+        reason = reason_of(errors.get(k, set()))
+        rejected[k] = (reason, None, "reject_errors") if reason else (*_by_hand(by_number[k]), "raw_text")
+    return good, rejected
+
+
+def _by_hand(raw: str) -> tuple[str | None, list[str | None] | None]:
+    values = split_values(raw)
+    if values is None:
+        return "quoting", None
+    return _typed(values) if len(values) == len(AMR_COLUMNS) else ("column_count", None)
 
 
 def _typed(values: list[str]) -> tuple[str | None, list[str | None] | None]:
@@ -178,7 +195,7 @@ def _typed(values: list[str]) -> tuple[str | None, list[str | None] | None]:
 
 
 SCHEMA = T.StructType(
-    [T.StructField("line_id", T.LongType()), T.StructField("file_name", T.StringType()), T.StructField("line_no", T.IntegerType()), T.StructField("reason", T.StringType()), T.StructField("raw", T.StringType())]
+    [T.StructField("line_id", T.LongType()), T.StructField("file_name", T.StringType()), T.StructField("line_no", T.IntegerType()), T.StructField("reason", T.StringType()), T.StructField("decided_by", T.StringType()), T.StructField("raw", T.StringType())]
     + [T.StructField(c, T.DoubleType() if c.endswith("_pct") else T.StringType()) for c in AMR_COLUMNS]
 )
 
@@ -198,17 +215,18 @@ def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 by_file.setdefault(files[k], []).append((k, raw))
         if not by_file:
             continue
-        good, rejected, _ = check_records(con, list(by_file.values()))
+        good, rejected = check_records(con, list(by_file.values()))
         rest = []
-        for k, (reason, values) in rejected.items():
+        for k, (reason, values, by) in rejected.items():
             row = dict(zip(AMR_COLUMNS, values)) if values else {}
-            rest.append({"k": k, "reason": reason, **{c: float(v) if c.endswith("_pct") and v is not None else v for c, v in row.items()}})
-        types = pa.schema([("k", pa.int64()), ("reason", pa.string()), *[(f.name, f.type) for f in schema if f.name in AMR_COLUMNS]])
+            rest.append({"k": k, "reason": reason, "decided_by": by, **{c: float(v) if c.endswith("_pct") and v is not None else v for c, v in row.items()}})
+        types = pa.schema([("k", pa.int64()), ("reason", pa.string()), ("decided_by", pa.string()), *[(f.name, f.type) for f in schema if f.name in AMR_COLUMNS]])
+        good = good.add_column(2, "decided_by", pa.array(["reader"] * good.num_rows, pa.string()))
         out = pa.concat_tables([good.cast(types), pa.Table.from_pylist(rest, types)]).combine_chunks()
         k, failed = out.column("k").combine_chunks(), pc.is_valid(out.column("reason").combine_chunks())
         none = pa.scalar(None, pa.string())
         columns = {c: batch.column(c).take(k) for c in ("line_id", "file_name", "line_no")}
-        columns |= {"reason": out.column("reason").combine_chunks(), "raw": pc.if_else(failed, batch.column("raw").take(k), none)}
+        columns |= {"reason": out.column("reason").combine_chunks(), "decided_by": out.column("decided_by").combine_chunks(), "raw": pc.if_else(failed, batch.column("raw").take(k), none)}
         for c in AMR_COLUMNS:
             columns[c] = pc.if_else(failed, pa.scalar(None, types.field(c).type), out.column(c).combine_chunks())
         yield pa.RecordBatch.from_arrays([pa.array(columns[f.name]) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in schema], schema=schema)
@@ -218,6 +236,8 @@ def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def read_records(records: DataFrame, lines_per_chunk: int = 8192) -> DataFrame:
     """Every record that is not a comment, header or blank one: typed columns where valid, else reason and raw text.
 
+    `decided_by` is reader (accepted, its values judged), reject_errors (refused, the error types told why) or raw_text.
+
     `records` has line_id, file_name, line_no and raw; other columns are ignored. A null raw is blank; null file names
     form one file. Whole-row copies are read once. An empty table gives an empty result.
     """
@@ -229,7 +249,7 @@ def read_records(records: DataFrame, lines_per_chunk: int = 8192) -> DataFrame:
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where("reason IS NULL").drop("reason", "raw")
+    return checked.where("reason IS NULL").drop("reason", "decided_by", "raw")
 
 
 def failed_rows(checked: DataFrame) -> DataFrame:

@@ -21,6 +21,12 @@ def p2_typed(spark: SparkSession, sf: str) -> DataFrame:
     return rejects.valid_rows(rejects.read_records(table(spark, sf, "amr_raw"))).drop("file_name", "line_no")
 
 
+def p2_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed records by reason and by what decided it: the reader's values, its reject table, or the raw text."""
+    bad = rejects.read_records(table(spark, sf, "amr_raw")).where("reason IS NOT NULL")
+    return bad.groupBy("reason", "decided_by").agg(F.countDistinct("line_id").alias("records"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return changefeed.status_table(spark, f"{sf}/status_feed.parquet")
 
@@ -72,7 +78,7 @@ def p6_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.cascade(*reference_graph(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_typed, p3_found, p4_found, p4_dialects, p6_found, p6_cascade)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_typed, p2_reasons, p3_found, p4_found, p4_dialects, p6_found, p6_cascade)}
 
 _VALUE = r'"(?:[^"]|"")*"|[^"\t][^\t]*|'
 _B = r"e' \t\r\n'"
@@ -121,6 +127,7 @@ ORACLE = {
     + "SELECT line_id, "
     + ", ".join(f"v[{i}]{'::DOUBLE' if c.endswith('_pct') else ''} AS {c}" for i, c in enumerate(rejects.AMR_COLUMNS, 1))
     + " FROM j WHERE reason IS NULL",
+    "p2_reasons": _P2 + "SELECT reason, CASE WHEN reason IN ('quoting', 'column_count') THEN 'reject_errors' ELSE 'reader' END AS decided_by, count(DISTINCT line_id) AS records FROM j WHERE reason IS NOT NULL GROUP BY ALL",
     "p3_found": r"""
 WITH c AS (SELECT stage, sample, op, event, change_id, seq,
         try_cast(regexp_replace(t, '^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})', '\1-\2-\3T\4:\5:\6') AS TIMESTAMPTZ) AS made_at

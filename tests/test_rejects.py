@@ -91,3 +91,27 @@ def test_the_reader_alone_agrees_with_the_rule():
         recs = [(k, "".join(rnd.choice('ab\t\t\t"" \n\r.,') for _ in range(rnd.randrange(40)))) for k in range(150)]
         recs = [x for x in recs if not R.skipped(x[1])]
         assert R.accepted_values(con, [recs[:70], recs[70:]]) == {k: v for k, raw in recs if (v := R.split_values(raw)) is not None and len(v) == 14}
+
+
+def test_reasons_come_from_the_reject_table(monkeypatch):
+    """No rejected record is split by hand, and without the reject table no reason is known."""
+    rnd = random.Random(4)
+    con = duckdb.connect()
+    monkeypatch.setattr(R, "_by_hand", lambda raw: (_ for _ in ()).throw(AssertionError(raw)))
+    seen = set()
+    for _ in range(12):
+        recs = [(k, "\t".join(rnd.choice(['"q', '"z"x', '"b"', '"t\tu"', "", '"n\nl"', 'x"y']) if rnd.random() < 0.2 else "5" for _ in range(rnd.choice([12, 13, 14, 14, 15, 16])))) for k in range(200)]
+        recs = [x for x in recs if not R.skipped(x[1])]
+        _, rejected = R.check_records(con, [recs[:90], recs[90:]])
+        assert {k: r[0] for k, r in rejected.items()} == {k: e for k, raw in recs if (e := expected(raw)) in ("quoting", "column_count")}
+        seen |= {r[0] for r in rejected.values()}
+    assert seen == {"quoting", "column_count"}
+    monkeypatch.setattr(R, "reject_errors", lambda con: {})
+    with pytest.raises(AssertionError):
+        R.check_records(con, [[(0, "a\tb")]])
+
+
+def test_a_refusal_the_errors_do_not_explain_is_split_by_hand():
+    assert R.reason_of({"LINE SIZE OVER MAXIMUM"}) is None and R.reason_of(set()) is None
+    assert R._by_hand("a") == ("column_count", None) and R._by_hand('"a') == ("quoting", None)
+    assert R._by_hand("\t".join(GOOD))[0] is None
