@@ -45,11 +45,11 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_dialects(spark: SparkSession, sf: str) -> DataFrame:
-    """How many fields each dialect won, and how many of its parses the exact check had to correct."""
-    names = F.array(*[F.lit(" ".join([kind, *(["quote " + q] if q else []), *["U+%04X" % ord(c) for c in d]])) for _, kind, d, q in packed.dialects()])
+    """How many fields each kind of dialect won, and how many of its parses the field rule would not give."""
+    kinds = F.array(*[F.lit(kind) for _, kind, _, _ in packed.dialects()])
     p = _packed(spark, sf)
-    dialect = F.when(F.col("dialect").isNull(), "single value").otherwise(F.element_at(names, F.col("dialect") + 1))
-    return p.groupBy("field", dialect.alias("dialect")).agg(F.count(F.lit(1)).alias("fields"), F.sum(F.col("corrected").cast("long")).alias("corrected"))
+    kind = F.when(F.col("dialect").isNull(), "single value").otherwise(F.element_at(kinds, F.col("dialect") + 1))
+    return p.groupBy("field", kind.alias("kind")).agg(F.count(F.lit(1)).alias("fields"), F.count_if(~F.col("agrees")).alias("disagree"))
 
 
 def reference_graph(spark: SparkSession, sf: str) -> tuple[dict[str, orphans.Node], list[orphans.Edge]]:
@@ -138,6 +138,10 @@ n AS (SELECT *, min(v) FILTER (op = 'insert') OVER (PARTITION BY stage, sample)
 SELECT stage, sample, event, change_id FROM n WHERE op IN ('insert', 'update') AND v >= made
 QUALIFY row_number() OVER (PARTITION BY stage, sample ORDER BY v DESC) = 1""",
     "p4_found": _P4,
+    "p4_dialects": f"""SELECT field, CASE WHEN NOT regexp_matches(t, '[,;|\\r\\n"\\[]') THEN 'single value' WHEN starts_with(trim(t, {_B}), '[') THEN 'json' ELSE 'delimited' END AS kind, count(*) AS fields, 0 AS disagree
+FROM (SELECT DISTINCT 'pilot100_manifest' AS table_name, Pilot_ID AS row_key, 'AMR_genotypes' AS field, AMR_genotypes AS t FROM pilot100_manifest
+    UNION SELECT 'execution', id::VARCHAR, 'input_ids', input_ids FROM execution UNION SELECT 'execution', id::VARCHAR, 'output_paths', output_paths FROM execution)
+WHERE t IS NOT NULL AND trim(t, {_B}) NOT IN ('', '.', 'NA', 'MISSING') GROUP BY ALL""",
     "p6_found": _P6 + "SELECT table_name, period, row_id, reason FROM direct WHERE reason IS NOT NULL AND table_name <> 'execution'",
     "p6_cascade": _P6
     + """, d AS (SELECT table_name, period, row_id::VARCHAR AS row_id, 'direct' AS kind, reason FROM direct WHERE reason IS NOT NULL)
