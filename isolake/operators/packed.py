@@ -135,8 +135,9 @@ def _by_signs() -> Column:
 
 
 def _signs(text: Column) -> Column:
+    """A bit for each kind of sign the text holds. An apostrophe counts only where a value could begin, as inside words it cannot quote."""
     tests = [text.rlike("[" + d.replace("|", "\\|") + "]") if len(d) > 1 else F.contains(text, F.lit(d)) for d in DELIMITERS]
-    tests += [F.contains(text, F.lit('"')), F.contains(text, F.lit("'")), _trim(text).startswith("[")]
+    tests += [F.contains(text, F.lit('"')), text.rlike("(^|[,;|\r\n])[ \t]*'"), _trim(text).startswith("[")]
     out = F.lit(0)
     for i, t in enumerate(tests):
         out = out + F.when(t, 1 << i).otherwise(0)
