@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isolake.llm.leakage import RUN, build, find_passages, item_blocks, passages
+from isolake.llm.leakage import MAX_CHARS, RUN, built_once, find_passages, item_blocks, passages
 
 COMPONENTS, ALPHA, PULL, LENGTH_TOKENS, ROUNDS = 3, 0.5, 300.0, 3, 20
 #: A level model is fitted on at most so many labelled texts, those of the least anchor ids.
@@ -171,7 +172,7 @@ def fit_anchors(anchors: DataFrame, **options) -> LevelModel:
     return fit(((r.level, *features(r.text)) for r in rows if r.text.strip()), **options)
 
 
-def levels(documents: DataFrame, anchors: DataFrame, items: DataFrame, lang: str = "en", max_chars: int = 20_000_000, **options) -> DataFrame:
+def levels(documents: DataFrame, anchors: DataFrame, items: DataFrame, lang: str = "en", max_chars: int = MAX_CHARS, **options) -> DataFrame:
     """(doc_id, level, posterior) of the documents in `lang` whose text is not blank.
 
     A document with no word that the anchors know gets the lowest of the most probable levels by prior. Rows repeated under one doc_id
@@ -180,7 +181,7 @@ def levels(documents: DataFrame, anchors: DataFrame, items: DataFrame, lang: str
     spark = documents.sparkSession
     model = fit_anchors(anchors, **options)
     blocks = list(item_blocks(items, max_chars)) if (items.agg(F.sum(F.length("text"))).first()[0] or 0) <= max_chars else None
-    shared = spark.sparkContext.broadcast((model, blocks[0] if blocks else None))
+    shared = spark.sparkContext.broadcast((model, (uuid.uuid4().hex, blocks[0]) if blocks else None))
     docs = documents.where((F.col("lang") == lang) & F.col("text").isNotNull() & (F.btrim("text", F.lit(" \t\r\n")) != "")).select("doc_id", "text")
     if blocks is None:  # too many items for one automaton: find passages in blocks first
         cuts = find_passages(docs, items, RUN, max_chars).groupBy("doc_id").agg(F.collect_set(F.struct("start_at", "end_at")).alias("cuts"))
@@ -188,13 +189,13 @@ def levels(documents: DataFrame, anchors: DataFrame, items: DataFrame, lang: str
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, block = shared.value
-        automaton = build(block) if block else None
+        matcher = built_once(*block) if block else None
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             given = b.column("cuts").to_pylist() if "cuts" in b.schema.names else [None] * len(ids)
             out = []
             for text, cuts in zip(texts, given):
-                spans = [(c["start_at"], c["end_at"]) for c in cuts] if cuts else [(s, e) for _, s, e in passages(automaton, text)]
+                spans = [(c["start_at"], c["end_at"]) for c in cuts] if cuts else [(s, e) for _, s, e in passages(matcher, text)]
                 out.append(model.best(features(text, spans)[0]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.float64())], names=["doc_id", "level", "posterior"])
 

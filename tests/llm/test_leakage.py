@@ -70,3 +70,26 @@ def test_long_texts_and_empty_tables(spark):
     assert L.leaks(d.limit(0), i).count() == 0
     assert L.leaks(d, i.limit(0)).count() == 0
     assert rows(L.leaked_items(d, i.withColumn("suite", F.lit("s")))) == [(1, "s", 1)]
+
+
+def test_shared_runs_are_found_wherever_they_begin():
+    """Runs of exactly 12 words at every offset of an item, with other words around; 11 words are no case."""
+    words_ = [f"v{k}" for k in range(40)]
+    m = L.build([(1, " ".join(words_))])
+    for k in range(29):
+        text = "x " + " ".join(words_[k : k + 12]) + " y"
+        assert [text[s:e] for _, s, e in L.passages(m, text)] == [" ".join(words_[k : k + 12])]
+        assert L.passages(m, "x " + " ".join(words_[k : k + 11]) + " y") == []
+
+
+def test_an_automaton_has_about_one_node_a_word():
+    rnd = random.Random(1)
+    items = [(i, " ".join(rnd.choice(WORDS) + str(rnd.randrange(50)) for _ in range(100))) for i in range(50)]
+    a = L.build(items).automaton
+    assert a.get_stats()["nodes_count"] < 1.1 * 50 * 100
+
+
+def test_a_worker_builds_once_for_each_query():
+    a = L.built_once("t1", [(1, "one two")])
+    assert L.built_once("t1", [(9, "other")]) is a
+    assert L.built_once("t2", [(9, "other")]) is not a and L.built_once("t3", []) is None
