@@ -147,4 +147,18 @@ dr AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(w) -
     FROM d JOIN lengths ON len(w) >= n)
 SELECT DISTINCT doc_id, item_id FROM dr JOIN ir USING (r)""",
 }
+ORACLE["p7_passages"] = r"""
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, regexp_extract_all(lower(text), '[^a-z0-9]*[a-z0-9]+') AS k FROM d),
+w AS (SELECT doc_id, list_transform(k, lambda x: len(x)) AS sizes, list_transform(k, lambda x: regexp_replace(x, '^[^a-z0-9]+', '')) AS w FROM k),
+i AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM eval_items WHERE text IS NOT NULL),
+ir AS (SELECT DISTINCT item_id, least(len(w), 12) AS n, unnest(list_transform(generate_series(1, greatest(1, len(w) - 11)), lambda k: array_to_string(w[k:k + least(len(w), 12) - 1], ' '))) AS r FROM i WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM ir),
+pos AS (SELECT doc_id, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM w JOIN lengths ON len(w) >= n),
+dr AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS r FROM pos JOIN w USING (doc_id)),
+h AS (SELECT DISTINCT doc_id, item_id, i, i + n - 1 AS j FROM dr JOIN ir USING (n, r)),
+m AS (SELECT *, max(j) OVER (PARTITION BY doc_id, item_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM h),
+g AS (SELECT *, sum((reach IS NULL OR i > reach)::INT) OVER (PARTITION BY doc_id, item_id ORDER BY i) AS island FROM m),
+p AS (SELECT doc_id, item_id, min(i) AS a, max(j) AS b FROM g GROUP BY doc_id, item_id, island)
+SELECT doc_id, item_id, (list_sum(sizes[1:a]) - len(w[a]))::INT AS start_at, list_sum(sizes[1:b])::INT AS end_at FROM p JOIN w USING (doc_id)"""
 ORACLE["p7_leaked_items"] = f"SELECT item_id, suite, count(doc_id) AS documents FROM (SELECT DISTINCT item_id, suite FROM eval_items) LEFT JOIN ({ORACLE['p7_found']}) USING (item_id) GROUP BY ALL"

@@ -141,23 +141,26 @@ def fit(anchors: Iterable[tuple[int, Counter, float]], components: int = COMPONE
     if not anchors:
         raise ValueError("no labelled texts")
     vocabulary = {w: i for i, w in enumerate(sorted(set().union(*[c.keys() for _, c, _ in anchors])))}
+    size = len(vocabulary)
     log_p, prior, level = [], [], []
     levels = sorted({v for v, _, _ in anchors})
     for v in levels:
         docs = sorted((x for x in anchors if x[0] == v), key=lambda x: (x[2], sorted(x[1].items())))
         k = max(1, min(components, len(docs) // 3))
-        x = np.zeros((len(docs), len(vocabulary)))
-        for i, (_, c, _) in enumerate(docs):
-            for w, n in c.items():
-                x[i, vocabulary[w]] = n
-        whole = (x.sum(0) + alpha) / (x.sum() + alpha * len(vocabulary))
+        # counts as (text, token, number) triples: no text is spread over the whole vocabulary
+        lengths = [len(c) for _, c, _ in docs]
+        text = np.repeat(np.arange(len(docs)), lengths)
+        token = np.fromiter((vocabulary[w] for _, c, _ in docs for w in c), np.intp, sum(lengths))
+        n = np.fromiter((x for _, c, _ in docs for x in c.values()), float, sum(lengths))
+        whole = np.bincount(token, n, size) + alpha
+        whole /= whole.sum()
         r = np.zeros((len(docs), k))
         r[np.arange(len(docs)), np.arange(len(docs)) * k // len(docs)] = 1
         for _ in range(ROUNDS if k > 1 else 1):
-            counts = r.T @ x + pull * whole
+            counts = np.array([np.bincount(token, n * r[text, j], size) for j in range(k)]) + (pull * whole if k > 1 else alpha)
             p = np.log(counts / counts.sum(1, keepdims=True))
             pi = np.log((r.sum(0) + 1) / (len(docs) + k))
-            s = x @ p.T + pi
+            s = np.array([np.bincount(text, n * p[j, token], len(docs)) for j in range(k)]).T + pi
             r = np.exp(s - s.max(1, keepdims=True))
             r /= r.sum(1, keepdims=True)
         log_p.append(p)
