@@ -1,10 +1,14 @@
 """Items that appear together: an incrementally maintained table of pair counts with association scores.
 
-State lives below one folder: memberships (basket, item) and pairs, both in hash buckets, and marginals. A change names
+State lives below one folder: memberships (basket, item) and pair counts, both in hash buckets, and marginals. A change names
 the baskets that changed with their whole new contents. Comparing those with the old contents gives signed membership
 deltas; these give marginal deltas, and each changed basket emits signed pair deltas (+1 for a pair it gained, -1 for one
 it lost, nothing for one it kept). Deltas are summed before and during the shuffle and merged into the buckets they
-touch; other buckets are carried over by reference. Scores are recomputed for the pairs they can have changed.
+touch; other buckets are carried over by reference and keep their files. A score depends on the counts of a pair, of its items and of all
+baskets, so a change of any basket moves every score: counts alone are stored, and scores are computed from them and the marginals when read.
+
+Buckets hold about `rows_per_bucket` rows: when a table outgrows its buckets, their number is doubled until it fits and the table
+is written anew, which a growing table does rarely enough to cost a constant share.
 
 Pairs are only kept for admitted items. With n baskets and the wanted bounds n_both >= min_both and lift >= min_lift, a
 pair can qualify only if min_both <= n_a and min_lift * n_a <= n (as n_both <= n_b), and the same for b. Both bounds follow
@@ -22,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isolake.operators.skew import salted_join
-from isolake.session import new_dir
+from isolake.operators.skew import hot_keys, salted_join
+from isolake.session import new_dir, remove_dir
 
 PAIR_COLUMNS = ("a", "b", "n_both", "n_a", "n_b", "n", "lift", "g2")
 
@@ -38,43 +42,38 @@ def g2(n_both: Column, n_a: Column, n_b: Column, n: Column) -> Column:
 
 
 class PairTable:
-    """The persistent pair table below `path`; a fresh path is an empty table.
-
-    The number of hash buckets is fixed by the first change: `buckets`, or one for each `rows_per_bucket` memberships.
-    """
+    """The persistent pair table below `path`; a fresh path is an empty table. `buckets` is the least number of hash buckets."""
 
-    def __init__(self, spark: SparkSession, path: str, min_both: int = 1, min_lift: int = 0, buckets: int | None = None, block: int = 512, rows_per_task: int = 2_000_000, rows_per_bucket: int = 1_000_000):
+    def __init__(self, spark: SparkSession, path: str, min_both: int = 1, min_lift: int = 0, buckets: int = 8, block: int = 512, rows_per_task: int = 2_000_000, rows_per_bucket: int = 1_000_000):
         self.spark, self.path, self.min_both, self.min_lift = spark, path, min_both, min_lift
-        self.buckets, self.block, self.rows_per_task, self.rows_per_bucket = buckets, block, rows_per_task, rows_per_bucket
+        self.block, self.rows_per_task, self.rows_per_bucket = block, rows_per_task, rows_per_bucket
+        self.buckets = {"memberships": buckets, "pairs": buckets}
+        self.rows = {"memberships": 0, "pairs": 0}
         self.version, self.n, self.at = 0, 0, {"memberships": {}, "pairs": {}}
         self._load()
 
     def _load(self) -> None:
         try:
-            rows = self.spark.read.text(f"{self.path}/manifest").collect()  # one short line a version
+            rows = self.spark.read.text(f"{self.path}/manifest").collect()  # one line a version
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return
         last = max((json.loads(r[0]) for r in rows), key=lambda m: m["version"])
-        self.version, self.n, self.at, self.buckets = last["version"], last["n"], last["at"], last["buckets"]
+        for k, v in last.items():
+            setattr(self, k, v)
 
     def _commit(self) -> None:
-        line = json.dumps({"version": self.version, "n": self.n, "at": self.at, "buckets": self.buckets})
+        line = json.dumps({k: getattr(self, k) for k in ("version", "n", "at", "buckets", "rows")})
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/manifest")
 
-    def _read(self, table: str, schema: str, buckets: list[str] | None = None) -> DataFrame:
-        paths = [f"{self.path}/{table}/v={v}/bucket={b}" for b, v in self.at[table].items() if buckets is None or b in buckets]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+    def _folder(self, table: str, bucket: str) -> str:
+        return f"{self.path}/{table}/v={self.at[table][bucket]}/bucket={bucket}"
 
-    def _write(self, table: str, df: DataFrame, touched: list[str], version: int) -> None:
-        """Replace the touched buckets. A bucket left empty is dropped from the manifest."""
-        out = f"{self.path}/{table}/v={version}"
-        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-        for b in touched:
-            self.at[table].pop(b, None)
-        for s in self._folders(out):
-            self.at[table][s] = version
+    def _read(self, table: str, buckets: list[str] | None = None) -> DataFrame:
+        schema = {"memberships": "basket string, item string", "pairs": "a string, b string, n_both long"}[table]
+        paths = [self._folder(table, b) for b in self.at[table] if buckets is None or b in buckets]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _folders(self, path: str) -> list[str]:
         jvm = self.spark._jvm
@@ -83,23 +82,58 @@ class PairTable:
         return [s.getPath().getName().partition("=")[2] for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("bucket=")]
 
     def memberships(self) -> DataFrame:
-        return self._read("memberships", "basket string, item string")
+        return self._read("memberships")
 
     def marginals(self) -> DataFrame:
         if not self.version:
             return self.spark.createDataFrame([], "item string, n_item long, admitted boolean")
         return self.spark.read.parquet(f"{self.path}/marginals/v={self.version}")
 
-    def pairs(self) -> DataFrame:
-        """Counted pairs with their scores, smaller item first."""
-        return self._read("pairs", "a string, b string, n_both long, n_a long, n_b long, n long, lift double, g2 double")
-
-    def _bucket(self, *keys: str) -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-
-    def _touched(self, df: DataFrame) -> list[str]:
-        """The distinct buckets of a frame: at most as many values as there are buckets."""
-        return [str(r[0]) for r in df.select("bucket").distinct().collect()]
+    def counts(self) -> DataFrame:
+        """(a, b, n_both) of the counted pairs, smaller item first."""
+        return self._read("pairs")
+
+    def pairs(self, least: int = 1) -> DataFrame:
+        """Counted pairs in at least `least` baskets with their scores."""
+        m = self.marginals().select("item", "n_item")
+        c = self.counts().where(F.col("n_both") >= least)
+        for x in ("a", "b"):  # an item may be in any share of the pairs
+            c = salted_join(c, m.select(F.col("item").alias(x), F.col("n_item").alias(f"n_{x}")), [x], "inner", self.rows_per_task, F.xxhash64("a", "b"))
+        c = c.withColumn("n", F.lit(self.n).cast("long"))
+        lift = F.col("n_both").cast("double") * F.col("n") / (F.col("n_a").cast("double") * F.col("n_b"))
+        return c.withColumn("lift", lift).withColumn("g2", g2(F.col("n_both"), F.col("n_a"), F.col("n_b"), F.col("n"))).select(*PAIR_COLUMNS)
+
+    def _bucket(self, table: str) -> Column:
+        keys = {"memberships": ("basket",), "pairs": ("a", "b")}[table]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets[table])).cast("int")
+
+    def _grown(self, table: str, rows: int) -> bool:
+        """Whether the table needs more buckets for so many rows; if so it gets them."""
+        before = self.buckets[table]
+        while self.buckets[table] * self.rows_per_bucket < rows:
+            self.buckets[table] *= 2
+        return self.buckets[table] != before
+
+    def _replace(self, table: str, changes: DataFrame, rows: int, merge, version: int) -> None:
+        """Merge changes into the buckets they touch, or into all if the table has outgrown its buckets.
+
+        `merge` gives the new rows from the old rows of those buckets. A bucket left empty leaves the manifest. The buckets touched are
+        listed on the driver: at most as many numbers as there are buckets.
+        """
+        if self._grown(table, rows):
+            touched = list(self.at[table])
+        else:
+            touched = [str(r[0]) for r in changes.select(self._bucket(table)).distinct().collect()]
+        out = f"{self.path}/{table}/v={version}"
+        df = merge(self._read(table, touched)).withColumn("bucket", self._bucket(table))
+        hot = F.broadcast(hot_keys(df, ["bucket"], self.rows_per_task))  # at most one row per rows_per_task rows
+        spread = F.pmod(F.xxhash64(*df.columns), F.coalesce("__salts", F.lit(1)))
+        df.join(hot, "bucket", "left").withColumn("__spread", spread).drop("__salts").repartition("bucket", "__spread").drop("__spread").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        for b in touched:
+            self.at[table].pop(b, None)
+        for b in self._folders(out):
+            self.at[table][b] = version
+        self.rows[table] = self._read(table).count()
 
     def apply(self, contents: DataFrame) -> None:
         """Replace the contents of every basket in `contents` (basket, item); a basket with only null items becomes empty.
@@ -109,6 +143,7 @@ class PairTable:
         version = self.version + 1
         c = contents.select(F.col("basket").cast("string").alias("basket"), F.col("item").cast("string").alias("item")).where("basket IS NOT NULL")
         new = c.where("item IS NOT NULL").distinct()
+        work = f"{self.path}/work/v={version}"
         if self.version:
             changed = c.select("basket").distinct()
             old = salted_join(self.memberships(), changed, ["basket"], "left_semi", self.rows_per_task)
@@ -118,69 +153,82 @@ class PairTable:
             )
         else:
             delta = new.withColumn("now", F.lit(1)).withColumn("was", F.lit(0))
-        work = f"{self.path}/work/v={version}"
         delta.write.mode("overwrite").parquet(f"{work}/delta")
         delta = self.spark.read.parquet(f"{work}/delta")
-        if self.buckets is None:
-            self.buckets = max(8, -(-delta.count() // self.rows_per_bucket))
-        delta = delta.withColumn("bucket", self._bucket("basket"))
 
         held = delta.groupBy("basket").agg(F.max("now").alias("now"), F.max("was").alias("was")).agg(F.sum("now"), F.sum("was")).first()
         n = self.n + (held[0] or 0) - (held[1] or 0)
         self._marginals(delta, n, version)
         items = self.spark.read.parquet(f"{self.path}/marginals/v={version}")
+        live = items.where("admitted OR was_admitted").select("item", "admitted", "was_admitted")
 
-        old_members = self.memberships() if self.version else None
-        rows = salted_join(delta.select("basket", "item", "now", "was"), items.where("admitted OR was_admitted").select("item", "admitted", "was_admitted"), ["item"], "inner", self.rows_per_task)
-        if old_members is not None:
+        rows = salted_join(delta.select("basket", "item", "now", "was"), live, ["item"], "inner", self.rows_per_task)
+        if self.version:
             flipped = items.where("admitted <> was_admitted").select("item")
-            reached = salted_join(old_members, flipped, ["item"], "left_semi", self.rows_per_task).select("basket").distinct().join(changed, "basket", "left_anti")
-            idle = salted_join(old_members, reached, ["basket"], "left_semi", self.rows_per_task)
-            idle = salted_join(idle, items.where("admitted OR was_admitted").select("item", "admitted", "was_admitted"), ["item"], "inner", self.rows_per_task)
+            reached = salted_join(self.memberships(), flipped, ["item"], "left_semi", self.rows_per_task).select("basket").distinct().join(changed, "basket", "left_anti")
+            idle = salted_join(self.memberships(), reached, ["basket"], "left_semi", self.rows_per_task)
+            idle = salted_join(idle, live, ["item"], "inner", self.rows_per_task)
             rows = rows.unionByName(idle.withColumn("now", F.lit(1)).withColumn("was", F.lit(1)))
         now = (F.col("now") == 1) & F.col("admitted")
         was = (F.col("was") == 1) & F.col("was_admitted")
         rows = rows.select("basket", "item", (now.cast("int") - was.cast("int")).alias("st")).where(now | was)
         rows.write.mode("overwrite").parquet(f"{work}/rows")
-        rows = self.spark.read.parquet(f"{work}/rows")
-        deltas = self._pair_deltas(rows).withColumn("bucket", self._bucket("a", "b"))
+        deltas = self._pair_deltas(self.spark.read.parquet(f"{work}/rows"))
         deltas.write.mode("overwrite").parquet(f"{work}/pairs")
         deltas = self.spark.read.parquet(f"{work}/pairs")
-        self._merge_pairs(deltas, items, n, version)
-        self._merge_members(delta, version)
+        gained = deltas.select("a", "b", F.col("change").alias("n_both"))
+        self._replace("pairs", deltas, self.rows["pairs"] + deltas.count(), lambda old: old.unionByName(gained).groupBy("a", "b").agg(F.sum("n_both").alias("n_both")).where("n_both > 0") if self.version else gained, version)
+        fresh = delta.where("now = 1").select("basket", "item")
+        self._replace("memberships", delta, self.rows["memberships"] + fresh.count(), lambda old: salted_join(old, delta.select("basket").distinct(), ["basket"], "left_anti", self.rows_per_task).unionByName(fresh) if self.version else fresh, version)
         self.version, self.n = version, n
         self._commit()
+        remove_dir(self.spark, work)
+
+    def vacuum(self) -> None:
+        """Remove what the newest version no longer refers to. Frames of older versions cannot be read afterwards."""
+        for v in range(1, self.version):
+            remove_dir(self.spark, f"{self.path}/marginals/v={v}")
+        for table, held in self.at.items():
+            for v in range(1, self.version + 1):
+                try:
+                    there = self._folders(f"{self.path}/{table}/v={v}")
+                except Exception as e:  # noqa: BLE001
+                    if "FileNotFound" not in str(e):
+                        raise
+                    continue
+                for b in there:
+                    if held.get(b) != v:
+                        remove_dir(self.spark, f"{self.path}/{table}/v={v}/bucket={b}")
 
     def _marginals(self, delta: DataFrame, n: int, version: int) -> None:
         change = delta.groupBy("item").agg(F.sum(F.col("now") - F.col("was")).alias("change"))
         before = self.marginals().select("item", "n_item", F.col("admitted").alias("was_admitted"))
         m = (
-            before.select("item", "n_item", "was_admitted", F.lit(0).cast("long").alias("change"))
-            .unionByName(change.select("item", F.lit(0).cast("long").alias("n_item"), F.lit(False).alias("was_admitted"), "change"))
+            before.select("item", "n_item", "was_admitted")
+            .unionByName(change.select("item", F.col("change").alias("n_item"), F.lit(False).alias("was_admitted")))
             .groupBy("item")
-            .agg((F.sum("n_item") + F.sum("change")).alias("n_item"), F.max("was_admitted").alias("was_admitted"), (F.sum("change") != 0).alias("moved"))
+            .agg(F.sum("n_item").alias("n_item"), F.max("was_admitted").alias("was_admitted"))
         )
         admitted = (F.col("n_item") >= max(1, self.min_both)) & (F.col("n_item") * self.min_lift <= n)
         m.withColumn("admitted", admitted).where("n_item > 0 OR was_admitted").write.mode("overwrite").parquet(f"{self.path}/marginals/v={version}")
 
     def _pair_deltas(self, rows: DataFrame) -> DataFrame:
-        """(a, b, change), changes summed and not 0, of rows (basket, item, st): st 1 gained, -1 lost, 0 kept."""
-        largest = rows.groupBy("basket").count().agg(F.max("count")).first()[0] or 0
+        """(a, b, change), changes summed and not 0, of rows (basket, item, st): st 1 gained, -1 lost, 0 kept.
+
+        Baskets above `block` items are cut into k blocks, of which each two (and each with itself) meet; the others are one block.
+        """
         cell = F.struct("item", "st")
-        if largest <= self.block:
-            left = rows.groupBy("basket").agg(F.sort_array(F.collect_list(cell)).alias("ys")).where(F.exists("ys", lambda y: y["st"] != 0))
-            x = left.select(F.posexplode("ys").alias("i", "x"), "ys")
-            partners = F.filter(F.slice("ys", F.col("i") + 2, F.size("ys")), lambda y: (F.col("x.st") != 0) | (y["st"] != 0))
-            p = x.select("x", F.explode(partners).alias("y"))
-        else:
-            sizes = rows.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / self.block).cast("int").alias("k"), F.max(F.abs("st")).alias("any")).where("any = 1").drop("any")
-            cut = salted_join(rows, sizes, ["basket"], "inner", self.rows_per_task).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
-            blocks = cut.groupBy("basket", "k", "c").agg(F.sort_array(F.collect_list(cell)).alias("ys"))
-            meet = blocks.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("c1", F.least("c", "o")).withColumn("c2", F.greatest("c", "o"))
-            both = meet.groupBy("basket", "c1", "c2").agg(F.max(F.when(F.col("c") == F.col("c1"), F.col("ys"))).alias("xs"), F.max(F.when(F.col("c") == F.col("c2"), F.col("ys"))).alias("ys"))
-            x = both.where("xs IS NOT NULL AND ys IS NOT NULL").select("c1", "c2", "ys", F.explode("xs").alias("x"))
-            partners = F.filter("ys", lambda y: ((F.col("c1") < F.col("c2")) | (y["item"] > F.col("x.item"))) & ((F.col("x.st") != 0) | (y["st"] != 0)))
-            p = x.select("x", F.explode(partners).alias("y"))
+        large = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.block).select("basket", F.ceil(F.col("n") / self.block).cast("int").alias("k"))
+        cut = salted_join(rows, large, ["basket"], "left", self.rows_per_task).withColumn("k", F.coalesce("k", F.lit(1))).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
+        blocks = cut.groupBy("basket", "k", "c").agg(F.sort_array(F.collect_list(cell)).alias("ys"))
+        one = blocks.where("k = 1").select(F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.col("ys").alias("xs"), "ys")
+        meet = blocks.where("k > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("c1", F.least("c", "o")).withColumn("c2", F.greatest("c", "o"))
+        two = meet.groupBy("basket", "c1", "c2").agg(F.max(F.when(F.col("c") == F.col("c1"), F.col("ys"))).alias("xs"), F.max(F.when(F.col("c") == F.col("c2"), F.col("ys"))).alias("ys"))
+        both = one.unionByName(two.where("xs IS NOT NULL AND ys IS NOT NULL").drop("basket"))
+        both = both.where(F.exists("xs", lambda x: x["st"] != 0) | F.exists("ys", lambda y: y["st"] != 0))
+        x = both.select("c1", "c2", "ys", F.posexplode("xs").alias("i", "x"))
+        rest = F.when(F.col("c1") < F.col("c2"), F.col("ys")).otherwise(F.slice("ys", F.col("i") + 2, F.size("ys")))  # a block with itself: the items after x
+        p = x.select("x", F.explode(F.filter(rest, lambda y: (F.col("x.st") != 0) | (y["st"] != 0))).alias("y"))
         # in both now: neither lost; in both before: neither gained
         change = ((F.col("x.st") >= 0) & (F.col("y.st") >= 0)).cast("int") - ((F.col("x.st") <= 0) & (F.col("y.st") <= 0)).cast("int")
         return (
@@ -188,52 +236,10 @@ class PairTable:
             .groupBy("a", "b").agg(F.sum("change").alias("change")).where("change <> 0")
         )
 
-    def _merge_pairs(self, deltas: DataFrame, items: DataFrame, n: int, version: int) -> None:
-        counts = deltas.select("bucket", "a", "b", F.col("change").alias("n_both"))
-        if self.version:
-            every = list(self.at["pairs"])
-            if n != self.n:
-                touched = sorted({*every, *self._touched(deltas)})
-            else:  # a marginal that moved changes the scores of all pairs of its item
-                moved = items.where("moved").select("item")
-                old = self.pairs().withColumn("bucket", self._bucket("a", "b"))
-                hit = old.join(moved, old.a == moved.item, "left_semi").select("bucket").unionByName(old.join(moved, old.b == moved.item, "left_semi").select("bucket"))
-                touched = sorted({*self._touched(deltas), *self._touched(hit)})
-            old = self._read("pairs", "a string, b string, n_both long", touched).select(self._bucket("a", "b").alias("bucket"), "a", "b", "n_both")
-            counts = counts.unionByName(old).groupBy("bucket", "a", "b").agg(F.sum("n_both").alias("n_both")).where("n_both > 0")
-        else:
-            touched = []
-        m = items.select("item", "n_item")
-        scored = (
-            counts.join(m.select(F.col("item").alias("a"), F.col("n_item").alias("n_a")), "a")
-            .join(m.select(F.col("item").alias("b"), F.col("n_item").alias("n_b")), "b")
-            .withColumn("n", F.lit(n).cast("long"))
-            .withColumn("lift", F.col("n_both").cast("double") * F.col("n") / (F.col("n_a").cast("double") * F.col("n_b")))
-            .withColumn("g2", g2(F.col("n_both"), F.col("n_a"), F.col("n_b"), F.col("n")))
-        )
-        self._write("pairs", scored.select("bucket", *PAIR_COLUMNS), touched, version)
-
-    def _merge_members(self, delta: DataFrame, version: int) -> None:
-        now = delta.where("now = 1").select("bucket", "basket", "item")
-        touched: list[str] = []
-        if self.version:
-            touched = self._touched(delta)
-            kept = self._read("memberships", "basket string, item string", touched)
-            kept = salted_join(kept, delta.select("basket").distinct(), ["basket"], "left_anti", self.rows_per_task)
-            now = now.unionByName(kept.select(self._bucket("basket").alias("bucket"), "basket", "item"))
-        # a basket's bucket may be hot; its rows are spread over several files
-        spread = now.repartition("bucket", F.pmod(F.xxhash64("item"), F.lit(4)))
-        out = f"{self.path}/memberships/v={version}"
-        spread.write.mode("overwrite").partitionBy("bucket").parquet(out)
-        for b in touched:
-            self.at["memberships"].pop(b, None)
-        for b in self._folders(out):
-            self.at["memberships"][b] = version
-
 
 def associated(table: PairTable) -> DataFrame:
     """The pairs that meet the table's bounds, compared in whole numbers."""
-    return table.pairs().where((F.col("n_both") >= table.min_both) & (F.col("n_both") * F.col("n") >= F.col("n_a") * F.col("n_b") * table.min_lift))
+    return table.pairs(table.min_both).where(F.col("n_both") * F.col("n") >= F.col("n_a") * F.col("n_b") * table.min_lift)
 
 
 def _trim(c: str) -> Column:
@@ -250,8 +256,15 @@ def determinant_baskets(calls: DataFrame) -> DataFrame:
 
 
 def pair_table(spark: SparkSession, *changes: DataFrame, min_both: int = 6, min_lift: int = 3, **options) -> PairTable:
-    """A table in a fresh shared folder to which the changes were applied one after the other."""
+    """A table in a fresh shared folder to which the changes were applied one after the other; only the last version is kept."""
     t = PairTable(spark, new_dir(spark, "pairs"), min_both, min_lift, **options)
     for c in changes:
         t.apply(c)
+    t.vacuum()
     return t
+
+
+def in_changes(baskets: DataFrame, n: int) -> list[DataFrame]:
+    """The baskets shared out over `n` changes, each basket whole; all of them together are all rows."""
+    part = F.pmod(F.xxhash64("basket"), F.lit(n))
+    return [baskets.where(part == k) for k in range(n)]

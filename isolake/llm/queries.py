@@ -16,13 +16,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Both tables' pairs; the two pair tables are built side by side, as most of their jobs are too small to fill a cluster."""
+    """Both tables' pairs, each table loaded in two changes of half its baskets; the two pair tables are built side by side, as most of their jobs
+    are too small to fill a cluster."""
     sources = {
         "gene_presence_absence": pairs.presence_baskets(table(spark, sf, "gene_presence_absence")),
         "amr_determinants": pairs.determinant_baskets(table(spark, sf, "amr_determinants")),
     }
     with ThreadPoolExecutor(len(sources)) as pool:
-        built = dict(zip(sources, pool.map(lambda c: pairs.pair_table(spark, c), sources.values())))
+        built = dict(zip(sources, pool.map(lambda c: pairs.pair_table(spark, *pairs.in_changes(c, 2)), sources.values())))
     out = [pairs.associated(t).select(F.lit(name).alias("table_name"), F.col("a").alias("gene_a"), F.col("b").alias("gene_b")) for name, t in built.items()]
     return out[0].unionByName(out[1])
 

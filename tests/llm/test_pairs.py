@@ -84,3 +84,41 @@ def test_scores(spark):
     r = t.pairs().where("a = 'a' AND b = 'b'").first()
     assert r.lift == pytest.approx(2 * 4 / (3 * 2))
     assert r.g2 == pytest.approx(2 * (2 * math.log(4 / 3) + 1 * math.log((1 * 4) / (3 * 2)) + 1 * math.log(4 / (1 * 2))))
+
+
+def files(t):
+    return {r.f: r.n for r in t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(t.path).select(F.col("path").alias("f"), F.col("length").alias("n")).collect()}
+
+
+def test_untouched_buckets_keep_their_files_when_baskets_are_added(spark):
+    t = P.PairTable(spark, new_dir(spark, "t"), min_both=1, min_lift=0, buckets=16)
+    t.apply(change(spark, {f"b{k}": {f"x{k}", f"y{k}"} for k in range(40)}))
+    before, held = files(t), dict(t.at["pairs"])
+    t.apply(change(spark, {"new": {"x0", "y0"}}))
+    assert t.n == 41 and sum(held[b] != v for b, v in t.at["pairs"].items()) == 1
+    kept = [f for f in before if "/pairs/" in f or "/memberships/" in f]
+    assert kept and all(files(t).get(f) == before[f] for f in kept)
+    assert t.pairs().where("a = 'x0'").first().n == 41 and t.pairs().where("a = 'x1'").first().n == 41  # scores follow n without a rewrite
+    t.vacuum()
+    left = files(t)
+    assert len(left) < len(before) + 4 and table_of(t)[("x0", "y0")] == (2, 2, 2, 41) and t.pairs().count() == 40
+
+
+def test_a_table_that_grows_gets_more_buckets(spark):
+    t = P.PairTable(spark, new_dir(spark, "t"), min_both=1, min_lift=0, buckets=2, rows_per_bucket=10)
+    t.apply(change(spark, {"b": {"x", "y"}}))
+    assert t.buckets == {"memberships": 2, "pairs": 2}
+    baskets = {f"b{k}": {f"i{j}" for j in range(k % 7)} for k in range(30)} | {"b": {"x", "y"}}
+    t.apply(change(spark, {k: v for k, v in baskets.items() if k != "b"}))
+    assert t.buckets["memberships"] >= 8 and len(t.at["memberships"]) > 4 and t.buckets["pairs"] >= 2
+    assert table_of(t) == brute(baskets, 1, 0)
+    again = P.PairTable(spark, t.path, min_both=1, min_lift=0)
+    assert again.buckets == t.buckets and again.rows == t.rows and table_of(again) == table_of(t)
+
+
+def test_changes_share_out_all_rows(spark):
+    df = change(spark, {f"b{k}": {"x", f"y{k}"} for k in range(20)})
+    parts = P.in_changes(df, 3)
+    assert sum(p.count() for p in parts) == 40
+    t, u = P.pair_table(spark, *parts, min_both=1, min_lift=0), P.pair_table(spark, df, min_both=1, min_lift=0)
+    assert t.version == 3 and table_of(t) == table_of(u)
