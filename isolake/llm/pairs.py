@@ -15,7 +15,10 @@ pair can qualify only if min_both <= n_a and min_lift * n_a <= n (as n_both <= n
 exactly from the wanted ones. When an item is admitted or loses admission, the baskets holding it emit its pairs as if
 they had gained or lost it, so counts stay right however admission moves.
 
-A basket with more than `block` admitted items is cut into blocks by item hash, and every pair of blocks is its own unit of work.
+A basket with more than `block` admitted items is cut into blocks by item hash, and every pair of blocks is its own unit of work. Where a
+join meets a hot basket or item, the rows of that key are split over tasks (by salts before they are grouped, else by the adaptive plan).
+
+One table can hold several collections (column `space`), which share its jobs but no counts.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 from isolake.operators.skew import hot_keys, salted_join
 from isolake.session import new_dir, remove_dir
 
-PAIR_COLUMNS = ("a", "b", "n_both", "n_a", "n_b", "n", "lift", "g2")
+PAIR_COLUMNS = ("space", "a", "b", "n_both", "n_a", "n_b", "n", "lift", "g2")
 
 
 def g2(n_both: Column, n_a: Column, n_b: Column, n: Column) -> Column:
@@ -44,14 +47,29 @@ def g2(n_both: Column, n_a: Column, n_b: Column, n: Column) -> Column:
 class PairTable:
     """The persistent pair table below `path`; a fresh path is an empty table. `buckets` is the least number of hash buckets."""
 
+    SCHEMAS = {"memberships": "space string, basket string, item string", "pairs": "space string, a string, b string, n_both long"}
+    KEYS = {"memberships": ("space", "basket"), "pairs": ("space", "a", "b")}
+
     def __init__(self, spark: SparkSession, path: str, min_both: int = 1, min_lift: int = 0, buckets: int = 8, block: int = 512, rows_per_task: int = 2_000_000, rows_per_bucket: int = 1_000_000):
         self.spark, self.path, self.min_both, self.min_lift = spark, path, min_both, min_lift
         self.block, self.rows_per_task, self.rows_per_bucket = block, rows_per_task, rows_per_bucket
         self.buckets = {"memberships": buckets, "pairs": buckets}
         self.rows = {"memberships": 0, "pairs": 0}
-        self.version, self.n, self.at = 0, 0, {"memberships": {}, "pairs": {}}
+        self.version, self.sizes, self.at = 0, {}, {"memberships": {}, "pairs": {}}
         self._load()
 
+    @property
+    def n(self) -> int:
+        """How many baskets hold an item, over all collections."""
+        return sum(self.sizes.values())
+
+    def _n(self, sizes: dict[str, int]) -> Column:
+        """The number of baskets of the row's collection. Collections are named by the caller and few."""
+        out = F.lit(0).cast("long")
+        for space, n in sizes.items():
+            out = F.when(F.col("space") == space, F.lit(n).cast("long")).otherwise(out)
+        return out
+
     def _load(self) -> None:
         try:
             rows = self.spark.read.text(f"{self.path}/manifest").collect()  # one line a version
@@ -64,15 +82,15 @@ class PairTable:
             setattr(self, k, v)
 
     def _commit(self) -> None:
-        line = json.dumps({k: getattr(self, k) for k in ("version", "n", "at", "buckets", "rows")})
+        line = json.dumps({k: getattr(self, k) for k in ("version", "sizes", "at", "buckets", "rows")})
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.path}/manifest")
 
     def _folder(self, table: str, bucket: str) -> str:
         return f"{self.path}/{table}/v={self.at[table][bucket]}/bucket={bucket}"
 
     def _read(self, table: str, buckets: list[str] | None = None) -> DataFrame:
-        schema = {"memberships": "basket string, item string", "pairs": "a string, b string, n_both long"}[table]
         paths = [self._folder(table, b) for b in self.at[table] if buckets is None or b in buckets]
+        schema = self.SCHEMAS[table]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _folders(self, path: str) -> list[str]:
@@ -86,26 +104,25 @@ class PairTable:
 
     def marginals(self) -> DataFrame:
         if not self.version:
-            return self.spark.createDataFrame([], "item string, n_item long, admitted boolean")
+            return self.spark.createDataFrame([], "space string, item string, n_item long, admitted boolean")
         return self.spark.read.parquet(f"{self.path}/marginals/v={self.version}")
 
     def counts(self) -> DataFrame:
-        """(a, b, n_both) of the counted pairs, smaller item first."""
+        """(space, a, b, n_both) of the counted pairs, smaller item first."""
         return self._read("pairs")
 
     def pairs(self, least: int = 1) -> DataFrame:
         """Counted pairs in at least `least` baskets with their scores."""
-        m = self.marginals().select("item", "n_item")
+        m = self.marginals().select("space", "item", "n_item")
         c = self.counts().where(F.col("n_both") >= least)
-        for x in ("a", "b"):  # an item may be in any share of the pairs
-            c = salted_join(c, m.select(F.col("item").alias(x), F.col("n_item").alias(f"n_{x}")), [x], "inner", self.rows_per_task, F.xxhash64("a", "b"))
-        c = c.withColumn("n", F.lit(self.n).cast("long"))
+        for x in ("a", "b"):
+            c = c.join(m.select("space", F.col("item").alias(x), F.col("n_item").alias(f"n_{x}")), ["space", x])
+        c = c.withColumn("n", self._n(self.sizes))
         lift = F.col("n_both").cast("double") * F.col("n") / (F.col("n_a").cast("double") * F.col("n_b"))
         return c.withColumn("lift", lift).withColumn("g2", g2(F.col("n_both"), F.col("n_a"), F.col("n_b"), F.col("n"))).select(*PAIR_COLUMNS)
 
     def _bucket(self, table: str) -> Column:
-        keys = {"memberships": ("basket",), "pairs": ("a", "b")}[table]
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets[table])).cast("int")
+        return F.pmod(F.xxhash64(*self.KEYS[table]), F.lit(self.buckets[table])).cast("int")
 
     def _grown(self, table: str, rows: int) -> bool:
         """Whether the table needs more buckets for so many rows; if so it gets them."""
@@ -114,21 +131,29 @@ class PairTable:
             self.buckets[table] *= 2
         return self.buckets[table] != before
 
-    def _replace(self, table: str, changes: DataFrame, rows: int, merge, version: int) -> None:
+    def _replace(self, table: str, changes: DataFrame, gained: DataFrame, merge, version: int) -> None:
         """Merge changes into the buckets they touch, or into all if the table has outgrown its buckets.
 
-        `merge` gives the new rows from the old rows of those buckets. A bucket left empty leaves the manifest. The buckets touched are
-        listed on the driver: at most as many numbers as there are buckets.
+        `merge` gives the new rows from the old rows of those buckets and what was `gained`. A bucket left empty leaves the manifest. The buckets
+        touched are listed on the driver: at most as many numbers as there are buckets.
         """
-        if self._grown(table, rows):
+        if self._grown(table, self.rows[table] + gained.count()):
             touched = list(self.at[table])
-        else:
+        elif self.version:
             touched = [str(r[0]) for r in changes.select(self._bucket(table)).distinct().collect()]
+        else:
+            touched = []
         out = f"{self.path}/{table}/v={version}"
-        df = merge(self._read(table, touched)).withColumn("bucket", self._bucket(table))
-        hot = F.broadcast(hot_keys(df, ["bucket"], self.rows_per_task))  # at most one row per rows_per_task rows
-        spread = F.pmod(F.xxhash64(*df.columns), F.coalesce("__salts", F.lit(1)))
-        df.join(hot, "bucket", "left").withColumn("__spread", spread).drop("__salts").repartition("bucket", "__spread").drop("__spread").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        old = self._read(table, touched)
+        df = (merge(old) if self.version else gained).withColumn("bucket", self._bucket(table))
+        if table == "memberships":  # a bucket may hold a hot basket; pairs are spread evenly by their hash
+            keys = [x.select(*self.KEYS[table]).withColumn("bucket", self._bucket(table)) for x in (old, gained)]
+            hot = F.broadcast(hot_keys(keys[0].unionByName(keys[1]), ["bucket"], self.rows_per_task))  # at most one row per rows_per_task rows
+            df = df.join(hot, "bucket", "left").withColumn("__spread", F.pmod(F.xxhash64("item"), F.coalesce("__salts", F.lit(1)))).drop("__salts")
+            df = df.repartition("bucket", "__spread").drop("__spread")
+        else:
+            df = df.repartition("bucket")
+        df.write.mode("overwrite").partitionBy("bucket").parquet(out)
         for b in touched:
             self.at[table].pop(b, None)
         for b in self._folders(out):
@@ -136,51 +161,51 @@ class PairTable:
         self.rows[table] = self._read(table).count()
 
     def apply(self, contents: DataFrame) -> None:
-        """Replace the contents of every basket in `contents` (basket, item); a basket with only null items becomes empty.
+        """Replace the contents of every basket in `contents` (basket, item, and space if there are several collections); a basket with only null
+        items becomes empty.
 
         Null baskets are ignored, repeated rows count once.
         """
-        version = self.version + 1
-        c = contents.select(F.col("basket").cast("string").alias("basket"), F.col("item").cast("string").alias("item")).where("basket IS NOT NULL")
+        version, grown = self.version + 1, bool(self.version)
+        space = F.col("space").cast("string") if "space" in contents.columns else F.lit("")
+        c = contents.select(space.alias("space"), F.col("basket").cast("string").alias("basket"), F.col("item").cast("string").alias("item")).where("space IS NOT NULL AND basket IS NOT NULL")
         new = c.where("item IS NOT NULL").distinct()
         work = f"{self.path}/work/v={version}"
-        if self.version:
-            changed = c.select("basket").distinct()
-            old = salted_join(self.memberships(), changed, ["basket"], "left_semi", self.rows_per_task)
-            delta = (
-                new.withColumn("now", F.lit(1)).withColumn("was", F.lit(0)).unionByName(old.withColumn("now", F.lit(0)).withColumn("was", F.lit(1)))
-                .groupBy("basket", "item").agg(F.max("now").alias("now"), F.max("was").alias("was"))
-            )
-        else:
-            delta = new.withColumn("now", F.lit(1)).withColumn("was", F.lit(0))
+        basket, item = ["space", "basket"], ["space", "item"]
+        delta = new.withColumn("now", F.lit(1)).withColumn("was", F.lit(0))
+        if grown:
+            changed = c.select(*basket).distinct()
+            old = self.memberships().join(changed, basket, "left_semi").withColumn("now", F.lit(0)).withColumn("was", F.lit(1))
+            delta = delta.unionByName(old).groupBy("space", "basket", "item").agg(F.max("now").alias("now"), F.max("was").alias("was"))
         delta.write.mode("overwrite").parquet(f"{work}/delta")
         delta = self.spark.read.parquet(f"{work}/delta")
 
-        held = delta.groupBy("basket").agg(F.max("now").alias("now"), F.max("was").alias("was")).agg(F.sum("now"), F.sum("was")).first()
-        n = self.n + (held[0] or 0) - (held[1] or 0)
-        self._marginals(delta, n, version)
+        held = delta.groupBy(*basket).agg(F.max("now").alias("now"), F.max("was").alias("was")).groupBy("space").agg((F.sum("now") - F.sum("was")).alias("more")).collect()
+        sizes = dict(self.sizes)
+        for r in held:  # a row a collection
+            sizes[r.space] = sizes.get(r.space, 0) + r.more
+        self._marginals(delta, sizes, version)
         items = self.spark.read.parquet(f"{self.path}/marginals/v={version}")
-        live = items.where("admitted OR was_admitted").select("item", "admitted", "was_admitted")
-
-        rows = salted_join(delta.select("basket", "item", "now", "was"), live, ["item"], "inner", self.rows_per_task)
-        if self.version:
-            flipped = items.where("admitted <> was_admitted").select("item")
-            reached = salted_join(self.memberships(), flipped, ["item"], "left_semi", self.rows_per_task).select("basket").distinct().join(changed, "basket", "left_anti")
-            idle = salted_join(self.memberships(), reached, ["basket"], "left_semi", self.rows_per_task)
-            idle = salted_join(idle, live, ["item"], "inner", self.rows_per_task)
+        live = items.where("admitted OR was_admitted").select(*item, "admitted", "was_admitted")
+
+        rows = delta.join(live, item)
+        if grown:
+            flipped = items.where("admitted <> was_admitted").select(*item)
+            reached = self.memberships().join(flipped, item, "left_semi").select(*basket).distinct().join(changed, basket, "left_anti")
+            idle = self.memberships().join(reached, basket, "left_semi").join(live, item)
             rows = rows.unionByName(idle.withColumn("now", F.lit(1)).withColumn("was", F.lit(1)))
         now = (F.col("now") == 1) & F.col("admitted")
         was = (F.col("was") == 1) & F.col("was_admitted")
-        rows = rows.select("basket", "item", (now.cast("int") - was.cast("int")).alias("st")).where(now | was)
+        rows = rows.select(*basket, "item", (now.cast("int") - was.cast("int")).alias("st")).where(now | was)
         rows.write.mode("overwrite").parquet(f"{work}/rows")
         deltas = self._pair_deltas(self.spark.read.parquet(f"{work}/rows"))
         deltas.write.mode("overwrite").parquet(f"{work}/pairs")
         deltas = self.spark.read.parquet(f"{work}/pairs")
-        gained = deltas.select("a", "b", F.col("change").alias("n_both"))
-        self._replace("pairs", deltas, self.rows["pairs"] + deltas.count(), lambda old: old.unionByName(gained).groupBy("a", "b").agg(F.sum("n_both").alias("n_both")).where("n_both > 0") if self.version else gained, version)
-        fresh = delta.where("now = 1").select("basket", "item")
-        self._replace("memberships", delta, self.rows["memberships"] + fresh.count(), lambda old: salted_join(old, delta.select("basket").distinct(), ["basket"], "left_anti", self.rows_per_task).unionByName(fresh) if self.version else fresh, version)
-        self.version, self.n = version, n
+        gained = deltas.select("space", "a", "b", F.col("change").alias("n_both"))
+        self._replace("pairs", deltas, gained, lambda old: old.unionByName(gained).groupBy("space", "a", "b").agg(F.sum("n_both").alias("n_both")).where("n_both > 0"), version)
+        fresh = delta.where("now = 1").select(*basket, "item")
+        self._replace("memberships", delta, fresh, lambda old: old.join(delta.select(*basket).distinct(), basket, "left_anti").unionByName(fresh), version)
+        self.version, self.sizes = version, sizes
         self._commit()
         remove_dir(self.spark, work)
 
@@ -200,40 +225,39 @@ class PairTable:
                     if held.get(b) != v:
                         remove_dir(self.spark, f"{self.path}/{table}/v={v}/bucket={b}")
 
-    def _marginals(self, delta: DataFrame, n: int, version: int) -> None:
-        change = delta.groupBy("item").agg(F.sum(F.col("now") - F.col("was")).alias("change"))
-        before = self.marginals().select("item", "n_item", F.col("admitted").alias("was_admitted"))
+    def _marginals(self, delta: DataFrame, sizes: dict[str, int], version: int) -> None:
+        change = delta.groupBy("space", "item").agg(F.sum(F.col("now") - F.col("was")).alias("change"))
+        before = self.marginals().select("space", "item", "n_item", F.col("admitted").alias("was_admitted"))
         m = (
-            before.select("item", "n_item", "was_admitted")
-            .unionByName(change.select("item", F.col("change").alias("n_item"), F.lit(False).alias("was_admitted")))
-            .groupBy("item")
+            before.unionByName(change.select("space", "item", F.col("change").alias("n_item"), F.lit(False).alias("was_admitted")))
+            .groupBy("space", "item")
             .agg(F.sum("n_item").alias("n_item"), F.max("was_admitted").alias("was_admitted"))
         )
-        admitted = (F.col("n_item") >= max(1, self.min_both)) & (F.col("n_item") * self.min_lift <= n)
+        admitted = (F.col("n_item") >= max(1, self.min_both)) & (F.col("n_item") * self.min_lift <= self._n(sizes))
         m.withColumn("admitted", admitted).where("n_item > 0 OR was_admitted").write.mode("overwrite").parquet(f"{self.path}/marginals/v={version}")
 
     def _pair_deltas(self, rows: DataFrame) -> DataFrame:
-        """(a, b, change), changes summed and not 0, of rows (basket, item, st): st 1 gained, -1 lost, 0 kept.
+        """(space, a, b, change), changes summed and not 0, of rows (space, basket, item, st): st 1 gained, -1 lost, 0 kept.
 
         Baskets above `block` items are cut into k blocks, of which each two (and each with itself) meet; the others are one block.
         """
-        cell = F.struct("item", "st")
-        large = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.block).select("basket", F.ceil(F.col("n") / self.block).cast("int").alias("k"))
-        cut = salted_join(rows, large, ["basket"], "left", self.rows_per_task).withColumn("k", F.coalesce("k", F.lit(1))).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
-        blocks = cut.groupBy("basket", "k", "c").agg(F.sort_array(F.collect_list(cell)).alias("ys"))
-        one = blocks.where("k = 1").select(F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.col("ys").alias("xs"), "ys")
+        cell, basket = F.struct("item", "st"), ["space", "basket"]
+        large = rows.groupBy(*basket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.block).select(*basket, F.ceil(F.col("n") / self.block).cast("int").alias("k"))
+        cut = salted_join(rows, large, basket, "left", self.rows_per_task).withColumn("k", F.coalesce("k", F.lit(1))).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
+        blocks = cut.groupBy(*basket, "k", "c").agg(F.sort_array(F.collect_list(cell)).alias("ys"))
+        one = blocks.where("k = 1").select("space", F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.col("ys").alias("xs"), "ys")
         meet = blocks.where("k > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("c1", F.least("c", "o")).withColumn("c2", F.greatest("c", "o"))
-        two = meet.groupBy("basket", "c1", "c2").agg(F.max(F.when(F.col("c") == F.col("c1"), F.col("ys"))).alias("xs"), F.max(F.when(F.col("c") == F.col("c2"), F.col("ys"))).alias("ys"))
+        two = meet.groupBy(*basket, "c1", "c2").agg(F.max(F.when(F.col("c") == F.col("c1"), F.col("ys"))).alias("xs"), F.max(F.when(F.col("c") == F.col("c2"), F.col("ys"))).alias("ys"))
         both = one.unionByName(two.where("xs IS NOT NULL AND ys IS NOT NULL").drop("basket"))
         both = both.where(F.exists("xs", lambda x: x["st"] != 0) | F.exists("ys", lambda y: y["st"] != 0))
-        x = both.select("c1", "c2", "ys", F.posexplode("xs").alias("i", "x"))
+        x = both.select("space", "c1", "c2", "ys", F.posexplode("xs").alias("i", "x"))
         rest = F.when(F.col("c1") < F.col("c2"), F.col("ys")).otherwise(F.slice("ys", F.col("i") + 2, F.size("ys")))  # a block with itself: the items after x
-        p = x.select("x", F.explode(F.filter(rest, lambda y: (F.col("x.st") != 0) | (y["st"] != 0))).alias("y"))
+        p = x.select("space", "x", F.explode(F.filter(rest, lambda y: (F.col("x.st") != 0) | (y["st"] != 0))).alias("y"))
         # in both now: neither lost; in both before: neither gained
         change = ((F.col("x.st") >= 0) & (F.col("y.st") >= 0)).cast("int") - ((F.col("x.st") <= 0) & (F.col("y.st") <= 0)).cast("int")
         return (
-            p.select(F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b"), change.alias("change"))
-            .groupBy("a", "b").agg(F.sum("change").alias("change")).where("change <> 0")
+            p.select("space", F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b"), change.alias("change"))
+            .groupBy("space", "a", "b").agg(F.sum("change").alias("change")).where("change <> 0")
         )
 
 

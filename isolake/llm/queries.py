@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +14,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Both tables' pairs, each table loaded in two changes of half its baskets; the two pair tables are built side by side, as most of their jobs
-    are too small to fill a cluster."""
-    sources = {
-        "gene_presence_absence": pairs.presence_baskets(table(spark, sf, "gene_presence_absence")),
-        "amr_determinants": pairs.determinant_baskets(table(spark, sf, "amr_determinants")),
-    }
-    with ThreadPoolExecutor(len(sources)) as pool:
-        built = dict(zip(sources, pool.map(lambda c: pairs.pair_table(spark, *pairs.in_changes(c, 2)), sources.values())))
-    out = [pairs.associated(t).select(F.lit(name).alias("table_name"), F.col("a").alias("gene_a"), F.col("b").alias("gene_b")) for name, t in built.items()]
-    return out[0].unionByName(out[1])
+    """Both tables' pairs: two collections of one pair table, loaded in two changes of half the baskets each."""
+    space = lambda df, name: df.withColumn("space", F.lit(name))
+    presence = space(pairs.presence_baskets(table(spark, sf, "gene_presence_absence")), "gene_presence_absence")
+    calls = space(pairs.determinant_baskets(table(spark, sf, "amr_determinants")), "amr_determinants")
+    t = pairs.pair_table(spark, *pairs.in_changes(presence.unionByName(calls), 2))
+    return pairs.associated(t).select(F.col("space").alias("table_name"), F.col("a").alias("gene_a"), F.col("b").alias("gene_b"))
 
 
 def p1_incremental(spark: SparkSession, sf: str) -> DataFrame:

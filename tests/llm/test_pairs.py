@@ -122,3 +122,14 @@ def test_changes_share_out_all_rows(spark):
     assert sum(p.count() for p in parts) == 40
     t, u = P.pair_table(spark, *parts, min_both=1, min_lift=0), P.pair_table(spark, df, min_both=1, min_lift=0)
     assert t.version == 3 and table_of(t) == table_of(u)
+
+
+def test_collections_share_a_table_but_no_counts(spark):
+    one = {f"b{k}": {"x", "y"} if k < 4 else {"z"} for k in range(9)}
+    two = {f"b{k}": {"x", "y", "z"} if k < 3 else {f"w{k}"} for k in range(12)}
+    df = change(spark, one).withColumn("space", F.lit("one")).unionByName(change(spark, two).withColumn("space", F.lit("two")))
+    t = P.pair_table(spark, *P.in_changes(df, 2), min_both=2, min_lift=2)
+    got = {}
+    for r in P.associated(t).collect():
+        got.setdefault(r.space, {})[r.a, r.b] = (r.n_both, r.n_a, r.n_b, r.n)
+    assert got == {"one": brute(one, 2, 2), "two": brute(two, 2, 2)} and t.sizes == {"one": 9, "two": 12}
