@@ -79,6 +79,20 @@ def p8_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets")).select("doc_id", "source", "tokens", F.round("rate", 6).alias("rate"), "repeats")
 
 
+def p8_heldout(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected against true shares of sources, on labelled documents kept from the classifier."""
+    return mixing.held_out_shares(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p8_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the mix whatever is chosen: one row a document, no repeat above what its source allows, no use of other sources."""
+    documents, targets = table(spark, sf, "documents"), table(spark, sf, "mix_targets")
+    m = mixing.mix(documents, targets).select("doc_id", "source", "repeats")
+    allowed = targets.select(mixing.source_key(F.col("source")).alias("source"), "max_repeats")
+    over = m.join(allowed, "source", "left").where("repeats < 0 OR (source IS NOT NULL AND repeats > coalesce(max_repeats, 0)) OR (source IS NULL AND repeats > 1)")
+    return m.agg(F.count(F.lit(1)).alias("documents"), F.countDistinct("doc_id").alias("distinct_documents"), (F.sum("repeats") > 0).alias("used")).withColumn("over_cap", F.lit(over.count()))
+
+
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
     return reading.levels(table(spark, sf, "documents"), table(spark, sf, "reading_anchors"), table(spark, sf, "eval_items"))
 
@@ -95,7 +109,7 @@ def p9_profile(spark: SparkSession, sf: str) -> DataFrame:
     return reading.profile(table(spark, sf, "documents"), _levels(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_incremental, p5_found, p5_genes, p5_text_terms, p7_found, p7_passages, p7_leaked_items, p8_mix, p8_repeats, p9_found, p9_levels, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_incremental, p5_found, p5_genes, p5_text_terms, p7_found, p7_passages, p7_leaked_items, p8_mix, p8_repeats, p8_heldout, p8_invariants, p9_found, p9_levels, p9_profile)}
 
 _B = r"e' \t\r\n'"
 _PAIRS = """
@@ -142,6 +156,7 @@ dr AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(w) -
     FROM d JOIN lengths ON len(w) >= n)
 SELECT DISTINCT doc_id, item_id FROM dr JOIN ir USING (r)""",
 }
+ORACLE["p8_invariants"] = "SELECT count(*) AS documents, count(DISTINCT doc_id) AS distinct_documents, true AS used, 0 AS over_cap FROM (SELECT DISTINCT doc_id FROM documents)"
 ORACLE["p7_passages"] = r"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
 k AS (SELECT doc_id, regexp_extract_all(lower(text), '[^a-z0-9]*[a-z0-9]+') AS k FROM d),

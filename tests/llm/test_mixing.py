@@ -27,6 +27,7 @@ def test_shares_meet_targets_within_the_caps(spark):
     for source, share in (("abstract", 0.5), ("forum", 0.3)):
         assert r[source].reached_share == pytest.approx(share, abs=0.02)
     assert r["teaching"].reached_share + r[None].reached_share == pytest.approx(0.2, abs=0.02)
+    assert r["abstract"].expected_share == pytest.approx(0.5, abs=0.02) and r["teaching"].expected_share == pytest.approx(0.2, abs=0.02)
     assert 1 < r["teaching"].most_repeats <= 4 and r["press"].tokens_used == 0 and r["field_book"].documents == 0
     assert mixed.where("repeats > cap OR repeats < 0 OR rate > cap + 1e-9").count() == 0
 
@@ -77,3 +78,40 @@ def test_token_counts_are_those_of_the_tokenizer(spark):
     texts = ["A sample, aac(6')-Ib  called in 12 of 40.\n\nDon't", "élan 漢字 <|endoftext|>", " \t\n "]
     other.encode_special_tokens = True
     assert [len(M.encoding(M.TOKENIZER).encode_ordinary(x)) for x in texts] == [len(other.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
+def test_memberships_are_soft_and_trust_is_measured(spark):
+    d, t = world(spark)
+    names = [g[0] for g in M._goal(t)]
+    m = M.fit_on(d, names)
+    assert 0.5 <= m.trust <= M.MOST_TRUST
+    i = names.index("abstract")
+    sure, odd = m.membership("gene " * 25, i), m.membership("hello " * 25, i, 0.9)
+    assert sure[i] > 0.98 > odd[i] and abs(odd.sum() - 1) < 1e-9 and odd[names.index("forum")] > 0.5
+    # held-out labels that the texts speak against lower the trust
+    texts = [(s, w * 20) for s, w in (("a", "gene "), ("b", "hello ")) for _ in range(40)]
+    held = texts + [("a", "hello " * 20)] * 12
+    assert M.fit_domains(texts, ["a", "b"], held).trust < M.fit_domains(texts, ["a", "b"], texts).trust == M.MOST_TRUST
+
+
+def test_rare_sources_keep_their_labels(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_LABELLED", 60)
+    d, t = world(spark)
+    m = M.fit_on(d, [g[0] for g in M._goal(t)])
+    assert [x for x, p in zip(m.domains, m.log_prior) if p > -50] == ["abstract", "forum", "teaching"]
+
+
+def test_held_out_shares(spark):
+    d, t = world(spark)
+    r = {x.source: x for x in M.held_out_shares(d, t).collect()}
+    assert set(r) == {"abstract", "forum", "teaching", "field_book"} and r["field_book"].documents == 0
+    assert all(abs(x.true_share - x.expected_share) < 0.05 for x in r.values())
+
+
+def test_the_descent_goes_on_until_it_has_converged(spark):
+    """Strongly mixed memberships need far more than sixty steps."""
+    docs = spark.createDataFrame([(k, "a", 10, 3, [0.6, 0.4] if k % 2 else [0.4, 0.6]) for k in range(100)], "doc_id long, source string, tokens long, cap int, p array<double>")
+    goal = [("a", 0.505, 3), ("b", 0.495, 3)]
+    rates, total = M.fit_rates(docs, goal, total_tokens=800.0, tolerance=1e-5)
+    got = rates.agg(*[F.sum(F.get("p", F.lit(i)) * F.col("tokens") * F.col("rate")).alias(f"s{i}") for i in range(2)]).first()
+    assert got.s0 == pytest.approx(404, abs=0.2) and got.s1 == pytest.approx(396, abs=0.2) and rates.count() == 100
