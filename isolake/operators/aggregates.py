@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isolake.errors import ContractError
+from isolake.operators.joins import product
 
 
 def base_counts(sequences: DataFrame, group: Sequence[str], seq: str = "seq") -> DataFrame:
@@ -39,17 +40,17 @@ def variant_merge(alleles: DataFrame, site: Sequence[str], n_samples: int, max_m
     return m.withColumn("an", F.lit(n_samples)).withColumn("af", F.col("ac") / float(max(n_samples, 1))).where((F.col("ac") >= min_ac) & (F.col("af") <= ceiling))
 
 
-def crosstab(features: DataFrame, categories: DataFrame, key: str = "sample_id", feature: str = "feature", category: str = "category") -> DataFrame:
+def crosstab(features: DataFrame, categories: DataFrame, key: str = "sample_id", feature: str = "feature", category: str = "category", max_cells: int = 1_000_000_000) -> DataFrame:
     """(feature, category, carriers, total) for all features and categories, zero cells kept; totals are samples of a category.
 
-    The grid is of the distinct features and categories; categories are few.
+    The grid of all features and categories is the result; its size is checked.
     """
     c = categories.select(key, category).where(F.col(category).isNotNull()).distinct()
     totals = c.groupBy(category).agg(F.countDistinct(key).alias("total"))
     pairs = features.select(feature, key).distinct()
     names = pairs.select(feature).distinct()
     counts = pairs.join(c, key).groupBy(feature, category).agg(F.count(F.lit(1)).alias("carriers"))
-    every = names.withColumn(category, F.explode(F.array(*[F.lit(r[0]) for r in totals.select(category).orderBy(category).limit(1000).collect()])))
+    every = product(names, totals.select(category), max_cells)
     return every.join(counts, [feature, category], "left").join(totals, category).select(feature, category, F.coalesce("carriers", F.lit(0)).alias("carriers"), "total")
 
 
@@ -77,28 +78,32 @@ def max_by_rank(df: DataFrame, keys: Sequence[str], status: str, order: Sequence
     return df.groupBy(*keys).agg(F.min(rank).alias("__r")).select(*keys, F.get(words, (F.col("__r") - 1).cast("int")).alias(name))
 
 
-def clade_means(edges: DataFrame, node: str = "node", parent: str = "parent", length: str = "length", max_depth: int = 10_000) -> DataFrame:
+def clade_means(edges: DataFrame, node: str = "node", parent: str = "parent", length: str = "length") -> DataFrame:
     """Per node the mean length of all edges in its clade, its own included, over the ancestor closure of the tree."""
-    up = ancestors(edges, node, parent, max_depth)
+    up = ancestors(edges, node, parent)
     return up.join(edges.select(F.col(node).alias("below"), F.col(length)), "below").where(F.col(length).isNotNull()).groupBy(F.col("above").alias(node)).agg(F.avg(length).alias("mean_length"), F.count(F.lit(1)).alias("edges"))
 
 
-def ancestors(edges: DataFrame, node: str = "node", parent: str = "parent", max_depth: int = 10_000) -> DataFrame:
-    """(below, above, steps): each node with itself and all nodes above it, by doubling: log2(depth) joins."""
+def ancestors(edges: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
+    """(below, above, steps): each node with itself and all nodes above it, by doubling: log2(depth) joins, whatever the depth.
+
+    No path is longer than there are nodes; if one goes on beyond that, the edges hold a cycle and are refused.
+    """
     from isolake.session import materialise
 
     hop = edges.select(F.col(node).alias("below"), F.col(parent).alias("above"), F.lit(1).alias("steps")).where("above IS NOT NULL")
     closure = edges.select(F.col(node).alias("below"), F.col(node).alias("above"), F.lit(0).alias("steps")).unionByName(hop)
-    reach, jump = 1, hop
-    while reach < max_depth:
+    reach, jump, nodes = 1, hop, edges.count()
+    while True:
         longer = jump.alias("a").join(jump.alias("b"), F.col("a.above") == F.col("b.below")).select("a.below", "b.above", (F.col("a.steps") + F.col("b.steps")).alias("steps"))
         jump = materialise(longer, "tree")
         if jump.isEmpty():
-            break
+            return closure
+        if reach > nodes:
+            raise ContractError("the tree has a cycle")
         more = closure.alias("a").join(jump.alias("b"), F.col("a.above") == F.col("b.below")).select("a.below", "b.above", (F.col("a.steps") + F.col("b.steps")).alias("steps"))
         closure = materialise(closure.unionByName(more).distinct(), "tree")
         reach *= 2
-    return closure
 
 
 def segregating_columns(alignment: DataFrame, key: str = "header", seq: str = "seq", floor: float = 0.0, n: int | None = None) -> DataFrame:

@@ -50,8 +50,8 @@ def prefix_family_features(calls: DataFrame, families: DataFrame, kind: str = "f
     """Feature per gene family; a gene belongs to the family with the longest matching prefix. Families (family, gene_prefix) are a small dimension."""
     genes = calls.select("gene").where("gene IS NOT NULL").distinct()
     pre = families.withColumn("n", F.length("gene_prefix"))
-    lengths = [r[0] for r in pre.select("n").distinct().orderBy("n").limit(200).collect()]
-    g = genes.withColumn("p", F.explode(F.array(*[F.substring("gene", 1, n) for n in lengths]))).join(pre, F.col("p") == F.col("gene_prefix"))
+    lengths = pre.agg(F.array_sort(F.collect_set("n"))).scalar()  # one number a length of prefix
+    g = genes.withColumn("n", F.explode(lengths)).select("gene", F.substr("gene", F.lit(1), F.col("n")).alias("p")).join(pre, F.col("p") == F.col("gene_prefix"))
     best = g.groupBy("gene").agg(F.max_by("family", F.struct("n", "family")).alias("family"))
     return calls.join(best, "gene").select("sample_id", F.concat(F.lit(f"{kind}__"), F.col("family")).alias("feature")).where("sample_id IS NOT NULL").distinct().withColumn("value", F.lit(1))
 

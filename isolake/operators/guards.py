@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isolake.errors import ContractError, DuplicateKeyError, MismatchError
+from isolake.errors import ContractError, DuplicateKeyError, LimitError, MismatchError
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,6 +31,14 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "rows") -> Da
     return df
 
 
+def limited_names(df: DataFrame, column: str, most: int = 10_000) -> list[str]:
+    """The distinct values of a column in order, for a wide table that has a column each; more than `most` are refused."""
+    names = [r[0] for r in df.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(names) > most:
+        raise LimitError(f"more than {most} values of {column} are too many columns")
+    return names
+
+
 def require_vocabulary(df: DataFrame, column: str, words: Sequence[str]) -> DataFrame:
     bad = df.where(F.col(column).isNotNull() & ~F.col(column).isin(*words)).select(column).distinct().orderBy(column).limit(10).collect()
     if bad:

@@ -120,14 +120,21 @@ def locus_coverage(spans: DataFrame, loci: DataFrame, group: Sequence[str], locu
     )
 
 
-def product(left: DataFrame, right: DataFrame, max_cells: int, max_right: int = 10_000) -> DataFrame:
-    """Every combination of the rows of two small dimensions. The product is the result, so its size is checked first, and so is the right side, which goes to every task."""
+def product(left: DataFrame, right: DataFrame, max_cells: int, rows_per_part: int = 1000) -> DataFrame:
+    """Every combination of the rows of two dimensions. The product is the result, so its size is checked first.
+
+    The right side is cut into parts of about `rows_per_part` rows, the left side into spreads; each pair of them meets by an equi-join, so
+    neither side is gathered whole in one task.
+    """
     m = right.count()
     n = left.count() * m
-    if n > max_cells or m > max_right:
-        raise LimitError(f"a product of {n} rows is above {max_cells}, or its right side of {m} above {max_right}")
-    rows = right.agg(F.collect_list(F.struct(*right.columns))).scalar()
-    return left.withColumn("__right", F.explode(rows)).select(*left.columns, "__right.*")
+    if n > max_cells:
+        raise LimitError(f"a product of {n} rows is above {max_cells}")
+    parts = max(1, -(-m // rows_per_part))
+    spreads = max(1, -(-n // max(1, m) // 100_000))
+    l = left.withColumn("__spread", F.pmod(F.xxhash64(*left.columns), F.lit(spreads))).withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    r = right.withColumn("__part", F.pmod(F.xxhash64(*right.columns), F.lit(parts)).cast("int")).withColumn("__spread", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spreads - 1).cast("long"))))
+    return l.join(r, ["__part", "__spread"]).select(*left.columns, *right.columns)
 
 
 def grid(left: DataFrame, right: DataFrame, values: DataFrame, keys: Sequence[str], max_cells: int = 100_000_000) -> DataFrame:

@@ -30,9 +30,10 @@ def overlap_report(selected: DataFrame, reference: DataFrame, key: str) -> DataF
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key in a stated order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """The first row of each key in a stated order (nulls first); rows are compared before the shuffle, so a hot key is no burden."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    best = df.groupBy(*keys).agg(F.min_by(whole, F.struct(*[F.col(o).isNotNull().alias(f"n{i}") if j == 0 else F.col(o).alias(f"v{i}") for i, o in enumerate(order) for j in (0, 1)])).alias("__row"))
+    return best.select("__row.*").select(*df.columns)
 
 
 def core_partition(presence: DataFrame, n_samples: int, threshold: float = 1.0) -> DataFrame:
@@ -77,9 +78,10 @@ def without_features(values: DataFrame, manifest: DataFrame, known: DataFrame) -
 
 
 def farthest_points(vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """(ord, key): a greedy max-min sample of `k` points from the one nearest the mean; ties go to the least key.
+    """(ord, key): a greedy max-min sample of `k` points from the medoid, the point of least summed squared distance to all; ties go to the least key.
 
-    Each step sends one chosen vector to the workers and reduces to one row, so no distance matrix is built.
+    That sum is, but for what is the same for all points, the squared distance to their mean times their number, so the medoid is found without
+    any pair of points. Each step sends one chosen vector to the workers and reduces to one row, so no distance matrix is built.
     """
     v = vectors.select(key, F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
     mean_row = v.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").collect()

@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isolake.operators.skew import salted_join
 from isolake.session import materialise
 
 
 def benjamini_hochberg(df: DataFrame, p: str = "p_value", by: Sequence[str] = (), name: str = "adjusted_p_value", buckets: int = 64) -> DataFrame:
     """`df` with the adjusted p value: the least of p*n/rank over the p values at least as great, capped at 1; ties share it.
 
-    Null p values are not counted and stay null. Ranks are found over distinct p values cut into `buckets` ranges, so no task orders all of
+    Null p values are not counted and stay null. `df` is written once, as it is read several times. Ranks are found over distinct p values cut into `buckets` ranges, so no task orders all of
     them: totals and least values of the ranges are combined over one row a range.
     """
+    df = materialise(df, "adjusted")
     d = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
     edges = sorted(set(d.select("__p").distinct().approxQuantile("__p", [i / buckets for i in range(1, buckets)], 0.01))) if buckets > 1 else []
     bucket = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < F.col("__p"))) if edges else F.lit(0)
@@ -29,8 +31,10 @@ def benjamini_hochberg(df: DataFrame, p: str = "p_value", by: Sequence[str] = ()
     after = Window.partitionBy(*group).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
     low = d.groupBy(*keys).agg(F.min("__raw").alias("__m")).withColumn("__later", F.min("__m").over(after)).drop("__m")
     adjusted = F.least(F.lit(1.0), F.col("__least"), F.coalesce("__later", F.lit(1.0)))
-    adj = _attach(d, low, keys).select(*by, F.col("__p").alias(p), adjusted.alias(name))
-    return _attach(df, adj, [*by, p])
+    # a p value such as 1 may be that of a large share of the rows: the join back is salted
+    key = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"k{i}") for i, c in enumerate(by)], *[F.col(c).isNull().alias(f"n{i}") for i, c in enumerate(by)])
+    adj = _attach(d, low, keys).select(F.struct(key.alias("by"), F.col("__p").alias("p")).alias("__key"), adjusted.alias(name))
+    return salted_join(df.withColumn("__key", F.struct(key.alias("by"), F.col(p).alias("p"))), adj, ["__key"], "left").drop("__key")
 
 
 def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

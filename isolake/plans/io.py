@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isolake import contracts
 from isolake.functions import scalars as fn
-from isolake.operators.guards import require_same_keys
+from isolake.operators.guards import limited_names, require_same_keys
 from isolake.plans.relational import _SEQS, _sequences
 from isolake.plans.views import Catalogue, calls, presence, samples, table
 from isolake.session import new_dir
@@ -136,7 +136,7 @@ def s018_block_scan(spark, sf):
 def s022_wide_presence(spark, sf):
     """Genes x lineages as a wide table, read back as a long one."""
     p = presence(spark, sf).join(samples(spark, sf).where("lineage IS NOT NULL").select("sample_id", "lineage").distinct(), "sample_id")
-    names = [r[0] for r in p.select("lineage").distinct().orderBy("lineage").limit(1000).collect()]
+    names = limited_names(p, "lineage")
     wide = p.withColumn("cell", F.lit("x")).groupBy("gene").pivot("lineage", names).agg(F.max("cell"))
     path = new_dir(spark, "wide")
     wide.write.option("header", "true").csv(path)

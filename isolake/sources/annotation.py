@@ -21,21 +21,17 @@ STANDARD = (
 def read_commented_table(spark: SparkSession, path: str) -> DataFrame:
     """A table whose header may be the last comment line before the rows; tabs or commas, whichever the header has more of."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    head = []
-    for r in lines.take(200):
-        if not r[0].startswith("#"):
-            break
-        head.append(r[0])
-    rows = lines.where(~F.col("value").startswith("#"))
-    first = rows.take(1)
-    if not first:
+    at = lines.select("value", F.monotonically_increasing_id().alias("n"), F.col("value").startswith("#").alias("comment"))
+    first = at.where("NOT comment").agg(F.min("n").alias("n"), F.min_by("value", "n").alias("value")).first()
+    if first.n is None:
         raise ContractError(f"{path}: no rows")
-    sep = "\t" if first[0][0].count("\t") >= first[0][0].count(",") else ","
-    width = first[0][0].count(sep) + 1
-    inside = bool(head) and head[-1].count(sep) + 1 == width
-    header = [h.strip() for h in (head[-1].lstrip("# ") if inside else first[0][0]).split(sep)]
+    head = at.where(F.col("comment") & (F.col("n") < first.n)).agg(F.max_by("value", "n").alias("value")).first().value  # however long the banner
+    rows = lines.where(~F.col("value").startswith("#"))
+    sep = "\t" if first.value.count("\t") >= first.value.count(",") else ","
+    inside = head is not None and head.count(sep) == first.value.count(sep)
+    header = [h.strip() for h in (head.lstrip("# ") if inside else first.value).split(sep)]
     if not inside:
-        rows = rows.where(F.col("value") != first[0][0])
+        rows = rows.where(F.col("value") != first.value)
     cells = F.split("value", "\\t" if sep == "\t" else sep)
     return rows.select(*[clean_cell(F.get(cells, F.lit(i))).alias(h) for i, h in enumerate(header)])
 

@@ -78,3 +78,8 @@ def test_sinks(spark, tmp_path):
         sinks.write_layers({"a": f.select("sample_id").limit(1)}, f.select("sample_id"), str(tmp_path / "l"))
     assert sinks.provenance({"t": f}) == sinks.provenance({"t": f.orderBy(F.desc("feature"))})
     assert sinks.markdown(f.select("feature"), ["feature"], 1).splitlines()[-1] == "1 more rows"
+
+
+def test_a_header_after_a_long_banner(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("".join(f"# line {k}\n" for k in range(300)) + "#id\tname\n1\tx\n2\ty\n# later, with a\ttab\n")
+    assert rows(annotation.read_commented_table(spark, str(tmp_path / "t.tsv"))) == [("1", "x"), ("2", "y")]
