@@ -46,42 +46,42 @@ def s115_variant_merge(spark, sf):
 
 @q("SELECT sample_id, count(*) AS n_calls, count(*) FILTER (determinant_type = 'point') AS point, count(*) FILTER (variant IS NOT NULL) AS with_variant, grouping(sample_id)::INT AS total FROM calls WHERE sample_id IS NOT NULL GROUP BY ROLLUP (sample_id)")
 def s116_provenance_totals(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL")
+    c = calls(spark, sf, "sample_id", "variant", "determinant_type").where("sample_id IS NOT NULL")
     return c.rollup("sample_id").agg(F.count(F.lit(1)).alias("n_calls"), F.count_if(F.col("determinant_type") == "point").alias("point"), F.count_if(F.col("variant").isNotNull()).alias("with_variant"), F.grouping("sample_id").cast("int").alias("total"))
 
 
 @q("""SELECT sample_id, gene, (['absent','disrupted','variant','intact'])[min(CASE WHEN mechanism = 'porin_loss' AND variant IS NOT NULL THEN 2 WHEN mechanism = 'porin_loss' THEN 1 WHEN variant IS NOT NULL THEN 3 ELSE 4 END)] AS status FROM calls WHERE sample_id IS NOT NULL AND gene IS NOT NULL GROUP BY ALL""")
 def s117_locus_status(spark, sf):
     s = F.when((F.col("mechanism") == "porin_loss") & F.col("variant").isNotNull(), "disrupted").when(F.col("mechanism") == "porin_loss", "absent").when(F.col("variant").isNotNull(), "variant").otherwise("intact")
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").withColumn("s", s)
+    c = calls(spark, sf, "sample_id", "gene", "variant", "mechanism").where("sample_id IS NOT NULL AND gene IS NOT NULL").withColumn("s", s)
     return agg.max_by_rank(c, ["sample_id", "gene"], "s", ["absent", "disrupted", "variant", "intact"], "status")
 
 
 @q("""SELECT d AS disposition, count(c.call_id) AS n FROM (VALUES ('no_sample'),('no_gene'),('low_identity'),('low_coverage'),('kept')) v(d) LEFT JOIN (SELECT call_id, CASE WHEN sample_id IS NULL THEN 'no_sample' WHEN gene IS NULL THEN 'no_gene' WHEN identity_pct < 90 THEN 'low_identity' WHEN coverage_pct < 90 THEN 'low_coverage' ELSE 'kept' END AS x FROM calls) c ON x = d GROUP BY d""")
 def s118_screen_accounting(spark, sf):
-    return feat.disposition_counts(calls(spark, sf), [("no_sample", F.col("sample_id").isNull()), ("no_gene", F.col("gene").isNull()), ("low_identity", F.col("identity_pct") < 90), ("low_coverage", F.col("coverage_pct") < 90)])
+    return feat.disposition_counts(calls(spark, sf, "sample_id", "gene", "identity_pct", "coverage_pct"), [("no_sample", F.col("sample_id").isNull()), ("no_gene", F.col("gene").isNull()), ("low_identity", F.col("identity_pct") < 90), ("low_coverage", F.col("coverage_pct") < 90)])
 
 
 @q("SELECT mechanism, count(*) AS n FROM calls WHERE claim_status = 'PREDICTED' AND mechanism IS NOT NULL GROUP BY 1")
 def s119_class_counts(spark, sf):
-    return calls(spark, sf).where("claim_status = 'PREDICTED' AND mechanism IS NOT NULL").groupBy("mechanism").agg(F.count(F.lit(1)).alias("n"))
+    return calls(spark, sf, "mechanism", "claim_status").where("claim_status = 'PREDICTED' AND mechanism IS NOT NULL").groupBy("mechanism").agg(F.count(F.lit(1)).alias("n"))
 
 
 @q("SELECT mechanism, count(DISTINCT sample_id) AS samples, count(*) AS calls FROM calls GROUP BY 1")
 def s120_distributions(spark, sf):
-    return calls(spark, sf).groupBy("mechanism").agg(F.countDistinct("sample_id").alias("samples"), F.count(F.lit(1)).alias("calls"))
+    return calls(spark, sf, "sample_id", "mechanism").groupBy("mechanism").agg(F.countDistinct("sample_id").alias("samples"), F.count(F.lit(1)).alias("calls"))
 
 
 @q(""", f AS (SELECT DISTINCT gene AS feature, sample_id FROM calls WHERE gene IS NOT NULL AND sample_id IS NOT NULL), c AS (SELECT sample_id, phenotype AS category FROM phenotypes WHERE phenotype IS NOT NULL), t AS (SELECT category, count(*) AS total FROM c GROUP BY 1)
 SELECT feature, category, count(c.sample_id) AS carriers, any_value(total) AS total FROM (SELECT DISTINCT feature FROM f) x CROSS JOIN t LEFT JOIN (SELECT feature, category, c.sample_id FROM f JOIN c USING (sample_id)) c USING (feature, category) GROUP BY feature, category""")
 def s121_crosstab(spark, sf):
-    f = calls(spark, sf).where("gene IS NOT NULL AND sample_id IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id")
+    f = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL AND sample_id IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id")
     return agg.crosstab(f, phenotypes(spark, sf).select("sample_id", F.col("phenotype").alias("category")))
 
 
 @q("SELECT mechanism, phenotype, count(*) AS n FROM (SELECT DISTINCT sample_id, mechanism FROM calls WHERE mechanism IS NOT NULL) JOIN phenotypes USING (sample_id) WHERE phenotype IS NOT NULL GROUP BY ALL")
 def s122_state_counts(spark, sf):
-    m = calls(spark, sf).where("mechanism IS NOT NULL").select("sample_id", "mechanism").distinct()
+    m = calls(spark, sf, "sample_id", "mechanism").where("mechanism IS NOT NULL").select("sample_id", "mechanism").distinct()
     return m.join(phenotypes(spark, sf).where("phenotype IS NOT NULL"), "sample_id").groupBy("mechanism", "phenotype").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -90,19 +90,19 @@ _CLASSES = ("efflux", "enzyme", "porin_loss", "target_change")
 
 @q("SELECT sample_id, " + ", ".join(f"max((mechanism = '{m}')::INT) AS {m}" for m in _CLASSES) + " FROM calls WHERE sample_id IS NOT NULL AND mechanism IS NOT NULL GROUP BY 1")
 def s123_presence_matrix(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", "mechanism").distinct().withColumn("one", F.lit(1))
+    c = calls(spark, sf, "sample_id", "mechanism").where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", "mechanism").distinct().withColumn("one", F.lit(1))
     return c.groupBy("sample_id").pivot("mechanism", list(_CLASSES)).agg(F.max("one")).na.fill(0)
 
 
 @q("SELECT sample_id, string_agg(DISTINCT mechanism, ',' ORDER BY mechanism) AS mechanisms, count(DISTINCT gene) AS genes FROM calls WHERE sample_id IS NOT NULL GROUP BY 1")
 def s124_tip_annotation(spark, sf):
-    return calls(spark, sf).where("sample_id IS NOT NULL").groupBy("sample_id").agg(fn.sorted_set(F.col("mechanism")).alias("mechanisms"), F.countDistinct("gene").alias("genes"))
+    return calls(spark, sf, "sample_id", "gene", "mechanism").where("sample_id IS NOT NULL").groupBy("sample_id").agg(fn.sorted_set(F.col("mechanism")).alias("mechanisms"), F.countDistinct("gene").alias("genes"))
 
 
 @q(""", d AS (SELECT DISTINCT sample_id, gene, mechanism FROM calls WHERE sample_id IS NOT NULL AND gene IS NOT NULL), g AS (SELECT DISTINCT sample_id, gene FROM d), p AS (SELECT x.gene AS a, y.gene AS b FROM g x JOIN g y ON x.sample_id = y.sample_id AND x.gene < y.gene GROUP BY ALL HAVING count(*) >= 5), e AS (SELECT a AS gene FROM p UNION ALL SELECT b FROM p)
 SELECT e.gene, count(*) AS degree, any_value(t.types) AS types FROM e LEFT JOIN (SELECT gene, string_agg(DISTINCT mechanism, ',' ORDER BY mechanism) AS types FROM d GROUP BY 1) t USING (gene) GROUP BY e.gene""")
 def s125_network_nodes(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL")
+    c = calls(spark, sf, "sample_id", "gene", "mechanism").where("sample_id IS NOT NULL AND gene IS NOT NULL")
     p = stats.pair_counts(c.select("sample_id", F.col("gene").alias("name"))).where("n_both >= 5")
     e = p.select(F.explode(F.array("feature_a", "feature_b")).alias("gene")).groupBy("gene").agg(F.count(F.lit(1)).alias("degree"))
     return e.join(c.groupBy("gene").agg(fn.sorted_set(F.col("mechanism")).alias("types")), "gene", "left")
@@ -112,7 +112,7 @@ def s125_network_nodes(spark, sf):
 def s126_gene_frequency(spark, sf):
     p = phenotypes(spark, sf)
     t = p.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("phenotype") == "R").alias("r"), F.count_if(F.col("phenotype") == "S").alias("s")).first()
-    j = calls(spark, sf).where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(p, "sample_id")
+    j = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(p, "sample_id")
     share = lambda c, total: F.round(F.try_divide(c.cast("double"), F.lit(total)), 6)
     return j.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), share(F.count(F.lit(1)), t.n).alias("freq"), share(F.count_if(F.col("phenotype") == "R"), t.r).alias("freq_r"), share(F.count_if(F.col("phenotype") == "S"), t.s).alias("freq_s"))
 
@@ -120,12 +120,12 @@ def s126_gene_frequency(spark, sf):
 @q(""", s AS (SELECT sample_id, list_sort(list(DISTINCT mechanism)) AS s FROM calls WHERE mechanism IS NOT NULL AND sample_id IS NOT NULL GROUP BY 1), m AS (SELECT s, unnest(generate_series(1, (1 << len(s)) - 1)) AS m FROM s)
 SELECT array_to_string(list_filter(s, lambda x, i: (m >> (i - 1)) & 1 = 1), '+') AS combination, count(*) AS samples FROM m GROUP BY 1""")
 def s127_mechanism_combinations(spark, sf):
-    return agg.combinations(calls(spark, sf).where("sample_id IS NOT NULL"), "sample_id", "mechanism")
+    return agg.combinations(calls(spark, sf, "sample_id", "mechanism").where("sample_id IS NOT NULL"), "sample_id", "mechanism")
 
 
 @q(""", d AS (SELECT DISTINCT sample_id, mechanism AS m FROM calls WHERE sample_id IS NOT NULL AND mechanism IS NOT NULL) SELECT x.m AS a, y.m AS b, count(*) AS samples, round(count(*)::DOUBLE / (SELECT count(DISTINCT sample_id) FROM d), 6) AS freq FROM d x JOIN d y ON x.sample_id = y.sample_id AND x.m < y.m GROUP BY ALL""")
 def s128_pair_frequency(spark, sf):
-    p = stats.pair_counts(calls(spark, sf).where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", F.col("mechanism").alias("name")))
+    p = stats.pair_counts(calls(spark, sf, "sample_id", "mechanism").where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", F.col("mechanism").alias("name")))
     return p.select(F.col("feature_a").alias("a"), F.col("feature_b").alias("b"), F.col("n_both").alias("samples"), F.round(F.col("n_both") / F.col("n"), 6).alias("freq"))
 
 
@@ -148,18 +148,18 @@ def s131_exclusion_breakdown(spark, sf):
 
 @q("SELECT trim(antibiotic) AS value, count(*) AS n FROM calls WHERE trim(antibiotic) <> '' GROUP BY 1")
 def s132_value_counts(spark, sf):
-    return agg.value_counts(calls(spark, sf), "antibiotic")
+    return agg.value_counts(calls(spark, sf, "antibiotic"), "antibiotic")
 
 
 @q("""SELECT gene, string_agg(l || '=' || n, ';' ORDER BY l) AS distribution FROM (SELECT gene, coalesce(lineage, 'unknown') AS l, count(*) AS n FROM (SELECT DISTINCT c.gene, c.sample_id, s.lineage FROM calls c JOIN samples s USING (sample_id) WHERE gene IS NOT NULL) GROUP BY ALL) GROUP BY gene""")
 def s133_lineage_distribution(spark, sf):
-    d = calls(spark, sf).where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id")
+    d = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id")
     return agg.distribution_map(d, ["gene"], "lineage", "m").select("gene", fn.format_cell(F.col("m"), "map").alias("distribution"))
 
 
 @q("SELECT gene, string_agg(DISTINCT sample_id, ',' ORDER BY sample_id) AS carriers FROM calls WHERE gene IS NOT NULL AND sample_id IS NOT NULL GROUP BY 1")
 def s134_carrier_inversion(spark, sf):
-    return calls(spark, sf).where("gene IS NOT NULL AND sample_id IS NOT NULL").groupBy("gene").agg(fn.sorted_set(F.col("sample_id")).alias("carriers"))
+    return calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL AND sample_id IS NOT NULL").groupBy("gene").agg(fn.sorted_set(F.col("sample_id")).alias("carriers"))
 
 
 def _tree(spark, sf):
@@ -208,7 +208,7 @@ def s139_state_rollup(spark, sf):
 
 @q("SELECT gene, (['UNKNOWN','DETECTED','PREDICTED','ASSOCIATED','SUPPORTED'])[max(coalesce(list_position(['UNKNOWN','DETECTED','PREDICTED','ASSOCIATED','SUPPORTED'], claim_status), 1))] AS claim FROM calls WHERE gene IS NOT NULL GROUP BY 1")
 def s140_claim_rollup(spark, sf):
-    return calls(spark, sf).where("gene IS NOT NULL").groupBy("gene").agg(fn.claim_of(F.max(fn.claim_rank(F.col("claim_status")))).alias("claim"))
+    return calls(spark, sf, "gene", "claim_status").where("gene IS NOT NULL").groupBy("gene").agg(fn.claim_of(F.max(fn.claim_rank(F.col("claim_status")))).alias("claim"))
 
 
 @q(", v AS (SELECT gene, string_agg(sample_id, ',' ORDER BY sample_id) AS s FROM presence GROUP BY 1) SELECT count(DISTINCT s) AS patterns, count(*) AS features FROM v")
@@ -264,14 +264,14 @@ def s145_unassessable_ends(spark, sf):
 
 @q("""SELECT antibiotic, floor, count(*) FILTER (identity_pct >= floor) AS passed, count(*) AS total FROM calls, (VALUES (85.0::DOUBLE), (90.0), (95.0), (99.0)) f(floor) WHERE antibiotic IS NOT NULL GROUP BY ALL""")
 def s150_threshold_sweep(spark, sf):
-    return windows.threshold_sweep(calls(spark, sf).where("antibiotic IS NOT NULL"), "identity_pct", [85.0, 90.0, 95.0, 99.0], ["antibiotic"])
+    return windows.threshold_sweep(calls(spark, sf, "antibiotic", "identity_pct").where("antibiotic IS NOT NULL"), "identity_pct", [85.0, 90.0, 95.0, 99.0], ["antibiotic"])
 
 
 @q("SELECT call_id, confidence FROM calls ORDER BY confidence IS NULL DESC, try_cast(confidence AS DOUBLE) IS NULL DESC, try_cast(confidence AS DOUBLE) DESC, confidence DESC, call_id LIMIT 30 OFFSET 20")
 def s151_page(spark, sf):
     from isolake import query
 
-    return query.page(calls(spark, sf), query.PageRequest(columns=("call_id", "confidence"), sort="-confidence", offset=20, limit=30), tie=["call_id"])
+    return query.page(calls(spark, sf, "confidence"), query.PageRequest(columns=("call_id", "confidence"), sort="-confidence", offset=20, limit=30), tie=["call_id"])
 
 
 @q(f", {_ADJUSTED} SELECT feature, round(p, 6) AS p_value, round(adjusted, 6) AS adjusted_p_value FROM adj ORDER BY round(adjusted, 9), round(p, 9), feature LIMIT 20")
@@ -282,7 +282,7 @@ def s152_top_associations(spark, sf):
 
 @q(""", c AS (SELECT gene AS value, count(*) AS n FROM calls WHERE gene <> '' GROUP BY 1), h AS (SELECT * FROM c ORDER BY n DESC, value LIMIT 10) SELECT * FROM h UNION ALL SELECT NULL, sum(n) FROM c WHERE value NOT IN (SELECT value FROM h)""")
 def s153_top_with_rest(spark, sf):
-    return agg.value_counts(calls(spark, sf), "gene", 10)
+    return agg.value_counts(calls(spark, sf, "gene"), "gene", 10)
 
 
 # 2.8 statistics
@@ -295,7 +295,7 @@ def s158_fisher_scan(spark, sf):
 
 @q("""SELECT gene, round(max(n)::DOUBLE / sum(n), 6) AS top_share, max(n)::DOUBLE / sum(n) >= 0.5 AS confounded FROM (SELECT gene, coalesce(lineage, 'unknown') AS l, count(*) AS n FROM (SELECT DISTINCT c.gene, c.sample_id, s.lineage FROM calls c JOIN samples s USING (sample_id) WHERE gene IS NOT NULL) GROUP BY ALL) GROUP BY gene""")
 def s159_lineage_confounded(spark, sf):
-    d = calls(spark, sf).where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id")
+    d = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL").select("gene", "sample_id").distinct().join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id")
     m = agg.distribution_map(d, ["gene"], "lineage", "m")
     total = F.aggregate(F.map_values("m"), F.lit(0).cast("long"), lambda s, x: s + x)
     return m.select("gene", F.round(F.array_max(F.map_values("m")) / total, 6).alias("top_share"), stats.lineage_confounded(F.col("m"), 0.5).alias("confounded"))
@@ -319,20 +319,20 @@ def s163_identity_by_state(spark, sf):
     return stats.identity_by_state(a).select("a", "b", F.round("value", 6).alias("value"))
 
 
-@q(""", v AS (SELECT DISTINCT lineage AS s, gene AS f FROM calls JOIN samples USING (sample_id) WHERE lineage IS NOT NULL AND gene IS NOT NULL) SELECT x.s AS a, y.s AS b, round(count(*)::DOUBLE / (SELECT count(DISTINCT f) FROM v), 6) AS value FROM v x JOIN v y ON x.f = y.f AND x.s <= y.s GROUP BY ALL""")
+@q(""", v AS (SELECT DISTINCT sample_id AS s, gene AS f FROM calls WHERE gene IS NOT NULL AND sample_id IN (SELECT sample_id FROM samples)) SELECT x.s AS a, y.s AS b, round(count(*)::DOUBLE / (SELECT count(DISTINCT f) FROM v), 6) AS value FROM v x JOIN v y ON x.f = y.f AND x.s <= y.s GROUP BY ALL""")
 def s164_feature_kinship(spark, sf):
-    v = calls(spark, sf).join(samples(spark, sf), "sample_id", "left_semi").where("gene IS NOT NULL").select("sample_id", F.col("gene").alias("feature")).distinct().withColumn("value", F.lit(1.0))
+    v = calls(spark, sf, "sample_id", "gene").join(samples(spark, sf), "sample_id", "left_semi").where("gene IS NOT NULL").select("sample_id", F.col("gene").alias("feature")).distinct().withColumn("value", F.lit(1.0))
     return stats.feature_kinship(v).withColumn("value", F.round("value", 6))
 
 
-@q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 'n%')
+@q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 's%')
 SELECT x.below AS a, y.below AS b, any_value(da.depth) + any_value(db.depth) - 2 * max(dl.depth) AS d FROM t x JOIN t y ON x.above = y.above AND x.below <= y.below JOIN depth dl ON dl.node = x.above JOIN depth da ON da.node = x.below JOIN depth db ON db.node = y.below GROUP BY ALL""")
 def s165_patristic(spark, sf):
     e = _tree(spark, sf)
     return stats.patristic(e, e.where("node LIKE 's%'").select("node"))
 
 
-@q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 'n%'),
+@q(_TREE + """, depth AS (SELECT below AS node, sum(coalesce(length, 0)) AS depth FROM up JOIN edges ON node = above GROUP BY 1), t AS (SELECT below, above FROM up WHERE below LIKE 's%'),
 d AS (SELECT x.below AS a, y.below AS b, (any_value(da.depth) + any_value(db.depth) - 2 * max(dl.depth)) ** 2 AS d2 FROM t x JOIN t y ON x.above = y.above JOIN depth dl ON dl.node = x.above JOIN depth da ON da.node = x.below JOIN depth db ON db.node = y.below GROUP BY ALL)
 SELECT a, b, round(-0.5 * (d2 - avg(d2) OVER (PARTITION BY a) - avg(d2) OVER (PARTITION BY b) + avg(d2) OVER ()), 4) AS value FROM d""")
 def s166_gower(spark, sf):
@@ -347,14 +347,14 @@ pc AS (SELECT x.gene AS feature_a, y.gene AS feature_b, count(*) AS a FROM d x J
 
 @q(f", {_PAIRS}, pv AS ({_fisher_sql('pt')}), rk AS (SELECT *, p * (SELECT count(*) FROM pv) / count(*) OVER (ORDER BY p) AS raw FROM pv) SELECT feature_a, feature_b, k AS n_a, n1 AS n_b, a AS n_both, round(p, 5) AS p_value, round(least(1.0, min(raw) OVER (ORDER BY p DESC)), 4) AS adjusted_p_value FROM rk")
 def s167_cooccurrence_test(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select("sample_id", F.col("gene").alias("name"))
+    c = calls(spark, sf, "sample_id", "gene").where("sample_id IS NOT NULL AND gene IS NOT NULL").select("sample_id", F.col("gene").alias("name"))
     p = stats.pair_counts(c).where("n_a < n AND n_b < n").withColumn("p_value", stats.fisher_p("n_both", "n_a", "n_b", "n"))
     return windows.benjamini_hochberg(p).select("feature_a", "feature_b", "n_a", "n_b", "n_both", F.round("p_value", 5).alias("p_value"), F.round("adjusted_p_value", 4).alias("adjusted_p_value"))
 
 
 @q(f", {_PAIRS} SELECT feature_a, feature_b, a AS n_both FROM pc")
 def s168_matrix_pair_counts(spark, sf):
-    return stats.matrix_pair_counts(calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select("sample_id", F.col("gene").alias("name")), chunk=128)
+    return stats.matrix_pair_counts(calls(spark, sf, "sample_id", "gene").where("sample_id IS NOT NULL AND gene IS NOT NULL").select("sample_id", F.col("gene").alias("name")), chunk=128)
 
 
 @q("SELECT gene AS name, count(*) AS n_item FROM presence GROUP BY 1 HAVING count(*) >= ceil(round(0.05 * (SELECT count(DISTINCT sample_id) FROM presence), 9))")
@@ -374,31 +374,101 @@ def _design(spark, sf) -> DataFrame:
     return o.join(l, "sample_id").na.fill(0)
 
 
+@q("SELECT CASE WHEN phenotype = 'R' THEN 1 WHEN phenotype = 'S' THEN 0 END AS y, count(DISTINCT sample_id) AS samples FROM phenotypes WHERE phenotype IN ('R', 'S') AND sample_id IS NOT NULL GROUP BY 1")
+def s156_association_input(spark, sf):
+    return stats.association_input(phenotypes(spark, sf), ["R"], ["S"]).groupBy("y").agg(F.count(F.lit(1)).alias("samples"))
+
+
+def _outcome(spark, sf) -> DataFrame:
+    return stats.association_input(phenotypes(spark, sf), ["R"], ["S"])
+
+
+@q(f", {_SCAN} SELECT feature, k AS carriers FROM t3")
+def s157_testable(spark, sf):
+    return stats.testable(presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id"), _outcome(spark, sf))
+
+
+_CELLS = f", {_SCAN}, c AS (SELECT feature, n, k, a::DOUBLE AS a, (k - a)::DOUBLE AS b, (n1 - a)::DOUBLE AS c, (n - k - n1 + a)::DOUBLE AS d FROM t3)"
+_FULL = "a * b * c * d > 0"
+
+
+def _plain_scan(spark, sf) -> DataFrame:
+    """Logistic fits without covariates, for which the estimates have a closed form."""
+    o = _outcome(spark, sf)
+    f = presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id")
+    return stats.conditional_scan(f.join(stats.testable(f, o), "feature", "left_semi"), o, [])
+
+
+@q(_CELLS + f" SELECT feature, n, k AS carriers, round(ln(a * d / (b * c)), 5) + 0.0 AS beta FROM c WHERE {_FULL}")
+def s171_logistic_fit(spark, sf):
+    whole = _scan(spark, sf).where("odds_ratio > 0").select("feature")
+    return _plain_scan(spark, sf).join(whole, "feature", "left_semi").select("feature", "n", "carriers", (F.round("beta", 5) + 0.0).alias("beta"))
+
+
+@q(_CELLS + f" SELECT feature, round(ln(a * d / (b * c)) / sqrt(1 / a + 1 / b + 1 / c + 1 / d), 4) + 0.0 AS wald_z FROM c WHERE {_FULL}")
+def s173_wald(spark, sf):
+    whole = _scan(spark, sf).where("odds_ratio > 0").select("feature")
+    return _plain_scan(spark, sf).join(whole, "feature", "left_semi").select("feature", (F.round("wald_z", 4) + 0.0).alias("wald_z"))
+
+
+@q(f""", {_SCAN}, g AS (SELECT min(gene) AS g FROM presence), o2 AS (SELECT DISTINCT sample_id FROM o), x AS (SELECT sample_id, sample_id IN (SELECT sample_id FROM presence, g WHERE gene = g) AS x FROM o2),
+h AS (SELECT DISTINCT gene, sample_id FROM presence WHERE sample_id IN (SELECT sample_id FROM o2)), m AS (SELECT gene AS feature, count(*) AS k, count(*) FILTER (x) AS kx FROM h JOIN x USING (sample_id) GROUP BY 1)
+SELECT feature, k = (SELECT count(*) FROM x) OR (k = (SELECT count(*) FROM x WHERE x) AND kx = k) OR (kx = 0 AND k = (SELECT count(*) FROM x WHERE NOT x)) AS collinear FROM m""")
+def s172_span_test(spark, sf):
+    """Features that are the same for all samples, or tell no more than the first gene does."""
+    p = presence(spark, sf)
+    first = p.agg(F.min("gene")).scalar()
+    x = p.where(F.col("gene") == first).select("sample_id", F.lit(1).alias("x"))
+    design = _outcome(spark, sf).join(x, "sample_id", "left").na.fill(0, ["x"])
+    return stats.conditional_scan(p.select(F.col("gene").alias("feature"), "sample_id"), design, ["x"]).select("feature", "collinear")
+
+
 @q()
 def s174_conditional_scan(spark, sf):
-    """Likelihood-ratio and Wald tests by logistic fits, false-discovery adjusted."""
-    f = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id").distinct()
+    """Likelihood-ratio and Wald tests by logistic fits given lineage and class, false-discovery adjusted."""
+    f = calls(spark, sf, "sample_id", "gene").where("sample_id IS NOT NULL AND gene IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id").distinct()
     d = _design(spark, sf)
-    n = d.count()
-    wide = f.join(d.select("sample_id"), "sample_id", "left_semi").groupBy("feature").count().where((F.col("count") >= 2) & (F.col("count") <= 0.95 * n)).select("feature")
-    return windows.benjamini_hochberg(stats.conditional_scan(f.join(wide, "feature", "left_semi"), d, ["l01", "clinical"]), "lrt_p")
+    return windows.benjamini_hochberg(stats.conditional_scan(f.join(stats.testable(f, d), "feature", "left_semi"), d, ["l01", "clinical"]), "lrt_p")
+
+
+_KNOWN = "mechanism = 'target_change' AND determinant_type = 'point'"
 
 
-@q(f""", o AS (SELECT sample_id, CASE phenotype WHEN 'R' THEN 1 WHEN 'S' THEN 0 END AS y FROM phenotypes WHERE phenotype IN ('R', 'S') AND sample_id IN (SELECT sample_id FROM samples WHERE lineage IN ('L01', 'L02'))), tot AS (SELECT count(*) AS n, sum(y) AS n1 FROM o),
+def _features_with_known(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(features, known): genes present, and determinants of the known kind as features of their own."""
+    k = calls(spark, sf, "sample_id", "gene", "mechanism", "determinant_type").where(_KNOWN + " AND sample_id IS NOT NULL AND gene IS NOT NULL").select(F.concat(F.lit("known__"), "gene").alias("feature"), "sample_id").distinct()
+    return presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id").unionByName(k), k.select("feature").distinct()
+
+
+@q(f""", o AS (SELECT DISTINCT sample_id, CASE phenotype WHEN 'R' THEN 1 WHEN 'S' THEN 0 END AS y FROM phenotypes WHERE phenotype IN ('R', 'S') AND sample_id NOT IN (SELECT sample_id FROM calls WHERE {_KNOWN} AND sample_id IS NOT NULL AND gene IS NOT NULL)), tot AS (SELECT count(*) AS n, sum(y) AS n1 FROM o),
 t2 AS (SELECT gene AS feature, sum(y)::BIGINT AS a, count(*) AS k FROM presence JOIN o USING (sample_id) GROUP BY 1), t3 AS (SELECT feature, a, k, n1::BIGINT AS n1, n FROM t2, tot WHERE k >= 2 AND k <= 0.95 * n), tested AS ({_fisher_sql('t3')}) SELECT feature, a, k, round(p, 6) AS p_value FROM tested""")
 def s175_stratified_scan(spark, sf):
-    keep = samples(spark, sf).where("lineage IN ('L01', 'L02')").select("sample_id").distinct()
-    o = phenotypes(spark, sf).select("sample_id", fn.binarise(F.col("phenotype"), ["R"], ["S"]).alias("y")).join(keep, "sample_id", "left_semi")
-    p = presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id")
-    return stats.association_scan(p, o).select("feature", "a", "k", F.round("p_value", 6).alias("p_value"))
+    """The scan over the samples that lack all known determinants."""
+    from isolake.operators import downstream
 
+    f, known = _features_with_known(spark, sf)
+    return downstream.stratified_scan(f, _outcome(spark, sf), known).select("feature", "a", "k", F.round("p_value", 6).alias("p_value"))
 
-@q()
+
+#: Declared pairs of kinds of determinants; the last names a kind that does not occur.
+PAIRS = (("efflux/point", "porin_loss/point"), ("efflux/acquired", "target_change/point"), ("enzyme/acquired", "porin_loss/acquired"), ("enzyme/point", "target_change/acquired"), ("efflux/point", "not/there"))
+
+
+def _kinds(spark, sf) -> DataFrame:
+    c = calls(spark, sf, "sample_id", "mechanism", "determinant_type").where("sample_id IS NOT NULL AND mechanism IS NOT NULL AND determinant_type IS NOT NULL")
+    return c.select(F.concat_ws("/", "mechanism", "determinant_type").alias("feature"), "sample_id").distinct()
+
+
+@q(f", {_SCAN}, o2 AS (SELECT DISTINCT sample_id, y FROM o), f AS (SELECT DISTINCT mechanism || '/' || determinant_type AS f, sample_id FROM calls WHERE mechanism IS NOT NULL AND determinant_type IS NOT NULL AND sample_id IS NOT NULL), p(a, b) AS (VALUES {', '.join(str(p) for p in PAIRS)}),"
+   """ s AS (SELECT p.a, p.b, y, sample_id IN (SELECT sample_id FROM f WHERE f = p.a) AS fa, sample_id IN (SELECT sample_id FROM f WHERE f = p.b) AS fb FROM p, o2),
+c AS (SELECT a, b, count(*) FILTER (fa AND fb) AS n_both, count(*) FILTER (fa AND fb AND y = 1)::DOUBLE AS a1, count(*) FILTER (fa AND fb AND y = 0)::DOUBLE AS a0, count(*) FILTER (fa AND NOT fb AND y = 1)::DOUBLE AS b1, count(*) FILTER (fa AND NOT fb AND y = 0)::DOUBLE AS b0,
+ count(*) FILTER (NOT fa AND fb AND y = 1)::DOUBLE AS c1, count(*) FILTER (NOT fa AND fb AND y = 0)::DOUBLE AS c0, count(*) FILTER (NOT fa AND NOT fb AND y = 1)::DOUBLE AS d1, count(*) FILTER (NOT fa AND NOT fb AND y = 0)::DOUBLE AS d0 FROM s GROUP BY ALL)
+SELECT a AS feature_a, b AS feature_b, n_both, CASE WHEN a1 * a0 * b1 * b0 * c1 * c0 * d1 * d0 > 0 THEN round(ln(a1 / a0) - ln(b1 / b0) - ln(c1 / c0) + ln(d1 / d0), 4) END AS beta FROM c WHERE a1 * a0 * b1 * b0 * c1 * c0 * d1 * d0 > 0 OR n_both = 0""")
 def s177_interactions(spark, sf):
-    """Product terms of the most frequent pairs of determinants."""
-    f = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id").distinct()
-    pairs = stats.pair_counts(f.select("sample_id", F.col("feature").alias("name"))).orderBy(F.desc("n_both"), "feature_a", "feature_b").limit(30).select("feature_a", "feature_b")
-    return windows.benjamini_hochberg(stats.interaction_scan(pairs, f, _design(spark, sf)))
+    """Product terms of declared pairs: with all eight counts filled they have a closed form, which the SQL gives."""
+    p = spark.createDataFrame(list(PAIRS), "feature_a string, feature_b string")
+    x = windows.benjamini_hochberg(stats.interaction_scan(p, _kinds(spark, sf), _outcome(spark, sf)))
+    return x.select("feature_a", "feature_b", "n_both", F.round("beta", 4).alias("beta"))
 
 
 _META = """o AS (SELECT sample_id, CASE phenotype WHEN 'R' THEN 1 WHEN 'S' THEN 0 END AS y, lineage FROM phenotypes JOIN (SELECT DISTINCT sample_id, lineage FROM samples) USING (sample_id) WHERE phenotype IN ('R', 'S') AND lineage IS NOT NULL),
@@ -420,7 +490,7 @@ def s179_meta_analysis(spark, sf):
 
 @q(""", g AS (SELECT gene, count(DISTINCT lineage) AS lineages, count(DISTINCT c.sample_id) AS carriers FROM calls c LEFT JOIN (SELECT DISTINCT sample_id, lineage FROM samples) s USING (sample_id) WHERE gene IS NOT NULL GROUP BY 1) SELECT gene, CASE WHEN carriers >= 20 AND lineages >= 5 THEN 'A' WHEN carriers >= 20 THEN 'B' WHEN carriers >= 5 THEN 'C' ELSE 'D' END AS tier FROM g""")
 def s180_evidence_tier(spark, sf):
-    g = calls(spark, sf).where("gene IS NOT NULL").join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id", "left").groupBy("gene").agg(F.countDistinct("lineage").alias("l"), F.countDistinct("sample_id").alias("n"))
+    g = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL").join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id", "left").groupBy("gene").agg(F.countDistinct("lineage").alias("l"), F.countDistinct("sample_id").alias("n"))
     return g.select("gene", stats.tier_of(F.col("n") >= 20, F.col("l"), F.col("n") >= 5, 5).alias("tier"))
 
 
@@ -434,25 +504,25 @@ def s182_gene_features(spark, sf):
 
 @q("SELECT DISTINCT sample_id, 'amr__' || gene || CASE WHEN variant IS NULL THEN '' ELSE '_' || variant END AS feature, 1 AS value FROM calls WHERE antibiotic = 'meropenem' AND sample_id IS NOT NULL AND gene IS NOT NULL")
 def s183_determinant_features(spark, sf):
-    return feat.determinant_features(calls(spark, sf).where("gene IS NOT NULL"), "meropenem")
+    return feat.determinant_features(calls(spark, sf, "sample_id", "antibiotic", "gene", "variant").where("gene IS NOT NULL"), "meropenem")
 
 
 @q("""SELECT sample_id, 'locus__' || gene || '_lost' AS feature, CASE WHEN bool_and(coverage_pct IS NULL) THEN NULL ELSE max((mechanism = 'porin_loss' AND mechanism IS NOT NULL)::INT) END AS value FROM calls WHERE sample_id IS NOT NULL AND gene IS NOT NULL GROUP BY sample_id, gene""")
 def s184_locus_features(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").groupBy("sample_id", "gene").agg(F.max(F.coalesce(F.col("mechanism") == "porin_loss", F.lit(False))).alias("lost"), F.count("coverage_pct").alias("seen"))
+    c = calls(spark, sf, "sample_id", "gene", "mechanism", "coverage_pct").where("sample_id IS NOT NULL AND gene IS NOT NULL").groupBy("sample_id", "gene").agg(F.max(F.coalesce(F.col("mechanism") == "porin_loss", F.lit(False))).alias("lost"), F.count("coverage_pct").alias("seen"))
     return feat.locus_features(c.withColumn("status", F.when(F.col("seen") == 0, "not_assessed").when(F.col("lost"), "absent").otherwise("intact")))
 
 
 @q("SELECT s.sample_id, " + ", ".join(f"coalesce(max((mechanism = '{m}')::INT), 0) AS mechanism__{m}" for m in _CLASSES) + " FROM (SELECT DISTINCT sample_id FROM samples) s LEFT JOIN calls USING (sample_id) GROUP BY 1")
 def s185_feature_matrix(spark, sf):
-    f = calls(spark, sf).where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", F.concat(F.lit("mechanism__"), "mechanism").alias("feature")).distinct().withColumn("value", F.lit(1))
+    f = calls(spark, sf, "sample_id", "mechanism").where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", F.concat(F.lit("mechanism__"), "mechanism").alias("feature")).distinct().withColumn("value", F.lit(1))
     return feat.feature_matrix(f, samples(spark, sf).select("sample_id").distinct(), feat.ordered_columns(f, ["mechanism"]))
 
 
 @q("""SELECT DISTINCT sample_id, 'family__' || CASE WHEN starts_with(gene, 'bla') THEN 'beta_lactam' WHEN starts_with(gene, 'aac(6') THEN 'six' WHEN starts_with(gene, 'aac') THEN 'aminoglycoside' WHEN starts_with(gene, 'mex') THEN 'efflux' END AS feature, 1 AS value FROM calls WHERE sample_id IS NOT NULL AND (starts_with(gene, 'bla') OR starts_with(gene, 'aac') OR starts_with(gene, 'mex'))""")
 def s186_prefix_families(spark, sf):
     fam = spark.createDataFrame([("beta_lactam", "bla"), ("six", "aac(6"), ("aminoglycoside", "aac"), ("efflux", "mex")], "family string, gene_prefix string")
-    return feat.prefix_family_features(calls(spark, sf), fam)
+    return feat.prefix_family_features(calls(spark, sf, "sample_id", "gene"), fam)
 
 
 @q("""SELECT sample_id, unnest(list_filter([CASE WHEN bool_or(coalesce(starts_with(gene, 'mex') AND variant IS NOT NULL, false)) THEN 'pump_variant' END, CASE WHEN bool_or(coalesce(mechanism = 'efflux', false)) AND bool_or(coalesce(mechanism = 'porin_loss', false)) THEN 'efflux_and_porin' END,
@@ -463,13 +533,13 @@ def s187_rule_features(spark, sf):
         feat.Rule("efflux_and_porin", [F.col("mechanism") == "efflux", F.col("mechanism") == "porin_loss"], "all"),
         feat.Rule("target_any", [F.col("variant") == "T83I", F.col("gene").startswith("qn")]),
     ]
-    return feat.rule_features(calls(spark, sf), rules)
+    return feat.rule_features(calls(spark, sf, "sample_id", "gene", "variant", "mechanism"), rules)
 
 
 @q("SELECT sample_id, CASE WHEN count(*) FILTER (determinant_type = 'point') > 0 THEN count(DISTINCT CASE WHEN determinant_type = 'point' THEN gene || '/' || coalesce(variant, '') END) ELSE 0 END AS distinct_pairs FROM calls WHERE sample_id IS NOT NULL GROUP BY 1")
 def s190_distinct_pairs(spark, sf):
     pair = F.when(F.col("determinant_type") == "point", F.concat(F.col("gene"), F.lit("/"), F.coalesce("variant", F.lit(""))))
-    return calls(spark, sf).where("sample_id IS NOT NULL").groupBy("sample_id").agg(F.countDistinct(pair).alias("distinct_pairs"))
+    return calls(spark, sf, "sample_id", "gene", "variant", "determinant_type").where("sample_id IS NOT NULL").groupBy("sample_id").agg(F.countDistinct(pair).alias("distinct_pairs"))
 
 
 @q("SELECT 'gene__' || gene AS feature, count(*)::BIGINT AS carriers, CASE WHEN count(*) < 5 THEN 'carriers<5' WHEN count(*) > 0.98 * (SELECT count(DISTINCT sample_id) FROM samples) THEN 'prevalence>0.98' END AS dropped FROM presence GROUP BY gene")
@@ -479,7 +549,7 @@ def s191_drop_rule(spark, sf):
 
 @q("SELECT sample_id, max((coverage_pct < 90)::INT) AS value FROM calls WHERE sample_id IS NOT NULL GROUP BY 1")
 def s192_partial_flag(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL").withColumn("partial", F.col("coverage_pct") < 90)
+    c = calls(spark, sf, "sample_id", "coverage_pct").where("sample_id IS NOT NULL").withColumn("partial", F.col("coverage_pct") < 90)
     return feat.partial_call_flag(c, "partial")
 
 

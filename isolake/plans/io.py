@@ -26,7 +26,7 @@ q = Catalogue()
 @q("SELECT call_id::VARCHAR AS call_id, sample_id, gene, CASE WHEN mechanism IS NULL THEN NULL ELSE mechanism END AS mechanism FROM calls")
 def s001_strict_tsv(spark: SparkSession, sf: str) -> DataFrame:
     path = new_dir(spark, "tsv")
-    tsv.write_tsv(calls(spark, sf).select("call_id", "sample_id", "gene", "mechanism"), path, banner=["written by a test", "two banner lines"], order=["call_id"])
+    tsv.write_tsv(calls(spark, sf, "sample_id", "gene", "mechanism").select("call_id", "sample_id", "gene", "mechanism"), path, banner=["written by a test", "two banner lines"], order=["call_id"])
     return tsv.read_tsv(spark, path, required=["call_id", "gene"], unique=["call_id"])
 
 
@@ -79,7 +79,7 @@ def s009_vcf(spark, sf):
 def s010_per_group_files(spark, sf):
     """One folder a group, each group of the manifest must have one."""
     path = new_dir(spark, "per_group")
-    c = calls(spark, sf).where("antibiotic IS NOT NULL").select("antibiotic", F.concat_ws("\t", "antibiotic", "determinant").alias("value"))
+    c = calls(spark, sf, "sample_id", "antibiotic", "determinant").where("antibiotic IS NOT NULL").select("antibiotic", F.concat_ws("\t", "antibiotic", "determinant").alias("value"))
     c.repartition("antibiotic").write.partitionBy("antibiotic").text(path)
     lines = spark.read.text(path)
     require_same_keys(lines.select("antibiotic").distinct(), c.select("antibiotic").distinct(), "antibiotic", ("files", "manifest"))
@@ -88,24 +88,24 @@ def s010_per_group_files(spark, sf):
 
 @q("SELECT call_id, gene FROM calls WHERE determinant_type = 'point'")
 def s011_report_rows(spark, sf):
-    return reports.determinant_rows(calls(spark, sf), "point", "determinant_type").select("call_id", "gene")
+    return reports.determinant_rows(calls(spark, sf, "gene", "determinant_type"), "point", "determinant_type").select("call_id", "gene")
 
 
 @q("SELECT DISTINCT determinant, split_part(determinant, '~', 1) AS gene FROM calls WHERE determinant IS NOT NULL")
 def s012_legacy_gene(spark, sf):
-    return calls(spark, sf).where("determinant IS NOT NULL").select("determinant", F.split_part("determinant", F.lit("~"), F.lit(1)).alias("gene")).distinct()
+    return calls(spark, sf, "determinant", "gene").where("determinant IS NOT NULL").select("determinant", F.split_part("determinant", F.lit("~"), F.lit(1)).alias("gene")).distinct()
 
 
 @q(r"""SELECT DISTINCT gene AS symbol, CASE WHEN regexp_matches(gene, '^(.+)_([A-Z*][0-9]+(?:[A-Z*]|fs|del|ins)?)$') THEN regexp_extract(gene, '^(.+)_([A-Z*][0-9]+(?:[A-Z*]|fs|del|ins)?)$', 1) ELSE gene END AS gene,
 nullif(regexp_extract(gene, '^(.+)_([A-Z*][0-9]+(?:[A-Z*]|fs|del|ins)?)$', 2), '') AS variant FROM calls WHERE gene IS NOT NULL""")
 def s013_point_split(spark, sf):
     g, v = fn.split_point_symbol(F.col("symbol"))
-    return calls(spark, sf).where("gene IS NOT NULL").select(F.col("gene").alias("symbol")).distinct().select("symbol", g.alias("gene"), v.alias("variant"))
+    return calls(spark, sf, "gene", "variant").where("gene IS NOT NULL").select(F.col("gene").alias("symbol")).distinct().select("symbol", g.alias("gene"), v.alias("variant"))
 
 
 @q("SELECT call_id, CASE WHEN m IS NULL THEN 'unmapped' ELSE antibiotic END AS antibiotic, m AS mechanism FROM calls LEFT JOIN (SELECT gene AS g, min(mechanism) AS m FROM calls WHERE gene IS NOT NULL AND mechanism IS NOT NULL AND contains(gene, 'mex') GROUP BY 1) ON g = gene")
 def s014_map_determinants(spark, sf):
-    c = calls(spark, sf)
+    c = calls(spark, sf, "antibiotic", "gene", "mechanism")
     dim = c.where("gene IS NOT NULL AND mechanism IS NOT NULL").where(F.contains("gene", F.lit("mex"))).groupBy("gene").agg(F.min("mechanism").alias("mechanism"))
     return reports.map_determinants(c, dim, strict=True).select("call_id", "antibiotic", "mechanism")
 
@@ -121,13 +121,13 @@ def s015_typing(spark, sf):
 
 @q("SELECT call_id, CASE WHEN claim_status IN ('DETECTED', 'PREDICTED') THEN lower(claim_status) ELSE 'candidate' END AS status FROM calls")
 def s017_vocabulary_default(spark, sf):
-    return calls(spark, sf).select("call_id", F.when(F.col("claim_status").isin("DETECTED", "PREDICTED"), F.lower("claim_status")).otherwise("candidate").alias("status"))
+    return calls(spark, sf, "claim_status").select("call_id", F.when(F.col("claim_status").isin("DETECTED", "PREDICTED"), F.lower("claim_status")).otherwise("candidate").alias("status"))
 
 
 @q("SELECT identity_pct AS identity, gene AS name, call_id AS r_start FROM calls WHERE identity_pct IS NOT NULL AND gene IS NOT NULL")
 def s018_block_scan(spark, sf):
     """Rows with a cell that is no number (here: a null identity) are skipped."""
-    c = calls(spark, sf).where("gene IS NOT NULL")
+    c = calls(spark, sf, "gene", "identity_pct").where("gene IS NOT NULL")
     lines = c.select(F.concat_ws("\t", F.col("call_id").cast("string"), F.coalesce(F.col("identity_pct").cast("string"), F.lit("NA")), "gene", F.lit("more")).alias("value"))
     return variants.parse_table(lines, (("r_start", "long"), ("identity", "double"), ("name", "string")))
 
@@ -172,9 +172,9 @@ def s031_genotypes(spark, sf):
 
 
 q.oracle["s031_genotypes"] = r"""
-WITH m AS (SELECT DISTINCT Pilot_ID, AMR_genotypes AS t FROM pilot100_manifest WHERE AMR_genotypes IS NOT NULL AND trim(AMR_genotypes, e' \t\r\n') NOT IN ('', '.', 'NA', 'MISSING') AND NOT starts_with(trim(AMR_genotypes, e' \t\r\n'), '[')),
-p AS (SELECT Pilot_ID, unnest(list_transform(list_filter(list_transform(string_split(array_to_string(list_transform(string_split(t, '"'), lambda s, i: CASE WHEN i % 2 = 1 THEN translate(s, e',;|\r\n', repeat(chr(1), 5)) ELSE s END), '"'), chr(1)),
-    lambda x: trim(x, e' \t\r\n')), lambda x: x <> ''), lambda x: CASE WHEN regexp_full_match(x, '"(?:[^"]|"")*"', 's') THEN replace(x[2:-2], '""', '"') ELSE x END)) AS p FROM m),
+WITH m AS (SELECT DISTINCT Pilot_ID, AMR_genotypes AS t FROM pilot100_manifest WHERE AMR_genotypes IS NOT NULL AND trim(AMR_genotypes, e' \t\r\n') NOT IN ('', '.', 'NA', 'MISSING')),
+p AS (SELECT Pilot_ID, unnest(CASE WHEN starts_with(trim(t, e' \t\r\n'), '[') THEN from_json(trim(t, e' \t\r\n'), '["VARCHAR"]') ELSE list_transform(list_filter(list_transform(string_split(array_to_string(list_transform(string_split(t, '"'), lambda s, i: CASE WHEN i % 2 = 1 THEN translate(s, e',;|\r\n', repeat(chr(1), 5)) ELSE s END), '"'), chr(1)),
+    lambda x: trim(x, e' \t\r\n')), lambda x: x <> ''), lambda x: CASE WHEN regexp_full_match(x, '"(?:[^"]|"")*"', 's') THEN replace(x[2:-2], '""', '"') ELSE x END) END) AS p FROM m),
 s AS (SELECT Pilot_ID, trim(split_part(p, '=', 1)) AS symbol, CASE WHEN contains(p, '=') THEN trim(split_part(p, '=', -1)) END AS state FROM p)
 SELECT Pilot_ID, CASE WHEN regexp_matches(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$') THEN regexp_extract(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$', 1) ELSE symbol END AS gene, nullif(regexp_extract(symbol, '^(.+?)[_:]([A-Z][0-9]+[A-Z*])$', 2), '') AS variant,
     state, state IS NULL OR state IN ('COMPLETE', 'PARTIAL', 'POINT', 'HMM', 'MISTRANSLATION') AS known FROM s"""
@@ -211,7 +211,7 @@ def s038_discovery(spark, sf):
 @q("SELECT call_id::VARCHAR || '\t' || coalesce(gene, '.') || '\t' || coalesce((variant IS NOT NULL)::VARCHAR, '.') AS value FROM calls UNION ALL SELECT 'call_id\tgene\thas_variant' UNION ALL SELECT '# exported'")
 def s040_tsv_sink(spark, sf):
     path = new_dir(spark, "tsv")
-    tsv.write_tsv(calls(spark, sf).select("call_id", "gene", F.col("variant").isNotNull().alias("has_variant")), path, banner=["exported"], order=["call_id"])
+    tsv.write_tsv(calls(spark, sf, "gene", "variant").select("call_id", "gene", F.col("variant").isNotNull().alias("has_variant")), path, banner=["exported"], order=["call_id"])
     return spark.read.text(path)
 
 
@@ -224,7 +224,7 @@ def s041_fasta_sink(spark, sf):
 
 @q("SELECT lineage, round(avg(CASE WHEN mechanism = 'efflux' THEN 1.0::DOUBLE ELSE 0 END), 6) AS efflux, round(avg(CASE WHEN mechanism = 'enzyme' THEN 1.0::DOUBLE ELSE 0 END), 6) AS enzyme FROM calls JOIN (SELECT DISTINCT sample_id, lineage FROM samples) USING (sample_id) WHERE lineage IS NOT NULL GROUP BY 1")
 def s043_matrix_sink(spark, sf):
-    j = calls(spark, sf).join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id").where("lineage IS NOT NULL")
+    j = calls(spark, sf, "sample_id", "mechanism").join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id").where("lineage IS NOT NULL")
     n = j.groupBy("lineage").agg(F.count(F.lit(1)).alias("n"))
     m = j.groupBy("lineage").pivot("mechanism", ["efflux", "enzyme"]).agg(F.count(F.lit(1))).na.fill(0)
     return m.join(n, "lineage").select("lineage", *[F.round(F.col(c) / F.col("n"), 6).alias(c) for c in ("efflux", "enzyme")])

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isolake.operators import downstream, spans, windows
+from isolake.operators import downstream, spans, stats, windows
 from isolake.operators import features as feat
-from isolake.plans.analysis import _ADJUSTED, _design, _scan
+from isolake.plans.analysis import _ADJUSTED, _design, _features_with_known, _kinds, _outcome, _scan
 from isolake.plans.views import Catalogue, calls, phenotypes, presence, samples, table
 from isolake.session import new_dir
 from isolake.sources import annotation, sinks, tsv, variants
@@ -26,7 +26,7 @@ def s006_gene_intervals(spark: SparkSession, sf: str) -> DataFrame:
 @q("SELECT call_id::VARCHAR AS call_id, gene, determinant_type AS kind FROM calls")
 def s007_annotation_table(spark, sf):
     path = new_dir(spark, "annotation")
-    body = calls(spark, sf).select(F.lit(1).alias("n"), "call_id", F.concat_ws("\t", F.col("call_id").cast("string"), F.coalesce("gene", F.lit("-")), "determinant_type").alias("value"))
+    body = calls(spark, sf, "gene", "determinant_type").select(F.lit(1).alias("n"), "call_id", F.concat_ws("\t", F.col("call_id").cast("string"), F.coalesce("gene", F.lit("-")), "determinant_type").alias("value"))
     head = spark.createDataFrame([(0, 0, "# tool 1.0"), (0, 1, "#call_id\tgene\tkind")], "n int, call_id long, value string")
     head.unionByName(body).repartition(1).sortWithinPartitions("n", "call_id").select("value").write.text(path)
     return annotation.read_commented_table(spark, path)
@@ -34,21 +34,21 @@ def s007_annotation_table(spark, sf):
 
 @q("SELECT sample_id, gene AS gene_name, determinant_type AS gene_type, call_id AS start, 'demo' AS annotation_source FROM calls")
 def s008_standardise(spark, sf):
-    c = calls(spark, sf).select("sample_id", "gene", "determinant_type", F.col("call_id").cast("string").alias("from"))
+    c = calls(spark, sf, "sample_id", "gene", "determinant_type").select("sample_id", "gene", "determinant_type", F.col("call_id").cast("string").alias("from"))
     s = annotation.standardise(c, {"gene_name": "gene", "gene_type": "determinant_type", "start": "from"}, "demo")
     return s.select("sample_id", "gene_name", "gene_type", "start", "annotation_source")
 
 
 @q("SELECT gene AS query, sample_id AS subject, identity_pct AS identity, call_id AS length, coverage_pct AS coverage, 1 AS start, call_id AS \"end\" FROM calls WHERE gene IS NOT NULL AND sample_id IS NOT NULL AND identity_pct IS NOT NULL AND coverage_pct IS NOT NULL")
 def s019_search_hits(spark, sf):
-    c = calls(spark, sf).where("gene IS NOT NULL AND sample_id IS NOT NULL")
+    c = calls(spark, sf, "sample_id", "gene", "identity_pct", "coverage_pct").where("gene IS NOT NULL AND sample_id IS NOT NULL")
     cell = lambda x: F.coalesce(F.col(x).cast("string"), F.lit("-"))
     return variants.parse_table(c.select(F.concat_ws("\t", "gene", "sample_id", cell("identity_pct"), cell("call_id"), cell("coverage_pct"), F.lit("1"), cell("call_id")).alias("value")), variants.HIT_COLUMNS)
 
 
-@q("SELECT DISTINCT gene AS accession, 'f1' AS factor, mechanism AS category FROM calls WHERE gene IS NOT NULL AND mechanism IS NOT NULL AND NOT contains(gene, '(')")
+@q("SELECT DISTINCT gene AS accession, 'f1' AS factor, mechanism AS category FROM calls WHERE gene IS NOT NULL AND mechanism IS NOT NULL")
 def s020_database_headers(spark, sf):
-    c = calls(spark, sf).where("gene IS NOT NULL AND mechanism IS NOT NULL")
+    c = calls(spark, sf, "gene", "mechanism").where("gene IS NOT NULL AND mechanism IS NOT NULL")
     lines = c.select(F.concat(F.lit(">"), "gene", F.lit(" (f1) product [X (V1) - "), "mechanism", F.lit(" (V2)]")).alias("value")).distinct()
     return variants.database_headers(lines)
 
@@ -91,7 +91,7 @@ _WIDE = ("efflux", "enzyme", "porin_loss", "target_change")
 
 @q("SELECT sample_id, mechanism AS feature, 1 AS value FROM (SELECT DISTINCT sample_id, mechanism FROM calls WHERE sample_id IS NOT NULL AND mechanism IS NOT NULL)")
 def s034_long_matrix(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", "mechanism").distinct().withColumn("one", F.lit(1))
+    c = calls(spark, sf, "sample_id", "mechanism").where("sample_id IS NOT NULL AND mechanism IS NOT NULL").select("sample_id", "mechanism").distinct().withColumn("one", F.lit(1))
     wide = c.groupBy("sample_id").pivot("mechanism", list(_WIDE)).agg(F.max("one")).na.fill(0)
     return annotation.long_matrix(wide).where("value = 1").select("sample_id", "feature", "value")
 
@@ -117,7 +117,7 @@ def s042_pangenome_sink(spark, sf):
 
 @q("SELECT mechanism AS feature, count(DISTINCT lineage) AS lineages FROM calls JOIN samples USING (sample_id) WHERE mechanism IS NOT NULL AND lineage IS NOT NULL GROUP BY 1")
 def s044_feature_rows(spark, sf):
-    f = calls(spark, sf).join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id").where("mechanism IS NOT NULL AND lineage IS NOT NULL").select(F.col("mechanism").alias("feature"), F.col("lineage").alias("sample_id")).distinct().withColumn("value", F.lit(1))
+    f = calls(spark, sf, "sample_id", "mechanism").join(samples(spark, sf).select("sample_id", "lineage").distinct(), "sample_id").where("mechanism IS NOT NULL AND lineage IS NOT NULL").select(F.col("mechanism").alias("feature"), F.col("lineage").alias("sample_id")).distinct().withColumn("value", F.lit(1))
     path = new_dir(spark, "rtab")
     sinks.write_feature_rows(f, f.select("sample_id").distinct(), path)
     t = tsv.read_tsv(spark, path, required=["feature"])
@@ -144,7 +144,7 @@ def s047_provenance(spark, sf):
 
 @q("SELECT count(DISTINCT gene) - 5 AS left_out FROM calls WHERE gene IS NOT NULL")
 def s048_report_table(spark, sf):
-    c = calls(spark, sf).where("gene IS NOT NULL").groupBy("gene").agg(F.count(F.lit(1)).alias("n"))
+    c = calls(spark, sf, "gene").where("gene IS NOT NULL").groupBy("gene").agg(F.count(F.lit(1)).alias("n"))
     text = sinks.markdown(c, [F.desc("n"), "gene"], 5)
     return spark.createDataFrame([(int(text.splitlines()[-1].split()[0]),)], "left_out long")
 
@@ -199,17 +199,22 @@ def s176_control_outcomes(spark, sf):
     return downstream.control_outcomes(windows.benjamini_hochberg(_scan(spark, sf)), k, 1.0).withColumn("adjusted_p_value", F.round("adjusted_p_value", 6))
 
 
-@q("SELECT a AS feature_a, b AS feature_b FROM (SELECT DISTINCT mechanism AS a FROM calls WHERE mechanism IN ('efflux', 'enzyme')), (SELECT DISTINCT mechanism AS b FROM calls WHERE mechanism NOT IN ('efflux', 'enzyme'))")
-def s178_anchored_pairs(spark, sf):
-    f = calls(spark, sf).where("mechanism IS NOT NULL").select(F.col("mechanism").alias("feature"))
-    return downstream.anchored_pairs(f, spark.createDataFrame([("efflux",), ("enzyme",)], "feature string"), 1000)
+@q()
+def s178_anchored_scan(spark, sf):
+    """Product terms of the known kinds of determinants with every testable gene."""
+    f = _kinds(spark, sf).where("feature LIKE '%/point'").unionByName(presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id"))
+    known = f.where("feature LIKE '%/point'").select("feature").distinct()
+    return downstream.anchored_scan(f, known, _outcome(spark, sf), 100_000)
 
 
 @q()
 def s181_evidence(spark, sf):
-    """Scan, conditional test, lineages and tier of each determinant."""
-    f = calls(spark, sf).where("sample_id IS NOT NULL AND gene IS NOT NULL").select(F.col("gene").alias("feature"), "sample_id").distinct()
-    return downstream.evidence(f, _design(spark, sf), samples(spark, sf).select("sample_id", "lineage"), ["l01", "clinical"])
+    """Gate, scan, conditional and stratified tests, lineages, pooled effect and tier of each gene."""
+    f, known = _features_with_known(spark, sf)
+    gate = known.agg(F.min("feature").alias("member")).select(F.lit("known").alias("control"), "member")
+    gate = gate.join(stats.testable(f, _outcome(spark, sf)).select(F.col("feature").alias("m")), F.col("member") == F.col("m"), "left_semi")
+    gate = gate.select("control", F.substr("member", F.lit(8)).alias("member"))
+    return downstream.evidence(f, _design(spark, sf), samples(spark, sf).select("sample_id", "lineage"), ["l01", "clinical"], gate, known, gate_alpha=1.0)
 
 
 # feature layers
@@ -221,19 +226,19 @@ def s188_locus_tiers(spark, sf):
     rank = F.when(porin & F.col("variant").isNull(), "absent").when(porin & F.contains("variant", F.lit("*")), "tier1").when(porin, "tier2").otherwise("on")
     from isolake.operators.aggregates import max_by_rank
 
-    return max_by_rank(calls(spark, sf).where("sample_id IS NOT NULL").withColumn("s", rank), ["sample_id"], "s", ["absent", "tier1", "tier2", "on"], "state")
+    return max_by_rank(calls(spark, sf, "sample_id", "variant", "mechanism").where("sample_id IS NOT NULL").withColumn("s", rank), ["sample_id"], "s", ["absent", "tier1", "tier2", "on"], "state")
 
 
 @q(r"""SELECT DISTINCT sample_id, 'pump__' || regexp_extract(gene, '^(mex[A-Z])', 1) AS feature, 1 AS value FROM calls WHERE sample_id IS NOT NULL AND regexp_matches(gene, '^mex[A-Z]') AND variant IS NOT NULL""")
 def s189_pump_groups(spark, sf):
-    c = calls(spark, sf).where(F.col("gene").rlike("^mex[A-Z]") & F.col("variant").isNotNull() & F.col("sample_id").isNotNull())
+    c = calls(spark, sf, "sample_id", "gene", "variant").where(F.col("gene").rlike("^mex[A-Z]") & F.col("variant").isNotNull() & F.col("sample_id").isNotNull())
     return c.select("sample_id", F.concat(F.lit("pump__"), F.regexp_extract("gene", "^(mex[A-Z])", 1)).alias("feature")).distinct().withColumn("value", F.lit(1))
 
 
 @q("""SELECT feature, count(DISTINCT sample_id) AS carriers FROM (SELECT sample_id, 'gene__' || gene AS feature FROM presence UNION SELECT sample_id, 'amr__' || gene || CASE WHEN variant IS NULL THEN '' ELSE '_' || variant END FROM calls WHERE gene IS NOT NULL AND sample_id IS NOT NULL UNION SELECT sample_id, 'mechanism__' || mechanism FROM calls WHERE mechanism IS NOT NULL AND sample_id IS NOT NULL)
 GROUP BY feature HAVING count(DISTINCT sample_id) >= 5 AND count(DISTINCT sample_id) <= 0.98 * (SELECT count(DISTINCT sample_id) FROM samples)""")
 def s194_encode_layers(spark, sf):
-    c = calls(spark, sf).where("sample_id IS NOT NULL")
+    c = calls(spark, sf, "sample_id", "gene", "mechanism").where("sample_id IS NOT NULL")
     layers = feat.gene_features(presence(spark, sf)).unionByName(feat.determinant_features(c.where("gene IS NOT NULL")))
     layers = layers.unionByName(c.where("mechanism IS NOT NULL").select("sample_id", F.concat(F.lit("mechanism__"), "mechanism").alias("feature")).distinct().withColumn("value", F.lit(1)))
     n = samples(spark, sf).select("sample_id").distinct().count()

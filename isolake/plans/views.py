@@ -26,9 +26,11 @@ def presence(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(trim_blanks("gene").alias("gene"), trim_blanks("sample_id").alias("sample_id")).where("gene IS NOT NULL AND sample_id IS NOT NULL").distinct()
 
 
-def calls(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "amr_determinants").distinct()
-    return c.withColumn("sample_id", trim_blanks("sample_id")).withColumn("gene", trim_blanks("gene"))
+def calls(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Calls with their id, whole-row copies once. Only the named columns (all if none is) are read: rows are told apart by call_id."""
+    t = table(spark, sf, "amr_determinants")
+    c = t.select("call_id", *columns).distinct() if columns else t.distinct()
+    return c.withColumns({x: trim_blanks(x) for x in ("sample_id", "gene") if x in c.columns})
 
 
 def phenotypes(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,22 +11,26 @@ from isolake.errors import ContractError
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(file, header, seq) of every record; sequences are joined over lines and upper case.
 
-    Records are split at `>`, so large files are read in parallel; headers must not hold that sign. Refused: no record, an empty header, a sequence before the first header.
+    Records are split at a `>` that begins a line, so large files are read in parallel and headers may hold that sign. Refused: no record, an empty
+    header, a sequence before the first header, bytes that are no UTF-8.
     """
-    chunks = spark.read.option("lineSep", ">").text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r", "").alias("value"))
-    parts = chunks.where(F.trim(F.regexp_replace("value", "\n", " ")) != "").select("file", F.split("value", "\n", 2).alias("p"), "value")
-    recs = parts.select("file", F.trim(F.col("p")[0]).alias("header"), F.upper(F.regexp_replace(F.coalesce(F.get("p", F.lit(1)), F.lit("")), r"\s", "")).alias("seq"))
+    chunks = spark.read.option("lineSep", "\n>").text(path).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r", "").alias("value"), F.is_valid_utf8("value").alias("utf8"))
+    chunks = chunks.withColumn("value", F.regexp_replace("value", "^\\s*>", ""))
+    parts = chunks.where(~F.col("utf8") | (F.trim(F.regexp_replace("value", "\n", " ")) != "")).select("file", F.split("value", "\n", 2).alias("p"), "utf8")
+    recs = parts.select("file", F.trim(F.col("p")[0]).alias("header"), F.upper(F.regexp_replace(F.coalesce(F.get("p", F.lit(1)), F.lit("")), r"\s", "")).alias("seq"), "utf8")
     files = spark.read.option("lineSep", "\n").text(path).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("n")).where(F.trim("value") != "")
     starts = files.groupBy("file").agg(F.min_by("value", "n").alias("first"))
     bad = starts.where(~F.col("first").startswith(">")).limit(3).collect()
     if bad:
         raise ContractError(f"sequence before the first header in {[r.file for r in bad]}")
-    state = recs.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("header") == "").alias("blank")).first()
+    state = recs.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("header") == "").alias("blank"), F.count_if(~F.col("utf8")).alias("broken")).first()
     if state.n == 0:
         raise ContractError(f"{path}: no records")
+    if state.broken:
+        raise ContractError(f"{path}: {state.broken} records are not UTF-8")
     if state.blank:
         raise ContractError(f"{path}: {state.blank} empty headers")
-    return recs
+    return recs.drop("utf8")
 
 
 def write_fasta(df: DataFrame, path: str, header: str = "header", seq: str = "seq", width: int = 80) -> None:

@@ -13,7 +13,7 @@ from isolake import errors, query
 from isolake.functions import scalars as fn
 from isolake.operators import aggregates as agg
 from isolake.operators import features as feat
-from isolake.operators import guards, joins, sets, stats, windows
+from isolake.operators import downstream, guards, joins, sets, stats, windows
 from tests.conftest import rows
 
 
@@ -136,6 +136,51 @@ def test_adjusted_p_values_with_a_hot_value_and_null_groups(spark):
             assert got[p[rank - 1][1]] == pytest.approx(least)
 
 
+def test_conditional_and_anchored_scans_equal_fits_on_samples(spark):
+    """Fits on counts against fits on a row a sample, and no bound on the samples."""
+    rnd = random.Random(6)
+    design = [(f"s{k:03}", rnd.randrange(2), rnd.randrange(2), rnd.randrange(3)) for k in range(120)]
+    carriers = {f: {s for s, *_ in design if rnd.random() < p} for f, p in (("a", 0.3), ("b", 0.5), ("k", 0.4), ("all", 1.1), ("one", 0.005))}
+    carriers["same"] = {s for s, _, x, _ in design if x}
+    f = spark.createDataFrame([(n, s) for n, ss in carriers.items() for s in ss] + [("a", "nowhere"), (None, "s000"), ("a", None)], "feature string, sample_id string")
+    d = spark.createDataFrame(design + [("s900", None, 1, 1)], "sample_id string, y int, x int, z int")
+    y = np.array([r[1] for r in design], float)
+    x0 = np.array([[1, r[2], r[3]] for r in design], float)
+    base = stats.fit_logit(x0, y)[1]
+    got = {r.feature: r for r in stats.conditional_scan(f, d, ["x", "z"]).collect()}
+    for n in ("a", "b", "k"):
+        v = np.array([r[0] in carriers[n] for r in design], float)
+        beta, ll, _, cov = stats.fit_logit(np.column_stack([x0, v]), y)
+        assert got[n].carriers == v.sum() and got[n].n == 120
+        assert got[n].beta == pytest.approx(beta[-1], abs=1e-6) and got[n].lrt_p == pytest.approx(stats.lrt_p(ll, base), abs=1e-8)
+        assert got[n].wald_z == pytest.approx(beta[-1] / math.sqrt(cov[-1, -1]), abs=1e-5)
+    assert got["all"].collinear and got["same"].collinear and got["same"].lrt_p == 1.0
+    scan = downstream.anchored_scan(f, spark.createDataFrame([("k",), ("not there",)], "feature string"), d, 100)
+    pairs = {(r.feature_a, r.feature_b): r for r in scan.collect()}
+    assert {b for _, b in pairs} >= {"a", "b", "same"} and {a for a, _ in pairs} == {"k"} and "all" not in {b for _, b in pairs}
+    u, v = (np.array([r[0] in carriers[n] for r in design], float) for n in ("k", "b"))
+    less, more = stats.fit_logit(np.column_stack([np.ones(120), u, v]), y), stats.fit_logit(np.column_stack([np.ones(120), u, v, u * v]), y)
+    assert pairs["k", "b"].beta == pytest.approx(more[0][-1], abs=1e-5) and pairs["k", "b"].p_value == pytest.approx(stats.lrt_p(more[1], less[1]), abs=1e-7)
+    assert pairs["k", "b"].n_both == int((u * v).sum())
+    with pytest.raises(errors.LimitError):
+        downstream.anchored_scan(f, spark.createDataFrame([("k",)], "feature string"), d, 1)
+    declared = spark.createDataFrame([("a", "gone"), ("k", "b")], "feature_a string, feature_b string")
+    r = {x.feature_b: x for x in stats.interaction_scan(declared, f, d).collect()}
+    assert (r["gone"].n_both, r["gone"].beta, r["gone"].p_value) == (0, None, 1.0) and r["b"].beta == pytest.approx(more[0][-1], abs=1e-5)
+    assert stats.conditional_scan(f.limit(0), d, ["x"]).count() == 0
+
+
+def test_association_input_and_strata(spark):
+    p = spark.createDataFrame([(f"s{k}", "R" if k < 5 else "S" if k < 11 else "I") for k in range(14)] + [("s0", "R"), (None, "R")], "sample_id string, phenotype string")
+    o = stats.association_input(p, ["R"], ["S"])
+    assert o.count() == 11
+    with pytest.raises(errors.ContractError, match="6 are needed"):
+        stats.association_input(p, ["R"], ["S"], min_group=6)
+    f = spark.createDataFrame([("known", "s0"), ("g", "s0"), ("g", "s1"), ("g", "s2"), ("g", "s7")], "feature string, sample_id string")
+    [r] = downstream.stratified_scan(f, o, spark.createDataFrame([("known",)], "feature string")).collect()
+    assert (r.feature, r.a, r.k, r.n1, r.n) == ("g", 2, 3, 4, 10)
+
+
 # aggregates and windows
 
 
@@ -234,7 +279,7 @@ def test_logit_and_planted_signal(spark):
     got = {r.feature: r for r in stats.conditional_scan(spark.createDataFrame(carriers, "feature string, sample_id string"), design, ["cov"]).collect()}
     assert got["real"].lrt_p < 1e-6 and got["noise"].lrt_p > 1e-4 and got["same"].collinear and got["same"].lrt_p == 1.0
     with pytest.raises(errors.LimitError):
-        stats.conditional_scan(spark.createDataFrame(carriers, "feature string, sample_id string"), design, [], max_samples=10)
+        stats.conditional_scan(spark.createDataFrame(carriers, "feature string, sample_id string"), design, ["cov"], max_patterns=3)
 
 
 def test_meta_analysis_worked_example(spark):
