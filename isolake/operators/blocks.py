@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isolake.operators.skew import salted_join
 
 
-def meeting_pairs(rows: DataFrame, basket: Sequence[str], item: str, keep: Sequence[str] = (), block: int = 512, rows_per_task: int = 2_000_000) -> DataFrame:
+def meeting_pairs(rows: DataFrame, basket: Sequence[str], item: str, keep: Sequence[str] = (), block: int = 512, rows_per_task: int = 2_000_000, wanted: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(x, y) structs of (item, keep...) for every two different items of a basket, the smaller item as x; rows must be distinct by basket and item.
 
     A basket with more than `block` items is cut into k blocks by item hash, of which each two (and each with itself) are a unit of work; the others are
-    one block. Pairs are meant to be summed next, which Spark begins before the shuffle.
+    one block. `wanted` is a condition on two cells, true whichever comes first; pairs without it are not made. Pairs are meant to be summed next, which Spark begins before the shuffle.
     """
     cell, keys = F.struct(item, *keep), list(basket)
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(*keys, F.ceil(F.col("n") / block).cast("int").alias("__k"))
@@ -26,6 +26,6 @@ def meeting_pairs(rows: DataFrame, basket: Sequence[str], item: str, keep: Seque
     pairs = one.unionByName(both.where("xs IS NOT NULL AND ys IS NOT NULL").select((F.col("c1") < F.col("c2")).alias("two"), "xs", "ys"))
     x = pairs.select("two", "ys", F.posexplode("xs").alias("i", "x"))
     rest = F.when(F.col("two"), F.col("ys")).otherwise(F.slice("ys", F.col("i") + 2, F.size("ys")))  # a block with itself: the items after x
-    p = x.select("x", F.explode(rest).alias("y"))
+    p = x.select("x", F.explode(rest if wanted is None else F.filter(rest, lambda y: wanted(F.col("x"), y))).alias("y"))
     first = F.col(f"x.{item}") < F.col(f"y.{item}")
     return p.select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("x"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("y"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from isolake.plans import analysis, io, more, problems, relational
+from isolake.plans import analysis, further, io, more, problems, relational
 
-MODULES = (problems, relational, analysis, io, more)
+MODULES = (problems, relational, analysis, io, more, further)
 FLAGSHIP = "s158_fisher_scan"
 
 

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from isolake.errors import ContractError
+
 
 def get_spark(app: str = "isolake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tested under; `conf` overrides."""
@@ -32,10 +34,13 @@ def get_spark(app: str = "isolake", master: str | None = None, **conf: str) -> S
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: the session's checkpoint folder.
 
-    A folder of our own is set only where the session names none, as in tests on one machine.
+    A folder of our own is set only where the session names none and all of it runs on this machine, as in tests; on a cluster that is refused, since
+    executors could not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ContractError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='isolake-')}"
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()

@@ -140,3 +140,71 @@ def trees(texts: DataFrame, key: str = "tree_id", text: str = "newick") -> DataF
             yield out
 
     return texts.select(key, text).mapInPandas(parse, "tree_id string, node long, parent long, label string, length double, is_tip boolean")
+
+
+#: The leading columns of a legacy typing table, and its word for an allele that was not matched.
+LEGACY_COLUMNS, UNMATCHED = ("FILE", "SCHEME", "ST"), "-"
+
+
+def legacy_typing(lines: DataFrame, samples: DataFrame, path: str = "table") -> DataFrame:
+    """(sample_id, found, scheme, st, alleles, partial) of a legacy typing table (column value: a header, then a row a file).
+
+    A row belongs to the sample its FILE is named after, whatever the order. A header alone means that nothing was typed (found is false for all). Refused:
+    no line, a leading column or all loci missing, rows but none for a sample. An unmatched allele is left out, `?` is kept and named in `partial`.
+    """
+    lines = lines.where(F.trim("value") != "")
+    head = lines.where(F.col("value").startswith("FILE\t") | (F.col("value") == "FILE")).agg(F.max("value")).first()[0]
+    if head is None:
+        raise ContractError(f"{path}: no header row")
+    header = [h.strip() for h in head.split("\t")]
+    if lost := [c for c in LEGACY_COLUMNS if c not in header]:
+        raise ContractError(f"{path}: missing columns {lost}")
+    loci = [h for h in header if h not in LEGACY_COLUMNS]
+    if not loci:
+        raise ContractError(f"{path}: no loci")
+    cells = F.split("value", "\t")
+    cell = lambda h: F.trim(F.coalesce(F.get(cells, F.lit(header.index(h))), F.lit("")))
+    stem = F.regexp_replace(F.element_at(F.split(cell("FILE"), "/"), -1), r"\.[^.]*$", "")
+    named = F.array(*[F.struct(F.lit(h).alias("k"), cell(h).alias("v")) for h in loci])
+    rows = lines.where(F.col("value") != head).select(
+        stem.alias("sample_id"), F.nullif(cell("SCHEME"), F.lit("")).alias("scheme"), F.when(~cell("ST").isin("", UNMATCHED), cell("ST")).alias("st"),
+        F.map_from_entries(F.filter(named, lambda e: ~e["v"].isin("", UNMATCHED))).alias("alleles"), F.transform(F.filter(named, lambda e: e["v"] == "?"), lambda e: e["k"]).alias("partial"),
+    )
+    rows = rows.dropDuplicates(["sample_id"])
+    out = samples.select("sample_id").distinct().join(rows.withColumn("found", F.lit(True)), "sample_id", "left")
+    if not rows.isEmpty():
+        gone = out.where("found IS NULL").orderBy("sample_id").limit(10).collect()
+        if gone:
+            raise ContractError(f"{path}: no row for {[r.sample_id for r in gone]}")
+    return out.select("sample_id", F.coalesce("found", F.lit(False)).alias("found"), "scheme", "st", "alleles", "partial")
+
+
+def project_tree(text: str) -> list[tuple[int, int | None, list[int], str | None, float | None, bool]]:
+    """(node_id, parent_id, children, label, length, is_tip) of one tree for display: nodes numbered in postorder, parents before their children."""
+    nodes = parse_newick(text)
+    children: dict[int | None, list[int]] = {}
+    for k, p, *_ in nodes:
+        children.setdefault(p, []).append(k)
+    number: dict[int, int] = {}
+    stack = [(children[None][0], False)]
+    while stack:
+        k, done = stack.pop()
+        if done or k not in children:
+            number[k] = len(number)
+        else:
+            stack.append((k, True))
+            stack += [(c, False) for c in reversed(children[k])]
+    return [(number[k], None if p is None else number[p], [number[c] for c in children.get(k, [])], label, length, tip) for k, p, label, length, tip in nodes]
+
+
+def tree_projection(texts: DataFrame, key: str = "tree_id", text: str = "newick") -> DataFrame:
+    """Display nodes of one tree a row: (tree_id, node_id, parent_id, children, label, length, is_tip), children as a list in order."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(k, *node) for k, t in zip(pdf[key], pdf[text]) if t for node in project_tree(t)]
+            out = pd.DataFrame(rows, columns=["tree_id", "node_id", "parent_id", "children", "label", "length", "is_tip"])
+            out["parent_id"] = out["parent_id"].astype("Int64")
+            yield out
+
+    return texts.select(key, text).mapInPandas(parse, "tree_id string, node_id long, parent_id long, children array<long>, label string, length double, is_tip boolean")

@@ -50,3 +50,14 @@ def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None, ba
     keys = [f"__{i}" for i in range(len(order))]
     out = top.select(F.lit(0).alias("part"), "n", "value", *[F.lit(None).cast(body.schema[k].dataType).alias(k) for k in keys]).unionByName(body.select(F.lit(1).alias("part"), F.lit(0).alias("n"), "value", *keys))
     out.repartition(1).sortWithinPartitions("part", "n", *keys, "value").select("value").write.mode("overwrite").text(path)
+
+
+def stream_tsv(spark: SparkSession, path: str, columns: Sequence[str], comment: str = "#", sep: str = "\t", nulls: Sequence[str] = TSV_NULLS, files_per_batch: int = 100) -> DataFrame:
+    """Rows of the tab-separated files under a folder as they arrive. Every file begins with the header `columns`; comments, headers and blank lines are left out.
+
+    Short rows are padded with null; a row with more cells than columns fails the batch that holds it.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    rows = lines.where((F.trim("value") != "") & ~F.col("value").startswith(comment) & (F.col("value") != sep.join(columns))).select("value", F.split("value", sep).alias("cells"))
+    whole = F.when(F.size("cells") <= len(columns), F.col("cells")).otherwise(F.raise_error(F.concat(F.lit("more cells than columns: "), F.substring("value", 1, 120))).cast("array<string>"))
+    return rows.select(whole.alias("cells")).select(*[clean_cell(F.get("cells", F.lit(i)), nulls).alias(c) for i, c in enumerate(columns)])

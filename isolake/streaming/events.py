@@ -63,3 +63,9 @@ def since(events: DataFrame, cursor: int, ring: int = 500) -> DataFrame:
 def windowed_counts(events: DataFrame, time: str, width: str, delay: str, *keys: str) -> DataFrame:
     """Counts in tumbling windows; events later than the delay behind the newest are dropped by a stream.."""
     return events.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
+
+
+def append_events(events: DataFrame, path: str) -> None:
+    """Append events (t, event, stage, sample) to a log as JSON lines; a failed append leaves nothing that readers see."""
+    line = F.to_json(F.struct("t", "event", "stage", "sample"), {"ignoreNullFields": "false"})
+    events.select(line.alias("value")).write.mode("append").text(path)

@@ -83,3 +83,13 @@ def test_sinks(spark, tmp_path):
 def test_a_header_after_a_long_banner(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("".join(f"# line {k}\n" for k in range(300)) + "#id\tname\n1\tx\n2\ty\n# later, with a\ttab\n")
     assert rows(annotation.read_commented_table(spark, str(tmp_path / "t.tsv"))) == [("1", "x"), ("2", "y")]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    from isolake import session
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(errors.ContractError, match="checkpoint"):
+        session.shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=context))
