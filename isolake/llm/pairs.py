@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isolake.operators.skew import hot_keys, salted_join
+from isolake.operators.blocks import meeting_pairs
+from isolake.operators.skew import hot_keys
 from isolake.session import new_dir, remove_dir
 
 PAIR_COLUMNS = ("space", "a", "b", "n_both", "n_a", "n_b", "n", "lift", "g2")
@@ -239,24 +240,13 @@ class PairTable:
     def _pair_deltas(self, rows: DataFrame) -> DataFrame:
         """(space, a, b, change), changes summed and not 0, of rows (space, basket, item, st): st 1 gained, -1 lost, 0 kept.
 
-        Baskets above `block` items are cut into k blocks, of which each two (and each with itself) meet; the others are one block.
+        Only pairs of which an item was gained or lost are made; baskets above `block` items are cut into blocks.
         """
-        cell, basket = F.struct("item", "st"), ["space", "basket"]
-        large = rows.groupBy(*basket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.block).select(*basket, F.ceil(F.col("n") / self.block).cast("int").alias("k"))
-        cut = salted_join(rows, large, basket, "left", self.rows_per_task).withColumn("k", F.coalesce("k", F.lit(1))).withColumn("c", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
-        blocks = cut.groupBy(*basket, "k", "c").agg(F.sort_array(F.collect_list(cell)).alias("ys"))
-        one = blocks.where("k = 1").select("space", F.lit(0).alias("c1"), F.lit(0).alias("c2"), F.col("ys").alias("xs"), "ys")
-        meet = blocks.where("k > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn("c1", F.least("c", "o")).withColumn("c2", F.greatest("c", "o"))
-        two = meet.groupBy(*basket, "c1", "c2").agg(F.max(F.when(F.col("c") == F.col("c1"), F.col("ys"))).alias("xs"), F.max(F.when(F.col("c") == F.col("c2"), F.col("ys"))).alias("ys"))
-        both = one.unionByName(two.where("xs IS NOT NULL AND ys IS NOT NULL").drop("basket"))
-        both = both.where(F.exists("xs", lambda x: x["st"] != 0) | F.exists("ys", lambda y: y["st"] != 0))
-        x = both.select("space", "c1", "c2", "ys", F.posexplode("xs").alias("i", "x"))
-        rest = F.when(F.col("c1") < F.col("c2"), F.col("ys")).otherwise(F.slice("ys", F.col("i") + 2, F.size("ys")))  # a block with itself: the items after x
-        p = x.select("space", "x", F.explode(F.filter(rest, lambda y: (F.col("x.st") != 0) | (y["st"] != 0))).alias("y"))
+        p = meeting_pairs(rows, ["space", "basket"], "item", ["st", "space"], self.block, self.rows_per_task, lambda x, y: (x["st"] != 0) | (y["st"] != 0))
         # in both now: neither lost; in both before: neither gained
         change = ((F.col("x.st") >= 0) & (F.col("y.st") >= 0)).cast("int") - ((F.col("x.st") <= 0) & (F.col("y.st") <= 0)).cast("int")
         return (
-            p.select("space", F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b"), change.alias("change"))
+            p.select("x.space", F.col("x.item").alias("a"), F.col("y.item").alias("b"), change.alias("change"))
             .groupBy("space", "a", "b").agg(F.sum("change").alias("change")).where("change <> 0")
         )
 
