@@ -238,7 +238,7 @@ def s189_pump_groups(spark, sf):
 @q("""SELECT feature, count(DISTINCT sample_id) AS carriers FROM (SELECT sample_id, 'gene__' || gene AS feature FROM presence UNION SELECT sample_id, 'amr__' || gene || CASE WHEN variant IS NULL THEN '' ELSE '_' || variant END FROM calls WHERE gene IS NOT NULL AND sample_id IS NOT NULL UNION SELECT sample_id, 'mechanism__' || mechanism FROM calls WHERE mechanism IS NOT NULL AND sample_id IS NOT NULL)
 GROUP BY feature HAVING count(DISTINCT sample_id) >= 5 AND count(DISTINCT sample_id) <= 0.98 * (SELECT count(DISTINCT sample_id) FROM samples)""")
 def s194_encode_layers(spark, sf):
-    c = calls(spark, sf, "sample_id", "gene", "mechanism").where("sample_id IS NOT NULL")
+    c = calls(spark, sf, "sample_id", "gene", "variant", "mechanism").where("sample_id IS NOT NULL")
     layers = feat.gene_features(presence(spark, sf)).unionByName(feat.determinant_features(c.where("gene IS NOT NULL")))
     layers = layers.unionByName(c.where("mechanism IS NOT NULL").select("sample_id", F.concat(F.lit("mechanism__"), "mechanism").alias("feature")).distinct().withColumn("value", F.lit(1)))
     n = samples(spark, sf).select("sample_id").distinct().count()
