@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,12 +67,14 @@ def encoding(path: str):
 
 def hashed(text: str) -> Counter:
     """Counts of hashed terms: words, number lengths, punctuation and line breaks."""
+    return Counter(map(_feature, _TERM.findall(text.lower())))
+
+
+@lru_cache(maxsize=100_000)
+def _feature(term: str) -> int:
     import xxhash
 
-    out: Counter = Counter()
-    for w, n in Counter(_TERM.findall(text.lower())).items():
-        out[xxhash.xxh32_intdigest(f"<{len(w)}>" if w.isdigit() else w) % FEATURES] += n
-    return out
+    return xxhash.xxh32_intdigest(f"<{len(term)}>" if term.isdigit() else term) % FEATURES
 
 
 @dataclass
@@ -81,12 +84,19 @@ class DomainModel:
     log_prior: np.ndarray
     temperature: float
     trust: float = MOST_TRUST  # of a label, as measured
+    _rows: np.ndarray | None = None
 
     def scores(self, counts: Counter) -> np.ndarray:
         if not counts:
             return np.zeros(len(self.domains))
-        ids = np.fromiter(counts.keys(), int)
-        return self.log_p[:, ids] @ np.fromiter(counts.values(), float)
+        ids = np.fromiter(counts.keys(), int, len(counts))
+        return np.fromiter(counts.values(), float, len(counts)) @ self._by_feature()[ids]
+
+    def _by_feature(self) -> np.ndarray:
+        """Log probabilities with one contiguous row a feature."""
+        if self._rows is None:
+            self._rows = np.ascontiguousarray(self.log_p.T)
+        return self._rows
 
     def posterior(self, text: str | None) -> np.ndarray:
         """Domain posteriors of a text; without text, the priors. A domain without labelled texts gets 0."""
@@ -96,9 +106,8 @@ class DomainModel:
         p = np.exp(s - s.max())
         return p / p.sum()
 
-    def membership(self, text: str | None, label: int | None, trust: float | None = None) -> np.ndarray:
-        """The posterior, weighed by the label (its place in `domains`) if there is one, in steps of 1 / GRID."""
-        p = self.posterior(text)
+    def weighed(self, p: np.ndarray, label: int | None, trust: float | None = None) -> np.ndarray:
+        """Posteriors weighed by the label (its place in `domains`) if there is one, in steps of 1 / GRID."""
         if label is not None:
             t = self.trust if trust is None else trust
             odds = np.full(len(self.domains), (1 - t) / max(1, len(self.domains) - 1))
@@ -110,6 +119,9 @@ class DomainModel:
         q = np.round(p * GRID)
         return q / q.sum() if q.sum() else p
 
+    def membership(self, text: str | None, label: int | None, trust: float | None = None) -> np.ndarray:
+        return self.weighed(self.posterior(text), label, trust)
+
 
 def fit_domains(labelled: list[tuple[str, str]], domains: list[str], held: list[tuple[str, str]] | None = None) -> DomainModel:
     """Multinomial naive Bayes over hashed terms of (domain, text); held-out texts set the temperature of its posteriors and the trust in labels.
@@ -197,7 +209,8 @@ def members(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER
             tokens = [len(enc.encode_ordinary(t)) if t else 0 for t in texts]
             caps, ps, own = [], [], []
             for t, s in zip(texts, sources):
-                own.append(model.membership(t, None))
+                posterior = model.posterior(t)
+                own.append(model.weighed(posterior, None))
                 if s is None:
                     caps.append(min(1, least))
                     ps.append(own[-1])
@@ -206,7 +219,7 @@ def members(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER
                     ps.append(np.zeros(len(goal)))
                 else:
                     caps.append(goal[at[s]][2])
-                    ps.append(model.membership(t, at[s], label_trust))
+                    ps.append(model.weighed(posterior, at[s], label_trust))
             lists = [pa.array([list(map(float, p)) for p in x], pa.list_(pa.float64())) for x in (ps, own)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sources, pa.string()), pa.array(tokens, pa.int64()), pa.array(caps, pa.int32()), *lists], names=["doc_id", "source", "tokens", "cap", "p", "own"])
 
