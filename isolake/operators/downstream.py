@@ -30,15 +30,20 @@ def control_gate(results: DataFrame, controls: DataFrame, threshold: float = 0.0
     return out
 
 
+def anchored_pairs(features: DataFrame, known: DataFrame, max_pairs: int) -> DataFrame:
+    """(feature_a, feature_b): known features with every other one. The product is the result; its size is checked first."""
+    names = features.select("feature").distinct()
+    k = names.join(known.select("feature").distinct(), "feature", "left_semi")
+    novel = names.join(known.select("feature").distinct(), "feature", "left_anti")
+    return product(novel.select(F.col("feature").alias("feature_b")), k.select(F.col("feature").alias("feature_a")), max_pairs).select("feature_a", "feature_b")
+
+
 def anchored_scan(features: DataFrame, known: DataFrame, design: DataFrame, max_pairs: int) -> DataFrame:
     """Product terms of every known testable feature with every other testable one, false-discovery adjusted.
 
     More than `max_pairs` pairs are refused, never cut. (feature_a known, feature_b, n_both, beta, p_value, adjusted_p_value.)
     """
-    names = stats.testable(features, design.where("y IN (0, 1)")).select("feature")
-    k = names.join(known.select("feature").distinct(), "feature", "left_semi")
-    novel = names.join(known.select("feature").distinct(), "feature", "left_anti")
-    pairs = product(novel.select(F.col("feature").alias("feature_b")), k.select(F.col("feature").alias("feature_a")), max_pairs)
+    pairs = anchored_pairs(stats.testable(features, design.where("y IN (0, 1)")), known, max_pairs)
     return windows.benjamini_hochberg(stats.interaction_scan(pairs, features, design))
 
 
