@@ -29,7 +29,7 @@ def presence(spark: SparkSession, sf: str) -> DataFrame:
 def calls(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Calls with their id, whole-row copies once. Only the named columns (all if none is) are read: rows are told apart by call_id."""
     t = table(spark, sf, "amr_determinants")
-    c = t.select("call_id", *columns).distinct() if columns else t.distinct()
+    c = t.select(*[x for x in ("call_id", *columns) if x in t.columns]).distinct() if columns else t.distinct()
     return c.withColumns({x: trim_blanks(x) for x in ("sample_id", "gene") if x in c.columns})
 
 
