@@ -14,7 +14,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Both tables' pairs: two collections of one pair table, loaded in two changes of half the baskets each."""
+    """Both tables' pairs: two collections of one pair table, loaded in two changes of half the baskets each.
+
+    One table for both keeps the number of plans, and with it the driver's memory, down."""
     space = lambda df, name: df.withColumn("space", F.lit(name))
     presence = space(pairs.presence_baskets(table(spark, sf, "gene_presence_absence")), "gene_presence_absence")
     calls = space(pairs.determinant_baskets(table(spark, sf, "amr_determinants")), "amr_determinants")
