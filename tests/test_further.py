@@ -85,6 +85,19 @@ def test_mixed_model_equals_generalised_least_squares(spark):
         mixed.mixed_model(f, o, kin, max_samples=10)
 
 
+def test_linear_model_of_more_samples_than_a_square_holds(spark):
+    """Unrelated samples need no square, so no number of them is refused; covariates against least squares."""
+    n = 5_200
+    o = spark.range(n).selectExpr("concat('s', id) AS sample_id", "CAST(id % 7 + id % 3 AS DOUBLE) AS y", "CAST(id % 11 AS DOUBLE) AS z")
+    f = spark.range(n).where("id % 3 = 0").selectExpr("'third' AS feature", "concat('s', id) AS sample_id").unionByName(o.selectExpr("'all' AS feature", "sample_id"))
+    got = {r.feature: r for r in mixed.mixed_model(f, o, None, ["z"]).collect()}
+    i = np.arange(n)
+    x, y = np.column_stack([np.ones(n), i % 11, i % 3 == 0]).astype(float), (i % 7 + i % 3).astype(float)
+    beta, [rss], *_ = np.linalg.lstsq(x, y, rcond=None)
+    assert got["third"].beta == pytest.approx(beta[2]) and got["third"].se == pytest.approx(np.sqrt(rss / (n - 3) * np.linalg.inv(x.T @ x)[2, 2]))
+    assert got["all"].p_value == 1.0 and got["all"].beta is None and got["third"].carriers == (n + 2) // 3
+
+
 def test_pages_and_probes(spark, tmp_path):
     base = f"file://{tmp_path}"
     pages.write_pages(spark.range(500).select((F.lit(499) - F.col("id")).alias("k")), ["k"], f"{base}/pages/a")
