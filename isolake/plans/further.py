@@ -149,7 +149,7 @@ def s162_mixed_model(spark, sf):
     """Genes against phenotype with the kinship of the samples' determinants."""
     s = _outcome(spark, sf)
     v = calls(spark, sf, "sample_id", "gene").where("gene IS NOT NULL").join(s, "sample_id", "left_semi").select("sample_id", F.col("gene").alias("feature")).distinct().withColumn("value", F.lit(1.0))
-    m = mixed.mixed_model(presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id"), s, stats.feature_kinship(v))
+    m = mixed.factored_model(presence(spark, sf).select(F.col("gene").alias("feature"), "sample_id"), s, v)
     return m.select("feature", "carriers", F.round("beta", 5).alias("beta"), F.round("p_value", 5).alias("p_value"))
 
 

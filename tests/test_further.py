@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isolake import errors
-from isolake.operators import locus, mixed
+from isolake.operators import locus, mixed, stats
 from isolake.sources import pages, reports, sequences, tsv
 from isolake.streaming import events as ev
 from tests.conftest import rows
@@ -98,6 +98,40 @@ def test_linear_model_of_more_samples_than_a_square_holds(spark):
     assert got["all"].p_value == 1.0 and got["all"].beta is None and got["third"].carriers == (n + 2) // 3
 
 
+def test_factored_model_equals_the_model_of_its_kinship(spark):
+    """The kinship as a product of features is never formed: same results, and no bound on samples."""
+    rng = np.random.default_rng(7)
+    n = 50
+    w = (rng.random((n, 8)) < 0.3) * rng.integers(1, 4, (n, 8)).astype(float)
+    w[0] = 0  # a sample without any factor
+    name = [f"s{i:02}" for i in range(n)]
+    z = rng.normal(size=n)
+    x = {f"g{k}": rng.integers(0, 2, n) for k in range(4)}
+    y = x["g0"] + w @ rng.normal(size=8) + z + rng.normal(size=n)
+    f = spark.createDataFrame([(k, name[i]) for k, v in x.items() for i in range(n) if v[i]] + [("all", s) for s in name] + [(None, "s01"), ("g0", "nowhere")], "feature string, sample_id string")
+    o = spark.createDataFrame([(name[i], float(y[i]), float(z[i])) for i in range(n)] + [("none", None, 1.0)], "sample_id string, y double, z double")
+    v = spark.createDataFrame([(f"k{j}", name[i], float(w[i, j])) for i in range(n) for j in range(8)] + [("k0", "elsewhere", 5.0)], "feature string, sample_id string, value double")
+    inside = v.where("sample_id <> 'elsewhere'")
+    for covariates in ([], ["z"]):
+        want = {r.feature: r for r in mixed.mixed_model(f, o, stats.feature_kinship(inside), covariates).collect()}
+        got = {r.feature: r for r in mixed.factored_model(f, o, v, covariates).collect()}
+        assert set(got) == set(want) == {*x, "all"} and got["all"].p_value == 1.0
+        for k in x:
+            assert [got[k].carriers, *got[k][2:]] == pytest.approx([want[k].carriers, *want[k][2:]], rel=1e-5)
+    with pytest.raises(errors.LimitError):
+        mixed.factored_model(f, o, v, max_factors=7)
+
+
+def test_mixed_model_query_takes_more_samples_than_a_square_holds(spark, tmp_path):
+    from isolake.plans.further import s162_mixed_model
+
+    n = spark.range(5_200).selectExpr("concat('s', id) AS s", "id")
+    n.selectExpr("s AS Isolate", "'meropenem' AS Antibiotic", "IF(id % 7 < 3, 'R', 'S') AS AST_phenotype").write.parquet(str(tmp_path / "pilot100_manifest.parquet"))
+    n.where("id % 2 = 0").selectExpr("s AS sample_id", "IF(id % 3 = 0, 'x', 'y') AS gene").write.parquet(str(tmp_path / "amr_determinants.parquet"))
+    n.where("id % 5 = 0").selectExpr("'g' AS gene", "s AS sample_id", "1 AS present").write.parquet(str(tmp_path / "gene_presence_absence.parquet"))
+    assert [(r.feature, r.carriers) for r in s162_mixed_model(spark, str(tmp_path)).collect()] == [("g", 1040)]
+
+
 def test_pages_and_probes(spark, tmp_path):
     base = f"file://{tmp_path}"
     pages.write_pages(spark.range(500).select((F.lit(499) - F.col("id")).alias("k")), ["k"], f"{base}/pages/a")
