@@ -390,6 +390,59 @@ def test_squares_cover_tips_and_samples_and_refuse(spark, tmp_path):
         stats.gower_center(d, max_points=2)
 
 
+def _random_forest(rnd, n=60):
+    """Edges in no order, several roots, a parent that is not there, negative and missing lengths; tips are any nodes."""
+    names = [f"s{i}" for i in range(n)]
+    edges = [(x, None if i in (0, 40) else "gone" if i == 50 else names[rnd.randrange(i)], rnd.choice([None, -1.0, 0.5, 2.0, 3.0])) for i, x in enumerate(names)]
+    rnd.shuffle(edges)
+    return edges, sorted(rnd.sample(names, 30)) + ["not there"]
+
+
+def _distances_of_paths(edges, tips):
+    up, length = {x: p for x, p, _ in edges}, {x: v or 0.0 for x, _, v in edges}
+
+    def path(x):
+        out = []
+        while x in up:
+            out.append(x)
+            x = up[x]
+        return out
+
+    depth = {x: sum(length[y] for y in path(x)) for x in up}
+    common = {(a, b): set(path(a)) & set(path(b)) for a in tips for b in tips}
+    return {(a, b): depth[a] + depth[b] - 2 * max(depth[x] for x in s) for (a, b), s in common.items() if s}
+
+
+def test_distances_of_more_tips_than_the_former_limit(spark):
+    rnd = random.Random(3)
+    edges, tips = _random_forest(rnd)
+    e, t = spark.createDataFrame(edges, "node string, parent string, length double"), spark.createDataFrame([(x,) for x in tips], "node string")
+    want = _distances_of_paths(edges, tips)
+    got = {(r.a, r.b): r.d for r in stats.patristic(e, t).collect()}
+    assert got == pytest.approx({k: v for k, v in want.items() if k[0] <= k[1]})
+    n = 10_100
+    wide = spark.range(n).selectExpr("concat('s', id) AS node", "concat('n', id % 3) AS parent", "CAST(1 AS DOUBLE) AS length").unionByName(spark.range(3).selectExpr("concat('n', id) AS node", "'root' AS parent", "CAST(id AS DOUBLE) AS length")).unionByName(spark.createDataFrame([("root", None, None)], e.schema))
+    d = stats.patristic(wide, wide.where("node LIKE 's%'").select("node")).agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("s"), F.max(F.col("a") > F.col("b")).alias("swapped")).first()
+    sizes = [sum(1 for i in range(n) if i % 3 == k) for k in range(3)]
+    within = sum(k * (k - 1) // 2 * 2 for k in sizes)
+    across = sum(sizes[i] * sizes[j] * (2 + i + j) for i in range(3) for j in range(i))
+    assert (d.n, d.s, d.swapped) == (n * (n + 1) // 2, within + across, False)
+    with pytest.raises(errors.ContractError, match="cycle"):
+        stats.patristic(e.unionByName(spark.createDataFrame([("x", "y", 1.0), ("y", "x", 1.0)], e.schema)), t)
+    with pytest.raises(errors.MismatchError):
+        stats.patristic(e.unionByName(spark.createDataFrame([("s7", "s0", 99.0)], e.schema)), t)
+
+
+def test_tree_similarity_is_the_centred_square(spark):
+    rnd = random.Random(5)
+    edges, tips = _random_forest(rnd)
+    e, t = spark.createDataFrame(edges, "node string, parent string, length double"), spark.createDataFrame([(x,) for x in tips], "node string")
+    square = spark.createDataFrame([(*k, v) for k, v in _distances_of_paths(edges, tips).items()], "a string, b string, d double")
+    want = {(r.a, r.b): r.value for r in stats.gower_center(square).collect()}
+    assert {(r.a, r.b): r.value for r in stats.tree_similarity(e, t).collect()} == pytest.approx(want)
+    assert stats.tree_similarity(e, t.limit(0)).count() == 0
+
+
 def test_conditional_scan_query_tests_every_testable_gene(spark, tmp_path):
     from isolake.plans.analysis import s174_conditional_scan
 
