@@ -443,6 +443,28 @@ def test_tree_similarity_is_the_centred_square(spark):
     assert stats.tree_similarity(e, t.limit(0)).count() == 0
 
 
+def test_kinship_in_blocks_and_of_more_samples_than_the_former_limit(spark):
+    rnd = random.Random(8)
+    cells = {(f"s{rnd.randrange(40)}", f"f{rnd.randrange(12)}"): rnd.choice([1.0, 2.0, -1.0, 0.0]) for _ in range(160)}
+    v = spark.createDataFrame([(*k, x) for k, x in cells.items()] + [(None, "f1", 1.0), ("s1", None, 1.0), ("s2", "f20", None)], "sample_id string, feature string, value double")
+    want: dict = {}
+    for (a, f), x in cells.items():
+        for (b, g), y in cells.items():
+            if f == g and a <= b and x * y:
+                want[a, b] = want.get((a, b), 0.0) + x * y
+    m = len({f for _, f in cells} | {"f20"})
+    for block in (4096, 7):
+        got = [(r.a, r.b, r.value) for r in stats.feature_kinship(v, block=block).collect()]
+        assert len(got) == len(want) and {(a, b): x for a, b, x in got} == pytest.approx({k: x / m for k, x in want.items()})
+    n = 50_100
+    many = spark.range(n).selectExpr("concat('s', id) AS sample_id", "concat('f', id DIV 10) AS feature", "1.0D AS value")
+    r = stats.feature_kinship(many, m=2).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"), F.max(F.col("a") > F.col("b")).alias("swapped")).first()
+    assert (r.n, r.s, r.swapped) == (n // 10 * 55, n // 10 * 55 / 2, False)
+    with pytest.raises(errors.LimitError):
+        stats.feature_kinship(v, max_samples=5)
+    assert stats.feature_kinship(v.limit(0)).count() == 0
+
+
 def test_conditional_scan_query_tests_every_testable_gene(spark, tmp_path):
     from isolake.plans.analysis import s174_conditional_scan
 
