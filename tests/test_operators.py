@@ -170,6 +170,32 @@ def test_conditional_and_anchored_scans_equal_fits_on_samples(spark):
     assert stats.conditional_scan(f.limit(0), d, ["x"]).count() == 0
 
 
+def test_anchored_scan_query_tests_more_pairs_than_the_former_limit(spark, tmp_path):
+    """320 known kinds with 320 genes are 102,400 pairs; all are planned for, and counts from the samples equal those from the pairs."""
+    from isolake.operators import joins
+    from isolake.plans.more import s178_anchored_scan
+
+    side = lambda n, x: spark.range(n).select(F.concat(F.lit(x), "id").alias(x))
+    assert joins.product(side(320, "a"), side(320, "b"), None).distinct().count() == 102_400
+    seen = []
+    scan = downstream.anchored_scan
+    try:
+        downstream.anchored_scan = lambda f, k, d, most: seen.append(most) or scan(f, k, d, most)
+        s = spark.range(24).selectExpr("concat('s', id) AS sample_id", "id")
+        s.selectExpr("sample_id AS Isolate", "'meropenem' AS Antibiotic", "IF(id % 3 = 0, 'R', 'S') AS AST_phenotype").write.parquet(str(tmp_path / "pilot100_manifest.parquet"))
+        s.where("id % 2 = 0").selectExpr("sample_id", "'efflux' AS mechanism", "'point' AS determinant_type").write.parquet(str(tmp_path / "amr_determinants.parquet"))
+        s.where("id % 4 < 3").selectExpr("'g' AS gene", "sample_id", "1 AS present").write.parquet(str(tmp_path / "gene_presence_absence.parquet"))
+        assert [(r.feature_a, r.feature_b, r.n_both) for r in s178_anchored_scan(spark, str(tmp_path)).collect()] == [("efflux/point", "g", 12)]
+    finally:
+        downstream.anchored_scan = scan
+    assert seen == [None]
+    rnd = random.Random(2)
+    f = spark.createDataFrame([(n, f"s{i}") for n in "kabc" for i in range(40) if rnd.random() < 0.5], "feature string, sample_id string")
+    d = spark.createDataFrame([(f"s{i}", rnd.randrange(2)) for i in range(40)], "sample_id string, y int")
+    pairs = spark.createDataFrame([("k", "a"), ("k", "b"), ("k", "gone"), ("c", "a"), ("c", "b"), ("c", "gone")], "feature_a string, feature_b string")
+    assert rows(stats.interaction_scan(pairs, f, d, product=True)) == rows(stats.interaction_scan(pairs, f, d))
+
+
 def test_association_input_and_strata(spark):
     p = spark.createDataFrame([(f"s{k}", "R" if k < 5 else "S" if k < 11 else "I") for k in range(14)] + [("s0", "R"), (None, "R")], "sample_id string, phenotype string")
     o = stats.association_input(p, ["R"], ["S"])
