@@ -170,6 +170,34 @@ def test_conditional_and_anchored_scans_equal_fits_on_samples(spark):
     assert stats.conditional_scan(f.limit(0), d, ["x"]).count() == 0
 
 
+def test_anchored_scan_query_takes_every_kind_and_tells_genes_from_kinds(spark, tmp_path):
+    """All rows of the calls count, not those of one type; genes named like a kind stay genes."""
+    from isolake.plans.more import s178_anchored_scan
+
+    s = spark.range(24).selectExpr("concat('s', id) AS sample_id", "id")
+    s.selectExpr("sample_id AS Isolate", "'meropenem' AS Antibiotic", "IF(id % 3 = 0, 'R', 'S') AS AST_phenotype").write.parquet(str(tmp_path / "pilot100_manifest.parquet"))
+    kinds = [("efflux", "point", 2), ("efflux", "acquired", 4), ("enzyme", "intrinsic", 6)]
+    calls = spark.createDataFrame(kinds, "mechanism string, determinant_type string, k int").crossJoin(s).where("id % k = 0").select("sample_id", "mechanism", "determinant_type")
+    calls.unionByName(spark.createDataFrame([("s1", None, "point"), ("s1", "efflux", None)], calls.schema)).write.parquet(str(tmp_path / "amr_determinants.parquet"))
+    genes = {"g": lambda i: i % 4 < 3, "x/point": lambda i: i % 3 == 1, "efflux/acquired": lambda i: i % 5 < 2}
+    spark.createDataFrame([(g, f"s{i}", 1) for g, has in genes.items() for i in range(24) if has(i)], "gene string, sample_id string, present int").write.parquet(str(tmp_path / "gene_presence_absence.parquet"))
+    want = {(f"{m}/{t}", g): sum(i % k == 0 and has(i) for i in range(24)) for m, t, k in kinds for g, has in genes.items()}
+    assert {(r.feature_a, r.feature_b): r.n_both for r in s178_anchored_scan(spark, str(tmp_path)).collect()} == want
+
+
+def test_many_fits_on_the_same_rows_equal_single_fits():
+    rnd = np.random.default_rng(4)
+    a, b, y = (np.array(v, float) for v in zip(*[(i, j, k) for i in (0, 1) for j in (0, 1) for k in (0, 1)]))
+    w = np.concatenate([rnd.integers(0, 3, (60, 8)), rnd.integers(1, 40, (60, 8)), rnd.integers(0, 9000, (60, 8))]).astype(float)
+    w = w[(w.reshape(-1, 4, 2).sum(axis=2) > 0).all(axis=1)]
+    for x in (np.column_stack([np.ones(8), a, b]), np.column_stack([np.ones(8), a, b, a * b])):
+        beta, ll = stats.fit_logits(x, y, w)
+        for v, got, at in zip(w, beta, ll):
+            want = stats.fit_logit(x[v > 0], y[v > 0], v[v > 0])
+            assert at == pytest.approx(want[1], abs=1e-8) and (np.abs(want[0]).max() > 12 or got == pytest.approx(want[0], abs=1e-6))
+    assert stats.fit_logits(np.ones((8, 1)), y, w[:0])[0].shape == (0, 1)
+
+
 def test_anchored_scan_query_tests_more_pairs_than_the_former_limit(spark, tmp_path):
     """320 known kinds with 320 genes are 102,400 pairs; all are planned for, and counts from the samples equal those from the pairs."""
     from isolake.operators import joins
